@@ -27,17 +27,23 @@ from ..session import scratch_path
 _LOCAL_BITS = 33
 
 
-def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,
-               name: str = "index", num_partitions: int | None = None) -> DataFrame:
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
+    """Range-partition, sort within partitions, tag ``_rid``/``_pid``; written
+    once to shared storage and read back."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "index")
+    path = scratch_path(spark, "ranged")
     (df.repartitionByRange(n, *keys)
        .sortWithinPartitions(*keys)
        .withColumn("_rid", F.monotonically_increasing_id())
        .write.parquet(path))
-    tagged = spark.read.parquet(path).withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
+    return spark.read.parquet(path).withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
+
+
+def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,
+               name: str = "index", num_partitions: int | None = None) -> DataFrame:
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    tagged = _ranged(df, keys, num_partitions)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -48,6 +54,26 @@ def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,
                   .drop("_rid", "_pid", "_off"))
 
 
+def with_running_sum(df: DataFrame, order_by: list[str] | str, cols: list[str],
+                     num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums ``<col>_cum`` of ``cols`` in key order, without
+    a single-task window: local sums per range partition (a window over one
+    partition's rows) plus the broadcast totals of all earlier partitions.
+    The key must be unique (e.g. the output of a group-by on it)."""
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    tagged = _ranged(df, keys, num_partitions)
+    local_w = Window.partitionBy("_pid").orderBy("_rid").rowsBetween(
+        Window.unboundedPreceding, 0)
+    local = tagged.select("*", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in cols])
+    totals = tagged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    out = local.join(F.broadcast(offsets), "_pid").withColumns({
+        f"{c}_cum": F.col(f"_o_{c}") + F.col(f"_l_{c}") for c in cols})
+    return out.drop("_rid", "_pid", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
+
+
 def chunk_number(index: Column | str = "index", size: int = 500) -> Column:
     """PR-02: ``floor(index / size)``."""
     idx = F.col(index) if isinstance(index, str) else index

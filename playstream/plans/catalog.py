@@ -8,26 +8,10 @@ present arrays as comma-joined strings and doubles rounded to 6 places.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from ..sources import fixtures as fx
 from . import reports as rp
 from .compare import comparable
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
+from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 
 # ---------------------------------------------------------------- SQL pieces
