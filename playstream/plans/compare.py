@@ -1,6 +1,7 @@
 """Presentation step for oracle comparison.
 
-Arrays become comma-joined strings and doubles are rounded to 6 places, in
+Arrays become comma-joined strings, doubles are rounded to 6 places and
+timestamps print as ``yyyy-MM-dd HH:mm:ss``, in
 the Spark result here and by hand in each oracle statement, so that engine
 differences in array and float printing do not hide equal results. Nothing
 is dropped or filtered.
@@ -24,5 +25,7 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.array_join(c, ",")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.round(c.cast("double"), digits)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -24,4 +24,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every catalog module so all queries are registered."""
-    from . import catalog, catalog_mining  # noqa: F401
+    from . import catalog, catalog_mining, catalog_streams  # noqa: F401
