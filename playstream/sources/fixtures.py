@@ -127,3 +127,55 @@ def train_games_sql() -> str:
 
 def play_games_sql() -> str:
     return games_sql(PLAY_HANDS, str(PLAY_AGENT_STOP))
+
+
+# ----------------------------------------------------------------- cards
+# Rank names in rank order with their face values, and suits.
+RANK_NAMES = ("two", "three", "four", "five", "six", "seven", "eight", "nine",
+              "ten", "jack", "queen", "king", "ace")
+RANK_VALUES = ("2", "3", "4", "5", "6", "7", "8", "9", "10", "J", "Q", "K", "A")
+SUITS = ("hearts", "diamonds", "clubs", "spades")
+
+
+def _pick(values, idx):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def cards(lineitem: DataFrame) -> DataFrame:
+    """One card per line: hand_id, rank index, suit, value, predicted
+    category / suit. The recogniser is wrong (next rank) on every line whose
+    quantity is a multiple of 10. No window: a line is a card on its own."""
+    rank = (F.col("l_partkey") % 13).cast("int")
+    wrong = (F.col("l_quantity").cast("int") % 10 == 0).cast("int")
+    pred = ((rank + wrong) % 13).cast("int")
+    suit = _pick(SUITS, F.col("l_suppkey") % 4)
+    return lineitem.select(
+        F.col("l_orderkey").alias("hand_id"),
+        rank.alias("rank_idx"), pred.alias("pred_idx"),
+        suit.alias("suit"), _pick(RANK_VALUES, rank).alias("value"),
+        _pick(RANK_NAMES, rank).alias("category"),
+        _pick(RANK_NAMES, pred).alias("predicted_category"),
+        suit.alias("predicted_suit"),
+        *LINE_ORDER,
+    )
+
+
+def hand_cards(lineitem: DataFrame, max_pos: int) -> DataFrame:
+    """The first ``max_pos`` cards of every hand with their position (line
+    order), via a per-hand top-k that is applied before the shuffle."""
+    c = cards(lineitem)
+    w = Window.partitionBy("hand_id").orderBy(*LINE_ORDER)
+    return (c.withColumn("pos", F.row_number().over(w))
+             .filter(F.col("pos") <= max_pos)
+             .drop(*LINE_ORDER))
+
+
+def cards_sql() -> str:
+    """CTE ``cards`` (one row per line) in DuckDB."""
+    names = ", ".join(f"'{n}'" for n in RANK_NAMES)
+    return f"""cards AS (
+  SELECT l_orderkey AS hand_id, CAST(l_partkey % 13 AS INTEGER) AS rank_idx,
+    CAST((l_partkey % 13 + CASE WHEN CAST(floor(l_quantity) AS INTEGER) % 10 = 0 THEN 1 ELSE 0 END) % 13 AS INTEGER) AS pred_idx
+  FROM lineitem),
+named AS (
+  SELECT *, ([{names}])[rank_idx + 1] AS y_true, ([{names}])[pred_idx + 1] AS y_pred FROM cards)"""
