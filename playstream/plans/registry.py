@@ -24,4 +24,6 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every catalog module so all queries are registered."""
-    from . import catalog, catalog_metrics, catalog_mining, catalog_streams  # noqa: F401
+    from . import (  # noqa: F401
+        catalog, catalog_cards, catalog_metrics, catalog_mining, catalog_streams,
+    )
