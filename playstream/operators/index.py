@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize
 
 _LOCAL_BITS = 33
 
@@ -30,14 +30,11 @@ _LOCAL_BITS = 33
 def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
     """Range-partition, sort within partitions, tag ``_rid``/``_pid``; written
     once to shared storage and read back."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "ranged")
-    (df.repartitionByRange(n, *keys)
-       .sortWithinPartitions(*keys)
-       .withColumn("_rid", F.monotonically_increasing_id())
-       .write.parquet(path))
-    return spark.read.parquet(path).withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (df.repartitionByRange(n, *keys)
+                  .sortWithinPartitions(*keys)
+                  .withColumn("_rid", F.monotonically_increasing_id()))
+    return materialize(numbered, "ranged").withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
 
 
 def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,

@@ -14,6 +14,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...session import materialize
+
 
 def contingency(df: DataFrame, labels: str = "label", truth: str = "truth") -> DataFrame:
     return df.groupBy(F.col(truth).alias("c"), F.col(labels).alias("k")).agg(
@@ -22,8 +24,11 @@ def contingency(df: DataFrame, labels: str = "label", truth: str = "truth") -> D
 
 def clustering_external(df: DataFrame, labels: str = "label", truth: str = "truth") -> DataFrame:
     """EV-09: one row: adjusted_rand, normalized_mutual_info (arithmetic),
-    homogeneity, completeness, v_measure. 0 * log 0 = 0."""
-    ct = contingency(df, labels, truth)
+    homogeneity, completeness, v_measure. 0 * log 0 = 0.
+
+    One pass over the rows builds the contingency table (written once);
+    every score below reads only that small table."""
+    ct = materialize(contingency(df, labels, truth), "contingency")
     a = ct.groupBy("c").agg(F.sum("nij").alias("ai"))
     b = ct.groupBy("k").agg(F.sum("nij").alias("bj"))
     n = ct.agg(F.sum("nij")).scalar()
@@ -67,22 +72,27 @@ def centroids(points: DataFrame) -> DataFrame:
 def clustering_internal(df: DataFrame, vec: str = "features", labels: str = "label",
                         id_col: str = "id") -> DataFrame:
     """EV-10 / EV-11: one row: calinski_harabasz, davies_bouldin; null when
-    there is a single cluster."""
+    there is a single cluster.
+
+    Two passes over the exploded points: per-cluster centroids (clusters x
+    dims rows, written once), then each point's squared distance to its
+    centroid (one row per point, written once). The between-cluster terms
+    and the centroid distances read only the centroid table; the latter
+    pairs clusters (clusters x clusters rows), never data rows."""
     pts = explode_points(df, vec, labels, id_col)
-    cent = centroids(pts)
-    glob = pts.groupBy("d").agg(F.avg("x").alias("g"))
-    n = pts.agg(F.countDistinct("id")).scalar()
+    cent = materialize(centroids(pts), "centroids")
+    per_point = materialize(
+        pts.join(cent, ["k", "d"]).groupBy("id", "k")
+           .agg(F.sum((F.col("x") - F.col("ck")) ** 2).alias("ss")), "point-dist")
+    n = per_point.agg(F.count(F.lit(1))).scalar()
     k = cent.agg(F.countDistinct("k")).scalar()
+    intra = per_point.agg(F.sum("ss")).scalar()
+    glob = cent.groupBy("d").agg((F.sum(F.col("nk") * F.col("ck")) / F.sum("nk")).alias("g"))
     extra = cent.join(glob, "d").agg(F.sum(F.col("nk") * (F.col("ck") - F.col("g")) ** 2)).scalar()
-    within = pts.join(cent, ["k", "d"]).withColumn("sq", (F.col("x") - F.col("ck")) ** 2)
-    intra = within.agg(F.sum("sq")).scalar()
     ch = (F.when(k < 2, F.lit(None).cast("double"))
           .when(intra == 0, F.lit(1.0))
           .otherwise(extra * (n - k) / (intra * (k - 1))))
-    # Davies-Bouldin: mean distance to the own centroid per cluster, and
-    # centroid distances between every two clusters (clusters x clusters rows)
-    s = (within.groupBy("id", "k").agg(F.sqrt(F.sum("sq")).alias("dist"))
-               .groupBy("k").agg(F.avg("dist").alias("s")))
+    s = per_point.groupBy("k").agg(F.avg(F.sqrt("ss")).alias("s"))
     other = cent.select(F.col("k").alias("l"), "d", F.col("ck").alias("cl"))
     m = (cent.join(other, "d").filter(F.col("k") != F.col("l"))
              .groupBy("k", "l").agg(F.sqrt(F.sum((F.col("ck") - F.col("cl")) ** 2)).alias("m")))

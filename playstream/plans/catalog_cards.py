@@ -10,7 +10,7 @@ from ..functions import prep
 from ..operators import cards as cd
 from ..operators.metrics import clustering as cu
 from ..operators.mining import quantise
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 from ..sources.tables import TABLES, read_table
@@ -265,7 +265,8 @@ def q_ev13(spark, sf_dir):
     for c in "rgb":
         e = prep.rescale_byte(e, c, out=f"{c}8")
     px = e.select("vec_id", F.array(*[F.col(f"{c}8").cast("double") for c in "rgb"]).alias("px"))
-    q = quantise(px, "px", k=4, seed=1)
+    # the quantised pixels feed four scores: written once, read by each
+    q = materialize(quantise(px, "px", k=4, seed=1), "quantised")
     gray = q.select(
         "vec_id",
         F.array(prep.luminosity(*[F.get("px", i) for i in range(3)])).alias("g"),

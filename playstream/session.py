@@ -69,3 +69,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return it read back: cuts the lineage before iterative or many-times
+    reused work (model fitting, repeated scalar subqueries), so that work
+    reads the table instead of recomputing its inputs, and a lost executor
+    re-reads files instead of replaying the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

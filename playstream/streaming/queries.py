@@ -5,6 +5,11 @@ On a stream, state is keyed by (window, key) and shuffled on that key into
 the state store; the watermark bounds how long a window stays open for
 late rows. Sorting is legal only for complete-mode output, so ``sort=True``
 is for static frames and complete mode.
+
+Late data (S-09): in update and append mode a row is dropped when its event
+time is behind the watermark of the previous micro-batch (state for its
+window has then been evicted); complete mode keeps every window and counts
+late rows.
 """
 
 from __future__ import annotations
@@ -67,9 +72,10 @@ def bot_users(df: DataFrame, size: str = BOT_WINDOW, threshold: int = BOT_THRESH
 
 def bot_alerts(df: DataFrame, size: str = BOT_WINDOW, threshold: int = BOT_THRESHOLD,
                delay: str = WATERMARK) -> DataFrame:
-    """S-03, bounded-time variant: one alert per (window, user), dedup state
-    evicted by the watermark (append mode); a user may alert again in a later
-    window."""
+    """S-03, bounded-time variant: one alert per (window, user) with its
+    count. In append mode each alert is emitted once, when the watermark
+    passes the window end, and the window state is then evicted; a user may
+    alert again in a later window."""
     counts = window_count(with_watermark(df, delay), size, ["user_id"])
     return (counts.filter(F.col("count") >= threshold)
                   .select("window", "user_id", "count"))
