@@ -191,3 +191,41 @@ def q_rp06(spark, sf_dir):
 def q_rp07(spark, sf_dir):
     return comparable(rp.win_matrix(rp.win_rate_by_distance(_play(spark, sf_dir), fx.PLAY_HANDS,
                                                             by_chunk=False)))
+
+
+# ------------------------------------------------- join form and top-n
+
+@register("jn01_win_rate_join", f"""{episodes_sql(False)}
+SELECT shown_cards[1] AS first_card, {WIN_COLS_SQL}
+FROM r GROUP BY ALL""")
+def q_jn01(spark, sf_dir):
+    """The reference's form of RP-03a: totals and wins aggregated apart,
+    left-joined, missing wins -> 0."""
+    from pyspark.sql import functions as F
+
+    from ..functions.episodes import enrich
+    from ..operators.aggregates import win_rate_join
+    g = enrich(_play(spark, sf_dir), fx.PLAY_HANDS).select(
+        F.col("agent_first_card").alias("first_card"), "result")
+    totals = g.groupBy("first_card").agg(F.count(F.lit(1)).alias("total_games"))
+    wins = g.filter(F.col("result") == "Win").groupBy("first_card").agg(F.count(F.lit(1)).alias("wins"))
+    return comparable(win_rate_join(totals, wins, ["first_card"]))
+
+
+TOP_N = 10
+
+
+@register("so02_top_win_rates", f"""{episodes_sql(True)}
+SELECT * FROM (SELECT shown_cards[1] AS first_card, chunk_number, {WIN_COLS_SQL}
+               FROM r GROUP BY ALL)
+ORDER BY win_rate DESC, total_games DESC, first_card, chunk_number LIMIT {TOP_N}""")
+def q_so02(spark, sf_dir):
+    """SO-02: the ten best (first card, chunk) win rates; the order is total
+    (rate, games, card, chunk), so the limit is deterministic. Each task keeps
+    only its own top ten before the final merge."""
+    from pyspark.sql import functions as F
+
+    from ..operators.aggregates import top_n
+    w = rp.win_rate_by_first_card(_train(spark, sf_dir), fx.TRAIN_HANDS, by_chunk=True)
+    return comparable(top_n(w, TOP_N, [F.desc("win_rate"), F.desc("total_games"),
+                                       "first_card", "chunk_number"]))
