@@ -28,12 +28,17 @@ def prepare_manifest(df: DataFrame, split: str = "train", root: str = "") -> Dat
 
 
 def one_hot(df: DataFrame, col: str, values: list[str] | None = None,
-            prefix: str = "") -> DataFrame:
+            prefix: str = "", max_values: int = 1000) -> DataFrame:
     """PR-17: one 0/1 column per value, in the given order. Without a list
-    the distinct values are collected once (bounded by the label domain) and
-    sorted, as ``get_dummies`` orders them."""
+    the distinct values are collected once and sorted, as ``get_dummies``
+    orders them; more than ``max_values`` distinct values is an error (a
+    label column, not an id column, is expected), so at most that many
+    rows ever reach the driver."""
     if values is None:
-        values = sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+        found = df.select(col).distinct().limit(max_values + 1).collect()
+        if len(found) > max_values:
+            raise ValueError(f"{col!r} has more than {max_values} distinct values")
+        values = sorted(r[0] for r in found if r[0] is not None)
     return df.withColumns({f"{prefix}{v}": (F.col(col) == F.lit(v)).cast("int") for v in values})
 
 
@@ -79,8 +84,10 @@ def rescale_byte(df: DataFrame, col: str, out: str = "byte",
         src = df.join(rng, by)
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
-        rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        src, lo, hi = df, rng.select("_lo").scalar(), rng.select("_hi").scalar()
+        lo_v, hi_v = df.agg(F.min(x), F.max(x)).first()
+        if lo_v is not None and lo_v == hi_v:
+            raise ValueError("no variation: all values are the same")
+        src, lo, hi = df, F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
     scaled = F.when(hi == lo, F.raise_error(F.lit("no variation: all values are the same"))) \
               .otherwise(((x - lo) / (hi - lo) * 255.0).cast("int"))
     res = src.withColumn(out, scaled)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...session import materialize
+
 
 def confusion(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
               classes: list | None = None) -> DataFrame:
@@ -24,8 +26,9 @@ def confusion(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
 
 def per_class_counts(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Per class in the union of true and predicted labels: tp, fp, fn and
-    support, plus the total n (one row per class)."""
-    cm = confusion(df, y_true, y_pred)
+    support, plus the total n (one row per class). The confusion table is
+    written once; the marginals and the total read only it."""
+    cm = materialize(confusion(df, y_true, y_pred), "confusion")
     by_true = cm.groupBy(F.col("y_true").alias("class")).agg(
         F.sum("count").alias("support"),
         F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("count")).otherwise(0)).alias("tp"))

@@ -54,9 +54,12 @@ def error_distribution(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_p
     closed at min."""
     t = F.col(y_true).cast("double")
     ae = F.abs(F.col(y_pred).cast("double") - t)
-    rng = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).select(
-        "lo", ((F.col("hi") - F.col("lo")) / bins).alias("w"))
-    lo, w = rng.select("lo").scalar(), rng.select("w").scalar()
+    # two numbers from one pass (a scalar subquery used in several places
+    # would be planned, and run, once per use)
+    lo_v, hi_v = df.agg(F.min(t), F.max(t)).first()
+    if lo_v is None:
+        lo_v = hi_v = 0.0
+    lo, w = F.lit(float(lo_v)), F.lit((float(hi_v) - float(lo_v)) / bins)
     base = F.lit(0.0) if legacy_bins else lo
     x = t - base
     guess = F.ceil(x / w)

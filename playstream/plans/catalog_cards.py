@@ -15,7 +15,7 @@ from ..sources import fixtures as fx
 from ..sources import sinks
 from ..sources.tables import TABLES, read_table
 from . import reports as rp
-from .catalog import RP01_SQL
+from .catalog import RP01_SQL, episodes_sql
 from .compare import comparable
 from .registry import register
 
@@ -71,13 +71,16 @@ def _hand3(spark, sf_dir):
 
 
 def _states(spark, sf_dir):
+    """One row per hand (narrow), written once: the policy table and the
+    lookup both read it instead of deriving the cards twice."""
     first = F.col("pos") == 1
     scored = cd.score_hands(_hand3(spark, sf_dir), extra=[
         F.max(F.when(first, F.col("visible_value"))).alias("dealer_visible_card"),
         F.max(F.when(first, F.col("category") == F.col("predicted_category"))).alias("clean"),
     ])
-    return scored.select("hand_id", F.col("score").alias("player_total"), "dealer_visible_card",
-                         F.col("usable_aces").alias("usable_ace"), "clean")
+    return materialize(
+        scored.select("hand_id", F.col("score").alias("player_total"), "dealer_visible_card",
+                      F.col("usable_aces").alias("usable_ace"), "clean"), "states")
 
 
 @register("ag11_hand_scores", HANDS_SQL + "\nSELECT * FROM hs")
@@ -311,3 +314,22 @@ def q_io09(spark, sf_dir):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("io01_pr03_raw_games_scan", f"""{episodes_sql(False)}
+SELECT shown_cards[1] AS first_card, count(*) AS total_games,
+  count(*) FILTER (WHERE result = 'Win') AS wins,
+  round(count(*) FILTER (WHERE result = 'Win') / count(*), 6) AS win_rate
+FROM r GROUP BY ALL""")
+def q_io01(spark, sf_dir):
+    """IO-01 / PR-03: a games table with the reference's raw column names
+    (``Shown_cards``, ``Hand 0`` ..) written as parquet, scanned back with
+    its footer schema, normalised, then reported (RP-03a, play)."""
+    from ..functions.episodes import normalise_games
+    from ..sources.tables import read_games
+    g = fx.play_games(spark, sf_dir)
+    raw = g.select("l_orderkey", F.col("shown_cards").alias("Shown_cards"),
+                   *[F.col(f"hand_{k}").alias(f"Hand {k}") for k in range(fx.PLAY_HANDS)])
+    path = sinks.write_result(raw, scratch_path(spark, "raw-games"))
+    games = normalise_games(read_games(spark, path), fx.PLAY_HANDS)
+    return comparable(rp.win_rate_by_first_card(games, fx.PLAY_HANDS, by_chunk=False))

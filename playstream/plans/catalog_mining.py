@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import mining as mn
+from ..session import materialize
 from ..operators.sequences import decision_steps, to_basket, to_features
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -87,7 +88,9 @@ SELECT action AS label_str,
   count(*) AS count
 FROM steps GROUP BY action""")
 def q_ml04(spark, sf_dir):
-    idx = mn.index_labels(to_features(_play_steps(spark, sf_dir)))
+    # fitting the indexer and applying it both read the steps: written once
+    feats = materialize(to_features(_play_steps(spark, sf_dir)), "features")
+    idx = mn.index_labels(feats)
     return comparable(idx.groupBy("label_str", "label").agg(F.count(F.lit(1)).alias("count")))
 
 

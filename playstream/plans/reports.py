@@ -21,6 +21,7 @@ from ..operators.aggregates import (
     strategy_profile, win_rate,
 )
 from ..operators.index import with_chunk
+from ..session import materialize
 
 CHUNK_SIZE = 500
 ORDER_KEY = "l_orderkey"
@@ -31,10 +32,17 @@ def _chunked(df: DataFrame, by_chunk: bool, order_key: str, size: int) -> DataFr
 
 
 def with_risk(games: DataFrame, n_hands: int, err: float = 0.0,
-              keep: tuple[str, ...] = (ORDER_KEY,)) -> DataFrame:
-    """n_moves and its risk level against the quartiles of all games.
-    The thresholds are one scalar subquery over a pruned projection."""
+              keep: tuple[str, ...] = (ORDER_KEY,), by_chunk: bool = False,
+              chunk_size: int = CHUNK_SIZE, order_key: str = ORDER_KEY) -> DataFrame:
+    """n_moves (and chunk) per game with its risk level against the
+    quartiles of all games.
+
+    The narrow (key, n_moves) table is written once (the chunk numbering
+    writes it anyway) and both the thresholds and the levels read it, so
+    the games are derived from their source a single time."""
     moves = games.select(*keep, n_moves(n_hands).alias("n_moves"))
+    moves = (_chunked(moves, True, order_key, chunk_size) if by_chunk
+             else materialize(moves, "moves"))
     q1, q2, q3 = quartile_thresholds(moves.select("n_moves"), "n_moves", err)
     return moves.withColumn("risk_level", risk_level(F.col("n_moves"), q1, q2, q3))
 
@@ -42,8 +50,8 @@ def with_risk(games: DataFrame, n_hands: int, err: float = 0.0,
 def risk_by_chunk(games: DataFrame, n_hands: int = 8, chunk_size: int = CHUNK_SIZE,
                   err: float = 0.0, order_key: str = ORDER_KEY) -> DataFrame:
     """RP-01: plays per risk level per chunk of consecutive games."""
-    risk = with_risk(games, n_hands, err, keep=(order_key,))
-    chunked = _chunked(risk, True, order_key, chunk_size)
+    chunked = with_risk(games, n_hands, err, keep=(order_key,), by_chunk=True,
+                        chunk_size=chunk_size, order_key=order_key)
     return group_count(chunked, ["chunk_number", "risk_level"]).orderBy("chunk_number", "count")
 
 
@@ -53,8 +61,8 @@ def strategy_share(games: DataFrame, n_hands: int = 8, by_chunk: bool = True,
     """RP-02a (by chunk, share of the chunk size) and RP-02b (whole table,
     ``denom="total"`` for the true share or 500 for the reference's second
     play table)."""
-    risk = _chunked(with_risk(games, n_hands, err, keep=(order_key,)),
-                    by_chunk, order_key, chunk_size)
+    risk = with_risk(games, n_hands, err, keep=(order_key,), by_chunk=by_chunk,
+                     chunk_size=chunk_size, order_key=order_key)
     keys = (["chunk_number"] if by_chunk else []) + ["risk_level"]
     out = strategy_profile(risk, keys, denom=denom)
     return out.orderBy(*(["chunk_number"] if by_chunk else []), "count")

@@ -105,3 +105,12 @@ def test_approximate_and_exact_quartiles(spark):
     total = g.count()
     for rep in (exact, approx):
         assert rep.agg(F.sum("count")).first()[0] == total
+
+
+def test_normalise_raw_names(spark):
+    from playstream.functions.episodes import normalise_games
+    raw = spark.createDataFrame([(1, [5, 7], [9, 7], None, None)],
+                                "id long, Shown_cards array<int>, `Hand 0` array<int>, "
+                                "`Hand 1` array<int>, `Hand 2` array<int>")
+    g = normalise_games(raw, 3)
+    assert g.columns == ["id", "shown_cards", "hand_0", "hand_1", "hand_2"]

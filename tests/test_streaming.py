@@ -96,3 +96,23 @@ def test_malformed_value_gives_nulls(spark):
     rows = with_event_time(decode_events(df)).collect()
     assert rows[0]["user_id"] is None and rows[1]["event_time"] is None
     assert [f.name for f in NEWS_SCHEMA.fields][0] == "user_id"
+
+
+def test_console_and_sorted_foreach_batch(spark, tmp_dir):
+    """IO-07 console sink; SO-03: outside complete mode, sort each
+    micro-batch inside foreachBatch."""
+    src = os.path.join(tmp_dir, "fb")
+    write_json_lines(src, "f1.json", [event("2024-01-01 10:00:00", article="a1")] * 2
+                     + [event("2024-01-01 10:20:00", article="a2")] * 3)
+    q = start(sq.spikes(json_source(spark, src), "10 minutes", 1), sink="console",
+              mode="update", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    seen = []
+
+    def sorted_batch(df, epoch_id):
+        seen.extend(df.orderBy(F.col("window.end").desc(), F.col("count").desc()).collect())
+    q = start(sq.spikes(json_source(spark, src), "10 minutes", 1), mode="update",
+              available_now=True, foreach_batch=sorted_batch)
+    q.awaitTermination()
+    assert [r["count"] for r in seen] == [3, 2]
