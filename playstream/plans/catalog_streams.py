@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import queries as sq
-from ..streaming.runner import run_to_table, write_event_files
+from ..streaming.runner import event_topic, run_to_table
 from ..streaming.sources import (
     NEWS_SCHEMA, decode_events, events_source, news_values, with_event_time,
 )
@@ -51,7 +51,7 @@ def _events(spark, sf_dir):
 
 
 def _stream(spark, sf_dir):
-    path = write_event_files(spark, sf_dir)
+    path = event_topic(spark, sf_dir)
     src = events_source(spark, "text", path, maxFilesPerTrigger=1)
     return with_event_time(decode_events(src))
 

@@ -49,8 +49,10 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a fallback folder is set.
+    On a cluster this setting names shared storage and is used as is; if it
+    is unset there, this is an error (a machine-local folder would not be
+    visible to other executors). Only a local-mode session (tests) without
+    the setting gets a fallback folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = fallback or os.path.join(
             tempfile.gettempdir(), f"playstream-ckpt-{uuid.uuid4().hex[:8]}"
         )

@@ -59,6 +59,27 @@ def run_to_table(df: DataFrame, name: str, mode: str,
     return df.sparkSession.table(name)
 
 
+_TOPICS: dict[tuple[str, str, int], str] = {}
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk and
+    is snapshotted to the checkpoint) instead of the JVM-heap map: for
+    large key spaces such as complete-mode windows or dedup state."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def event_topic(spark: SparkSession, sf_dir: str, n_files: int = 6) -> str:
+    """The event files for ``sf_dir``, written once per application and
+    shared by every stream query (as consumers share one topic; each query
+    keeps its own checkpoint and offsets)."""
+    key = (spark.sparkContext.applicationId, sf_dir, n_files)
+    if key not in _TOPICS:
+        _TOPICS[key] = write_event_files(spark, sf_dir, n_files)
+    return _TOPICS[key]
+
+
 def write_event_files(spark: SparkSession, sf_dir: str, n_files: int = 6,
                       path: str | None = None) -> str:
     """Write the event topic payload as ``n_files`` JSON-lines files in event

@@ -114,3 +114,12 @@ def test_normalise_raw_names(spark):
                                 "`Hand 1` array<int>, `Hand 2` array<int>")
     g = normalise_games(raw, 3)
     assert g.columns == ["id", "shown_cards", "hand_0", "hand_1", "hand_2"]
+
+
+def test_fixture_outcomes_at_sf001(spark):
+    """The derived training games reproduce the counts recorded in
+    FIXTURES.md (checked there against a DuckDB statement)."""
+    from conftest import SF01
+    e = enrich(fx.train_games(spark, SF01), fx.TRAIN_HANDS)
+    got = {r["result"]: r["count"] for r in e.groupBy("result").count().collect()}
+    assert got == {"Draw": 1194, "Lose": 6568, "Unknown": 1120, "Win": 5861}

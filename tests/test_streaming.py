@@ -116,3 +116,20 @@ def test_console_and_sorted_foreach_batch(spark, tmp_dir):
               available_now=True, foreach_batch=sorted_batch)
     q.awaitTermination()
     assert [r["count"] for r in seen] == [3, 2]
+
+
+def test_rocksdb_state_store(spark, tmp_dir):
+    from playstream.streaming.runner import use_rocksdb_state
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    use_rocksdb_state(spark)
+    try:
+        src = os.path.join(tmp_dir, "rocks")
+        write_json_lines(src, "f1.json", [event("2024-01-01 10:00:00", device="tablet")] * 4)
+        out = run_to_table(sq.device_trends(json_source(spark, src)), "t_rocks", "complete")
+        assert out.first()["count"] == 4
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
