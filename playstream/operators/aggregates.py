@@ -86,20 +86,23 @@ def strategy_profile(df: DataFrame, keys: list[str], denom: int | str = 500,
     """AG-06: count, percentage and the set of move counts per group.
 
     ``denom``: a constant (the reference's chunk size 500), ``"total"`` (all
-    rows, a scalar subquery) or ``"group"`` is not meaningful for a share of
-    itself and is rejected.
-    """
+    rows, a scalar subquery) or ``"group"`` (share within the group of the
+    leading keys, e.g. of its chunk: a window over the aggregated rows,
+    whose partitions hold one row per level)."""
+    out = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count"),
+        unique_values(moves_col).alias("unique_moves"),
+    )
     if denom == "total":
         d = df.agg(F.count(F.lit(1))).scalar()
+    elif denom == "group":
+        d = F.sum("count").over(Window.partitionBy(*keys[:-1]))
     elif isinstance(denom, (int, float)):
         d = F.lit(denom)
     else:
-        raise ValueError("denom must be a number or 'total'")
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"),
-        proportion(F.count(F.lit(1)), d).alias("proportion"),
-        unique_values(moves_col).alias("unique_moves"),
-    )
+        raise ValueError("denom must be a number, 'total' or 'group'")
+    return out.select(*keys, "count", proportion(F.col("count"), d).alias("proportion"),
+                      "unique_moves")
 
 
 def hit_stats(df: DataFrame, keys: list[str], col: str = "n_moves") -> DataFrame:

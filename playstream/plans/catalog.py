@@ -83,6 +83,19 @@ def q_rp02a(spark, sf_dir):
     return comparable(rp.strategy_share(_train(spark, sf_dir), fx.TRAIN_HANDS, by_chunk=True))
 
 
+@register("rp02d_strategy_share_within_chunk", f"""{episodes_sql(True)}, {QUART_SQL},
+c AS (SELECT chunk_number, {RISK_SQL} AS risk_level, count(*) AS count, {UNIQUE_SQL} AS unique_moves
+      FROM r, q GROUP BY ALL)
+SELECT chunk_number, risk_level, count,
+  round(count * 100 / sum(count) OVER (PARTITION BY chunk_number), 2) AS proportion, unique_moves
+FROM c""")
+def q_rp02d(spark, sf_dir):
+    """RP-02 with the group-size denominator: share of each level within
+    its chunk (Q5)."""
+    return comparable(rp.strategy_share(_train(spark, sf_dir), fx.TRAIN_HANDS, by_chunk=True,
+                                        denom="group"))
+
+
 @register("rp02b_strategy_share_play", f"""{episodes_sql(False)}, {QUART_SQL}
 SELECT {RISK_SQL} AS risk_level, count(*) AS count,
   round(count(*) * 100 / (SELECT count(*) FROM r), 2) AS proportion, {UNIQUE_SQL} AS unique_moves

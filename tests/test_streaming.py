@@ -133,3 +133,16 @@ def test_rocksdb_state_store(spark, tmp_dir):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
+
+
+def test_append_mode_emits_closed_windows_once(spark, tmp_dir):
+    """S-08 append: an alert appears once its window is closed by the
+    watermark; the still-open last window is not emitted."""
+    from playstream.streaming.runner import run_to_table
+    src = os.path.join(tmp_dir, "append")
+    write_json_lines(src, "f1.json", [event("2024-01-01 10:00:10", user="1")] * 3)
+    time.sleep(1.1)
+    write_json_lines(src, "f2.json", [event("2024-01-01 10:05:00", user="2")] * 3)
+    out = run_to_table(sq.bot_alerts(json_source(spark, src), "1 minute", 2), "t_append", "append")
+    users = sorted(r["user_id"] for r in out.collect())
+    assert users[:1] == ["1"] and users.count("1") == 1
