@@ -171,16 +171,25 @@ MANIFEST_SQL = f"""WITH m AS (
     CASE p_partkey % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END AS data_set
   FROM part),
 t AS (SELECT filepaths, labels, string_split(labels, ' ')[-1] AS suit, card_type AS category,
-    '{MANIFEST_ROOT}/' || filepaths AS filepaths_full
-  FROM m WHERE data_set = 'test' AND lower(labels) <> 'joker')"""
+    '{MANIFEST_ROOT}/' || filepaths AS filepaths_full, data_set AS split
+  FROM m WHERE lower(labels) <> 'joker')"""
+
+SPLITS = ("train", "valid", "test")
 
 
 def _prepared(spark, sf_dir):
     """IO-04 round trip: the manifest written as CSV with a header, read back
-    with a declared schema, then PR-16 preparation of the test split."""
+    with a declared schema, then PR-16 preparation of every split (each
+    split's rows tagged with it), so the whole manifest is processed."""
     path = scratch_path(spark, "manifest")
     manifest_table(spark, sf_dir).write.csv(path, header=True)
-    return prep.prepare_manifest(sinks.read_manifest(spark, path), "test", MANIFEST_ROOT)
+    raw = sinks.read_manifest(spark, path)
+    parts = [prep.prepare_manifest(raw, s, MANIFEST_ROOT).withColumn("split", F.lit(s))
+             for s in SPLITS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("pr16_prepare_manifest", MANIFEST_SQL + "\nSELECT * FROM t")
@@ -188,18 +197,17 @@ def q_pr16(spark, sf_dir):
     return comparable(_prepared(spark, sf_dir))
 
 
-@register("pr17_one_hot", MANIFEST_SQL + "\nSELECT filepaths, " + ", ".join(
+@register("pr17_one_hot", MANIFEST_SQL + "\nSELECT filepaths, split, " + ", ".join(
     f"CAST(category = '{v}' AS INTEGER) AS {v}" for v in prep.CATEGORY_ORDER) + " FROM t")
 def q_pr17(spark, sf_dir):
     oh = prep.one_hot(_prepared(spark, sf_dir), "category", list(prep.CATEGORY_ORDER))
-    return comparable(oh.select("filepaths", *prep.CATEGORY_ORDER))
+    return comparable(oh.select("filepaths", "split", *prep.CATEGORY_ORDER))
 
 
 @register("pr18_shuffle")
 def q_pr18(spark, sf_dir):
-    """Rows-only: seeded permutation of the train manifest."""
-    m = prep.prepare_manifest(manifest_table(spark, sf_dir), "train", MANIFEST_ROOT)
-    return prep.shuffle(m, "filepaths", seed=55)
+    """Rows-only: seeded permutation of the whole prepared manifest."""
+    return prep.shuffle(_prepared(spark, sf_dir), "filepaths", seed=55)
 
 
 EMB = "embeddings"
