@@ -231,7 +231,7 @@ def _expert_sql(pruned: list[int]) -> str:
     cols = []
     for e in range(EXPERTS):
         for o in range(OUTPUTS):
-            v = "0.0" if e in pruned else f"CAST(embedding[{e * OUTPUTS + o + 1}] AS DOUBLE)"
+            v = "CAST(0.0 AS DOUBLE)" if e in pruned else f"CAST(embedding[{e * OUTPUTS + o + 1}] AS DOUBLE)"
             cols.append(f"round({v}, 6) AS expert_{e}_{o}")
     return "SELECT vec_id, " + ", ".join(cols) + " FROM embeddings"
 
