@@ -170,3 +170,21 @@ def q_stream_s07(spark, sf_dir):
 
 
 __all__ = ["NEWS_SCHEMA"]
+
+
+@register("stream_s02_window_count", S02_SQL)
+def q_stream_s02(spark, sf_dir):
+    """Complete mode: every (day, location) window."""
+    out = run_to_table(sq.window_count(_stream(spark, sf_dir), RECENT_SIZE, ["location"]),
+                       "stream_windows", "complete")
+    return comparable(sq.flat_window(out))
+
+
+@register("stream_s05_active_by_location", _recent_sql())
+def q_stream_s05(spark, sf_dir):
+    """Complete mode with a fixed 'now' (the latest event time, one value)."""
+    as_of = _events(spark, sf_dir).agg(F.max("event_time")).first()[0]
+    out = run_to_table(sq.active_by_location(_stream(spark, sf_dir), RECENT_MINUTES, RECENT_SIZE,
+                                             as_of=F.lit(as_of), sort=True),
+                       "stream_active", "complete")
+    return comparable(sq.flat_window(out))
