@@ -130,10 +130,12 @@ def expert_columns(df: DataFrame, vec_col: str, experts: int, outputs: int) -> l
 
 def fit_surrogate_tree(df: DataFrame, feature_cols: list[str], label_col: str = "label",
                        depths=(3, 10, 20), min_leaf=(1, 5), impurities=("gini", "entropy"),
-                       folds: int = 3, seed: int = 42):
+                       folds: int = 3, seed: int = 42, parallelism: int = 8):
     """ML-08: decision tree over per-expert columns; depth, leaf size and
     criterion chosen by cross-validated weighted precision. (The reference's
-    ``min_samples_split`` has no Spark counterpart.)"""
+    ``min_samples_split`` has no Spark counterpart.) The input is written
+    once: folds x grid + 1 fits read it."""
+    df = materialize(df.select(label_col, *feature_cols), "tree-input")
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     dt = DecisionTreeClassifier(labelCol=label_col, featuresCol="features", seed=seed)
     grid = (ParamGridBuilder().addGrid(dt.maxDepth, list(depths))
@@ -143,7 +145,7 @@ def fit_surrogate_tree(df: DataFrame, feature_cols: list[str], label_col: str =
                         estimatorParamMaps=grid,
                         evaluator=MulticlassClassificationEvaluator(
                             labelCol=label_col, metricName="weightedPrecision"),
-                        numFolds=folds, seed=seed, parallelism=3)
+                        numFolds=folds, seed=seed, parallelism=parallelism)
     return cv.fit(df)
 
 
