@@ -4,8 +4,9 @@ A global ``row_number() over (order by k)`` moves every row into one task.
 Here the rows are range-partitioned on the key instead, sorted inside each
 partition and numbered locally (``monotonically_increasing_id`` =
 partition << 33 | position), then shifted by the row count of all earlier
-partitions. The count table has one row per partition (a configured number),
-so broadcasting it is bounded whatever the data size.
+partitions. The count table has one row per partition (at most the
+configured partition count), so broadcasting it is bounded whatever the data
+size.
 
 The numbered rows are written once as a parquet table under the shared
 ``spark.checkpoint.dir`` and read back: the counting side and the numbering
@@ -29,10 +30,16 @@ _LOCAL_BITS = 33
 
 def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
     """Range-partition, sort within partitions, tag ``_rid``/``_pid``; written
-    once to shared storage and read back."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (df.repartitionByRange(n, *keys)
-                  .sortWithinPartitions(*keys)
+    once to shared storage and read back.
+
+    Without ``num_partitions`` the exchange is sized by adaptive execution:
+    it starts from the configured partition count and coalesces adjacent
+    ranges to the advisory partition size, which keeps them in key order.
+    The partition ids that the numbering uses are fixed by the write, so the
+    count side and the numbering side read the same ones."""
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    numbered = (ranged.sortWithinPartitions(*keys)
                   .withColumn("_rid", F.monotonically_increasing_id()))
     return materialize(numbered, "ranged").withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
 

@@ -32,3 +32,12 @@ def test_running_sum(spark):
     out = with_running_sum(df, "s", ["n"], num_partitions=5)
     ref = df.withColumn("ref", F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)))
     assert out.join(ref, ["s", "n"]).filter(F.col("n_cum") != F.col("ref")).count() == 0
+
+
+def test_index_with_adaptive_partitions(spark):
+    random.seed(9)
+    keys = random.sample(range(1_000_000), 3000)
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(6)
+    ix = with_index(df, "k")
+    got = sorted((r["k"], r["index"]) for r in ix.collect())
+    assert [i for _, i in got] == list(range(3000))
