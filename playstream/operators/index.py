@@ -37,8 +37,12 @@ def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataF
     ranges to the advisory partition size, which keeps them in key order.
     The partition ids that the numbering uses are fixed by the write, so the
     count side and the numbering side read the same ones."""
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
+    # Range bounds come from a sampling job over the input: written first,
+    # the sampler and the exchange both read the table instead of each
+    # recomputing the input's lineage (windows, aggregates).
+    src = materialize(df, "range-input")
+    ranged = (src.repartitionByRange(num_partitions, *keys) if num_partitions
+              else src.repartitionByRange(*keys))
     numbered = (ranged.sortWithinPartitions(*keys)
                   .withColumn("_rid", F.monotonically_increasing_id()))
     return materialize(numbered, "ranged").withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
