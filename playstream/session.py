@@ -84,3 +84,18 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's folder under the checkpoint folder (the
+    tables ``materialize`` and ``scratch_path`` created). Call it when the
+    results that read them are no longer needed, e.g. at the end of a job."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if not current:
+        return
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(current)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -18,6 +18,8 @@ def spark():
     # tests only: a private folder when the session names none
     ensure_checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="ps-ckpt-"))
     yield s
+    from playstream.session import drop_scratch
+    drop_scratch(s)
     s.stop()
 
 
