@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.prep import expert_columns
 from ..operators import mining as mn
 from ..session import materialize
 from ..operators.sequences import decision_steps, to_basket, to_features
@@ -99,7 +101,7 @@ def q_ml06(spark, sf_dir):
     """Rows-only: cross-validated forest; one row with the exact test AUC
     and the evaluator's AUC."""
     _, scored = mn.fit_policy_model(to_features(_play_steps(spark, sf_dir)))
-    exact = mn.auc(scored.select("label", F.get(mn.vector_to_array("probability"), 1).alias("score")))
+    exact = mn.auc(scored.select("label", F.get(vector_to_array("probability"), 1).alias("score")))
     return exact.withColumn("evaluator_auc", F.lit(mn.evaluator_auc(scored)))
 
 
@@ -131,7 +133,7 @@ def q_ml08(spark, sf_dir):
     outputs, predicting the embedding label; test predictions."""
     emb = read_table(spark, sf_dir, "embeddings")
     wide = emb.select("vec_id", F.col("label").cast("double").alias("label"),
-                      *mn.expert_columns(emb, "embedding", EXPERTS, OUTPUTS))
+                      *expert_columns("embedding", EXPERTS, OUTPUTS))
     train, test = wide.randomSplit([0.8, 0.2], seed=42)
     feats = [c for c in wide.columns if c.startswith("expert_")]
     model = mn.fit_surrogate_tree(train, feats)

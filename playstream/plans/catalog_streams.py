@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from ..streaming import queries as sq
 from ..streaming.runner import event_topic, run_to_table
-from ..streaming.sources import (
-    NEWS_SCHEMA, decode_events, events_source, news_values, with_event_time,
-)
+from ..streaming.sources import decode_events, events_source, news_values, with_event_time
 from .compare import comparable
 from .registry import register
 
@@ -169,8 +167,6 @@ def q_stream_s07(spark, sf_dir):
     return comparable(out)
 
 
-__all__ = ["NEWS_SCHEMA"]
-
 
 @register("stream_s02_window_count", S02_SQL)
 def q_stream_s02(spark, sf_dir):
