@@ -62,7 +62,9 @@ def error_distribution(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_p
     lo, w = F.lit(float(lo_v)), F.lit((float(hi_v) - float(lo_v)) / bins)
     base = F.lit(0.0) if legacy_bins else lo
     x = t - base
-    guess = F.ceil(x / w)
+    # a constant truth has width 0: no legacy bin holds it (as in the
+    # reference); the full-range form puts it in bin 1
+    guess = F.ceil(F.try_divide(x, w))
     # one correction step makes the bin agree with the boundary comparisons
     i = (F.when(x > w * guess, guess + 1)
           .when(x <= w * (guess - 1), guess - 1)

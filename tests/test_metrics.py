@@ -42,6 +42,13 @@ def test_error_distribution_legacy_bins(spark):
     assert 5 not in out
 
 
+def test_error_distribution_constant_truth(spark):
+    df = spark.createDataFrame([(5.0, 4.0), (5.0, 7.0)], "y_true double, y_pred double")
+    assert rg.error_distribution(df, bins=5).count() == 0
+    full = rg.error_distribution(df, bins=5, legacy_bins=False).collect()
+    assert [(r["bin"], r["n_sample"]) for r in full] == [(1, 2)]
+
+
 def brute_prf(pairs):
     classes = sorted({t for t, _ in pairs} | {p for _, p in pairs})
     res = {}
