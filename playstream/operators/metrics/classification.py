@@ -58,13 +58,13 @@ def classification_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str =
     per = _prf(per_class_counts(df, y_true, y_pred))
     if average == "macro":
         agg = per.agg(F.avg("precision").alias("precision"), F.avg("recall").alias("recall"),
-                      F.avg("f1").alias("f1"), (F.sum("tp") / F.first("n")).alias("accuracy"))
+                      F.avg("f1").alias("f1"), F.try_divide(F.sum("tp"), F.first("n").cast("double")).alias("accuracy"))
     elif average == "weighted":
         w = F.col("support")
         agg = per.agg(*[(F.sum(F.col(m) * w) / F.sum(w)).alias(m) for m in ("precision", "recall", "f1")],
-                      (F.sum("tp") / F.first("n")).alias("accuracy"))
+                      F.try_divide(F.sum("tp"), F.first("n").cast("double")).alias("accuracy"))
     elif average == "micro":
-        acc = F.sum("tp") / F.first("n")
+        acc = F.try_divide(F.sum("tp"), F.first("n").cast("double"))
         agg = per.agg(acc.alias("precision"), acc.alias("recall"), acc.alias("f1"), acc.alias("accuracy"))
     else:
         raise ValueError("average must be weighted, macro or micro")
@@ -115,7 +115,7 @@ def ordinal_errors(df: DataFrame, diff: str = "diff") -> tuple[DataFrame, DataFr
     hist = df.filter(d > 0).groupBy(d.alias("diff")).agg(F.count(F.lit(1)).alias("count"))
     summary = df.agg(
         F.avg(F.when(d > 0, d)).alias("error_mean"),
-        (F.count_if(d > 0) / F.count(F.lit(1)) * 100).alias("error_rate"),
+        (F.try_divide(F.count_if(d > 0), F.count(F.lit(1)).cast("double")) * 100).alias("error_rate"),
         F.avg(d).alias("overall_mean"),
     )
     return hist, summary

@@ -78,6 +78,12 @@ def test_classification_averages(spark):
     assert close(m["f1"], sum(v[2] for v in per.values()) / len(per))
 
 
+def test_empty_inputs_give_nulls_not_errors(spark):
+    empty = spark.createDataFrame([], "y_true string, y_pred string, diff int")
+    assert cl.ordinal_errors(empty)[1].first()["error_rate"] is None
+    assert cl.classification_metrics(empty.select("y_true", "y_pred")).count() == 1
+
+
 def test_hard_auc_and_single_class(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0), (0, 1)], "y_true int, y_pred int")
     assert close(cl.hard_auc(df).first()[0], (1 / 2 + 2 / 3) / 2)
