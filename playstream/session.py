@@ -99,3 +99,8 @@ def drop_scratch(spark: SparkSession) -> None:
     fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
+    # forget the event topic files written for this application
+    from .streaming import runner
+    app = sc.applicationId
+    for key in [k for k in runner._TOPICS if k[0] == app]:
+        del runner._TOPICS[key]
