@@ -242,3 +242,18 @@ def q_so02(spark, sf_dir):
     w = rp.win_rate_by_first_card(_train(spark, sf_dir), fx.TRAIN_HANDS, by_chunk=True)
     return comparable(top_n(w, TOP_N, [F.desc("win_rate"), F.desc("total_games"),
                                        "first_card", "chunk_number"]))
+
+
+@register("rp03c_outcomes_by_first_card", f"""{episodes_sql(False)}
+SELECT shown_cards[1] AS first_card, result, count(*) AS count FROM r GROUP BY ALL""")
+def q_rp03c(spark, sf_dir):
+    """AG-01 with two keys: games per (first card, outcome), the breakdown
+    behind the win rates."""
+    from pyspark.sql import functions as F
+
+    from ..functions.episodes import enrich
+    from ..operators.aggregates import group_count
+    g = enrich(_play(spark, sf_dir), fx.PLAY_HANDS).select(
+        F.col("agent_first_card").alias("first_card"), "result")
+    return comparable(group_count(g, ["first_card", "result"])
+                      .orderBy(F.desc("count"), F.desc("first_card")))
