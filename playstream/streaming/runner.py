@@ -48,15 +48,29 @@ def start(df: DataFrame, sink: str = "console", mode: str = "update",
 
 
 def run_to_table(df: DataFrame, name: str, mode: str,
-                 checkpoint: str | None = None) -> DataFrame:
+                 checkpoint: str | None = None,
+                 state_partitions: int | None = None) -> DataFrame:
     """Process everything available now into a memory table and return it
-    (used to compare a stream run with its static twin)."""
-    q = start(df, sink="memory", mode=mode, query_name=name, available_now=True,
-              checkpoint=checkpoint)
-    q.awaitTermination()
+    (used to compare a stream run with its static twin).
+
+    A stateful query keeps the number of state partitions it starts with
+    (``spark.sql.shuffle.partitions`` at its first batch, then fixed in the
+    checkpoint). Every partition commits state on every micro-batch, so this
+    run uses the cluster's parallelism (``state_partitions`` to override)
+    and restores the session setting when the run has finished."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = start(df, sink="memory", mode=mode, query_name=name, available_now=True,
+                  checkpoint=checkpoint)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return df.sparkSession.table(name)
+    return spark.table(name)
 
 
 _TOPICS: dict[tuple[str, str, int], str] = {}
