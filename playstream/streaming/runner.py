@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .sources import news_values
 
 
@@ -100,8 +100,9 @@ def write_event_files(spark: SparkSession, sf_dir: str, n_files: int = 6,
     time order (one append per time slice, so file times follow event time
     and a one-file-per-trigger reader sees events in order)."""
     path = path or scratch_path(spark, "news-topic")
-    vals = news_values(spark, sf_dir).withColumn(
-        "_t", F.unix_timestamp(F.to_timestamp("timestamp")))
+    # derived once; the cut points and every slice read the written values
+    vals = materialize(news_values(spark, sf_dir).withColumn(
+        "_t", F.unix_timestamp(F.to_timestamp("timestamp"))), "news-values")
     # n_files - 1 cut points: a small driver-side list by construction.
     bounds = vals.agg(F.percentile_approx("_t", [i / n_files for i in range(1, n_files)],
                                           10000).alias("b")).first()["b"]
