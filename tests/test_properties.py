@@ -69,3 +69,16 @@ def test_index_is_the_sorted_rank(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(parts)
     got = dict((r["k"], r["index"]) for r in with_index(df, "k").collect())
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+@SETTINGS
+@given(st.lists(st.integers(min_value=1, max_value=9), min_size=1, max_size=200))
+def test_exact_quartiles_are_lower_quantiles(spark, values):
+    import math
+
+    from playstream.operators.aggregates import quartiles
+    df = spark.createDataFrame([(v,) for v in values], "x int")
+    s = sorted(values)
+    want = [s[max(0, math.ceil(p * len(s)) - 1)] for p in (0.25, 0.5, 0.75)]
+    assert quartiles(df, "x", err=0.0) == want
+    assert [float(v) for v in want] == df.approxQuantile("x", [0.25, 0.5, 0.75], 0.0)
