@@ -31,6 +31,11 @@ def _chunked(df: DataFrame, by_chunk: bool, order_key: str, size: int) -> DataFr
     return with_chunk(df, order_key, size).drop("index") if by_chunk else df
 
 
+def _key(by_chunk: bool, order_key: str) -> list[str]:
+    """The order key is needed only to number games into chunks."""
+    return [order_key] if by_chunk else []
+
+
 def with_risk(games: DataFrame, n_hands: int, err: float = 0.0,
               keep: tuple[str, ...] = (ORDER_KEY,), by_chunk: bool = False,
               chunk_size: int = CHUNK_SIZE, order_key: str = ORDER_KEY) -> DataFrame:
@@ -61,8 +66,8 @@ def strategy_share(games: DataFrame, n_hands: int = 8, by_chunk: bool = True,
     """RP-02a (by chunk, share of the chunk size) and RP-02b (whole table,
     ``denom="total"`` for the true share or 500 for the reference's second
     play table)."""
-    risk = with_risk(games, n_hands, err, keep=(order_key,), by_chunk=by_chunk,
-                     chunk_size=chunk_size, order_key=order_key)
+    risk = with_risk(games, n_hands, err, keep=tuple(_key(by_chunk, order_key)),
+                     by_chunk=by_chunk, chunk_size=chunk_size, order_key=order_key)
     keys = (["chunk_number"] if by_chunk else []) + ["risk_level"]
     out = strategy_profile(risk, keys, denom=denom)
     return out.orderBy(*(["chunk_number"] if by_chunk else []), "count")
@@ -72,7 +77,7 @@ def win_rate_by_first_card(games: DataFrame, n_hands: int = 8, by_chunk: bool =
                            chunk_size: int = CHUNK_SIZE,
                            order_key: str = ORDER_KEY) -> DataFrame:
     """RP-03a: games, wins and win rate per agent first card (and chunk)."""
-    g = enrich(games, n_hands).select(order_key, "result",
+    g = enrich(games, n_hands).select(*_key(by_chunk, order_key), "result",
                                       F.col("agent_first_card").alias("first_card"))
     g = _chunked(g, by_chunk, order_key, chunk_size)
     keys = ["first_card"] + (["chunk_number"] if by_chunk else [])
@@ -83,7 +88,7 @@ def moves_by_shown(games: DataFrame, n_hands: int = 8, by_chunk: bool = True,
                    chunk_size: int = CHUNK_SIZE, order_key: str = ORDER_KEY) -> DataFrame:
     """RP-03b: count, share of 500 and distinct move counts per shown pair
     (an array-valued group key)."""
-    g = games.select(order_key, SHOWN, n_moves(n_hands).alias("n_moves"))
+    g = games.select(*_key(by_chunk, order_key), SHOWN, n_moves(n_hands).alias("n_moves"))
     g = _chunked(g, by_chunk, order_key, chunk_size)
     keys = (["chunk_number"] if by_chunk else []) + [SHOWN]
     out = strategy_profile(g, keys, denom=chunk_size)
@@ -95,7 +100,7 @@ def win_rate_by_distance(games: DataFrame, n_hands: int = 8, by_chunk: bool = Tr
                          chunk_size: int = CHUNK_SIZE,
                          order_key: str = ORDER_KEY) -> DataFrame:
     """RP-04: win rate per final agent total / distance to 21 (non-bust)."""
-    g = enrich(games, n_hands).select(order_key, "final_hand", "result")
+    g = enrich(games, n_hands).select(*_key(by_chunk, order_key), "final_hand", "result")
     # chunks number all games; the non-bust filter comes after
     g = with_distance(_chunked(g, by_chunk, order_key, chunk_size))
     keys = ["agent_hand"] + (["chunk_number"] if by_chunk else []) + ["distance_from_21"]
@@ -106,7 +111,7 @@ def hit_stats(games: DataFrame, n_hands: int = 8, by_chunk: bool = True,
               chunk_size: int = CHUNK_SIZE, order_key: str = ORDER_KEY) -> DataFrame:
     """RP-05: consistency of the number of hits per (agent, opponent) first
     card: sample variance, exact quartiles, distinct values."""
-    g = enrich(games, n_hands).select(order_key, "agent_first_card",
+    g = enrich(games, n_hands).select(*_key(by_chunk, order_key), "agent_first_card",
                                       "opponent_first_card",
                                       F.col("n_moves").alias("n_hits"))
     g = _chunked(g, by_chunk, order_key, chunk_size)
