@@ -1,8 +1,9 @@
-"""Batch job: every game report from raw game tables, written as parquet.
+"""Batch job: game reports and mined rules from raw game tables, as parquet.
 
 The switch path for batch users: point it at the training and play game
 tables as they are stored (columns ``Shown_cards``, ``Hand 0`` ..), and it
-writes one parquet output per report (IO-01, PR-03, RP-01 .. RP-07, IO-02).
+writes one parquet output per report (IO-01, PR-03, RP-01 .. RP-07, ML-01 ..
+ML-03 from the play games, IO-02).
 
     python -m playstream.jobs --train T --play P --out DIR [--reports rp01,rp04]
 
@@ -19,6 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.episodes import normalise_games
+from .operators import mining as mn
+from .operators.sequences import decision_steps, to_basket
 from .plans import reports as rp
 from .sources.sinks import write_result
 from .sources.tables import read_games
@@ -41,6 +44,11 @@ REPORTS: dict[str, tuple[bool, Report]] = {
     "rp05_hit_stats_play": (False, lambda t, p, nt, npl, k: rp.hit_stats(p, npl, False, order_key=k)),
     "rp06_risk_pivot": (True, lambda t, p, nt, npl, k: rp.risk_pivot(rp.risk_by_chunk(t, nt, order_key=k))),
     "rp07_win_matrix": (False, lambda t, p, nt, npl, k: rp.win_matrix(rp.win_rate_by_distance(p, npl, False, order_key=k))),
+    "ml01_decision_steps": (False, lambda t, p, nt, npl, k: decision_steps(p, npl, k)),
+    "ml02_frequent_itemsets": (False, lambda t, p, nt, npl, k: mn.frequent_itemsets(
+        mn.fit_fpgrowth(to_basket(decision_steps(p, npl, k))))),
+    "ml03_association_rules": (False, lambda t, p, nt, npl, k: mn.association_rules(
+        mn.fit_fpgrowth(to_basket(decision_steps(p, npl, k))))),
 }
 
 

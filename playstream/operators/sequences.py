@@ -37,12 +37,14 @@ def step_array(n_hands: int) -> Column:
     return F.slice(steps, 1, first_stand.cast("int"))
 
 
-def decision_steps(games: DataFrame, n_hands: int, key: str = "l_orderkey") -> DataFrame:
-    """ML-01: one row per decision: key, step, player_total, dealer_card, action."""
+def decision_steps(games: DataFrame, n_hands: int, key: str | None = "l_orderkey") -> DataFrame:
+    """ML-01: one row per decision: [key,] step, player_total, dealer_card,
+    action (the game key is kept when the table has one)."""
+    keys = [key] if key and key in games.columns else []
     return games.select(
-        key, F.get(F.col(SHOWN), 1).alias("dealer_card"),
+        *keys, F.get(F.col(SHOWN), 1).alias("dealer_card"),
         F.inline(step_array(n_hands)),
-    ).select(key, "step", "player_total", "dealer_card", "action")
+    ).select(*keys, "step", "player_total", "dealer_card", "action")
 
 
 def to_basket(steps: DataFrame, col: str = "features") -> DataFrame:
