@@ -204,10 +204,12 @@ def q_pr17(spark, sf_dir):
     return comparable(oh.select("filepaths", "split", *prep.CATEGORY_ORDER))
 
 
-@register("pr18_shuffle")
+@register("pr18_shuffle", MANIFEST_SQL + "\nSELECT * FROM t")
 def q_pr18(spark, sf_dir):
-    """Rows-only: seeded permutation of the whole prepared manifest."""
-    return prep.shuffle(_prepared(spark, sf_dir), "filepaths", seed=55)
+    """Seeded permutation of the whole prepared manifest. The comparison is
+    order-insensitive, so the oracle checks that it is a permutation: every
+    row once, nothing lost or added."""
+    return comparable(prep.shuffle(_prepared(spark, sf_dir), "filepaths", seed=55))
 
 
 EMB = "embeddings"

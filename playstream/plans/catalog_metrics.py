@@ -27,7 +27,9 @@ def sci(df, cols=None):
     """Doubles of large magnitude compare in ``%.6e`` form (7 significant
     digits): summation order differs between engines in the last bits."""
     names = cols or [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.format_string("%.6e", F.col(c)) for c in names})
+    # Java formatting prints a null as the string "null": keep it null
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.format_string("%.6e", F.col(c)))
+                           for c in names})
 
 
 def _regression(spark, sf_dir):
@@ -47,7 +49,7 @@ def _e(x: str) -> str:
     return f"printf('%.6e', {x})"
 
 
-@register("ev01_regression_metrics", f"""{REG_SQL},
+REG_RAW_SQL = f"""{REG_SQL},
 m AS (SELECT avg(t) AS mt FROM d),
 s AS (SELECT count(*) AS n, avg(abs(p - t)) AS mae, avg((p - t) * (p - t)) AS mse,
     sum((p - t) * (p - t)) AS ss_res, sum((t - mt) * (t - mt)) AS ss_tot,
@@ -55,9 +57,13 @@ s AS (SELECT count(*) AS n, avg(abs(p - t)) AS mae, avg((p - t) * (p - t)) AS ms
     var_pop(abs(p - t)) AS ev, stddev_pop(abs(p - t)) AS es FROM d, m),
 r AS (SELECT *, CASE WHEN ss_tot = 0 THEN (CASE WHEN ss_res = 0 THEN 1.0 ELSE 0.0 END)
                      ELSE 1 - ss_res / ss_tot END AS r2 FROM s)
-SELECT n, {_e('mae')} AS mae, {_e('mse')} AS mse, {_e('sqrt(mse)')} AS rmse, {_e('r2')} AS r2,
-  {_e('mape')} AS mape, {_e('mae')} AS error_mean, {_e('ev')} AS error_variance,
-  {_e('es')} AS error_std, {_e('1 - (1 - r2) * (n - 1) / (n - 2 - 1)')} AS adjusted_r2 FROM r""")
+SELECT n, mae, mse, sqrt(mse) AS rmse, r2, mape, mae AS error_mean, ev AS error_variance,
+  es AS error_std, 1 - (1 - r2) * (n - 1) / (n - 2 - 1) AS adjusted_r2 FROM r"""
+
+
+@register("ev01_regression_metrics", "SELECT n, " + ", ".join(
+    f"{_e(c)} AS {c}" for c in ("mae", "mse", "rmse", "r2", "mape", "error_mean", "error_variance",
+                                "error_std", "adjusted_r2")) + f" FROM ({REG_RAW_SQL}) x")
 def q_ev01(spark, sf_dir):
     return sci(rg.regression_metrics(_regression(spark, sf_dir), n_features=2))
 
@@ -208,7 +214,7 @@ CLUSTER_SQL = """WITH e AS (SELECT vec_id AS id, embedding, label AS truth,
     CAST(list_position(embedding[1:4], list_max(embedding[1:4])) - 1 AS INTEGER) AS k FROM embeddings)"""
 
 
-@register("ev09_clustering_external", f"""{CLUSTER_SQL},
+EXT_RAW_SQL = f"""{CLUSTER_SQL},
 ct AS (SELECT truth AS c, k, CAST(count(*) AS DOUBLE) AS nij FROM e GROUP BY 1, 2),
 a AS (SELECT c, sum(nij) AS ai FROM ct GROUP BY c), b AS (SELECT k, sum(nij) AS bj FROM ct GROUP BY k),
 tot AS (SELECT sum(nij) AS n FROM ct),
@@ -221,13 +227,18 @@ pairs AS (SELECT (SELECT sum(nij * (nij - 1) / 2) FROM ct) AS sij,
                  n * (n - 1) / 2 AS np FROM tot),
 s AS (SELECT *, CASE WHEN hc = 0 THEN 1.0 ELSE mi / hc END AS homog,
                 CASE WHEN hk = 0 THEN 1.0 ELSE mi / hk END AS compl FROM mi0, h, pairs)
-SELECT round(CASE WHEN (sa + sb) / 2 = sa * sb / np THEN 1.0
-                  ELSE (sij - sa * sb / np) / ((sa + sb) / 2 - sa * sb / np) END, 6) AS adjusted_rand,
-  round(CASE WHEN (nc = 1 AND nk = 1) OR (nc = 0 AND nk = 0) THEN 1.0 WHEN mi = 0 THEN 0.0
-             ELSE mi / ((hc + hk) / 2) END, 6) AS normalized_mutual_info,
-  round(homog, 6) AS homogeneity, round(compl, 6) AS completeness,
-  round(CASE WHEN homog + compl = 0 THEN 0.0 ELSE 2 * homog * compl / (homog + compl) END, 6) AS v_measure
-FROM s""")
+SELECT CASE WHEN (sa + sb) / 2 = sa * sb / np THEN 1.0
+                  ELSE (sij - sa * sb / np) / ((sa + sb) / 2 - sa * sb / np) END AS adjusted_rand,
+  CASE WHEN (nc = 1 AND nk = 1) OR (nc = 0 AND nk = 0) THEN 1.0 WHEN mi = 0 THEN 0.0
+             ELSE mi / ((hc + hk) / 2) END AS normalized_mutual_info,
+  homog AS homogeneity, compl AS completeness,
+  CASE WHEN homog + compl = 0 THEN 0.0 ELSE 2 * homog * compl / (homog + compl) END AS v_measure
+FROM s"""
+
+
+@register("ev09_clustering_external", "SELECT " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in ("adjusted_rand", "normalized_mutual_info", "homogeneity",
+                                      "completeness", "v_measure")) + f" FROM ({EXT_RAW_SQL}) x")
 def q_ev09(spark, sf_dir):
     c = _clusters(spark, sf_dir)
     return comparable(cu.clustering_external(c, labels="label", truth="truth"))
@@ -282,12 +293,37 @@ def q_ev12(spark, sf_dir):
     return comparable(cu.silhouette(_clusters(spark, sf_dir), vec="embedding", labels="label"))
 
 
-@register("se01_metric_registry")
+def _reg_sql() -> str:
+    """Three registry rows: the regression, classification and clustering
+    statements above, each value rounded to 4 places, missing columns null."""
+    reg_cols = ["mae", "mse", "rmse", "r2", "mape", "error_mean", "error_variance",
+                "error_std", "adjusted_r2"]
+    cls_cols = ["accuracy", "precision", "recall", "f1"]
+    ext_cols = ["adjusted_rand", "normalized_mutual_info", "homogeneity", "completeness", "v_measure"]
+    allc = reg_cols + cls_cols + ext_cols
+
+    def row(name, src, cols, n):
+        vals = ", ".join(
+            (f"printf('%.6e', round(CAST({c} AS DOUBLE), 4)) AS {c}" if c in cols
+             else f"CAST(NULL AS VARCHAR) AS {c}") for c in allc)
+        return f"SELECT '{name}' AS algorithm, {n} AS n, {vals} FROM ({src}) x"
+
+    reg = REG_RAW_SQL
+    cls = _avg_sql("weighted").replace("round(", "(").replace(", 6)", ")")
+    ext = EXT_RAW_SQL
+    return " UNION ALL ".join([
+        row("price_from_quantity", reg, reg_cols, "n"),
+        row("card_recogniser", cls, cls_cols, "CAST(NULL AS BIGINT)"),
+        row("argmax_head", ext, ext_cols, "CAST(NULL AS BIGINT)")])
+
+
+@register("se01_metric_registry", _reg_sql())
 def q_se01(spark, sf_dir):
-    """Rows-only: regression, classification and clustering rows in one
-    registry table (4 decimals, missing columns null)."""
+    """Regression, classification and clustering rows in one registry table
+    (4 decimals, missing columns null)."""
     reg = register_metrics(None, "price_from_quantity",
                            rg.regression_metrics(_regression(spark, sf_dir), n_features=2))
     reg = register_metrics(reg, "card_recogniser", cl.classification_metrics(_cards(spark, sf_dir)))
     c = _clusters(spark, sf_dir)
-    return register_metrics(reg, "argmax_head", cu.clustering_external(c, labels="label", truth="truth"))
+    reg = register_metrics(reg, "argmax_head", cu.clustering_external(c, labels="label", truth="truth"))
+    return sci(reg)
