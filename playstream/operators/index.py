@@ -50,6 +50,9 @@ def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataF
 
 def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,
                name: str = "index", num_partitions: int | None = None) -> DataFrame:
+    """PR-01: add ``name`` = base, base+1, .. in ``order_by`` order (a unique
+    key). ``num_partitions`` fixes the range partition count; by default
+    adaptive execution sizes it."""
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     tagged = _ranged(df, keys, num_partitions)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
