@@ -70,3 +70,25 @@ def test_exact_auc_against_pairs(spark):
     neg = [s for l, s in rows if l == 0]
     brute = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
     assert abs(mn.auc(df).first()["auc"] - brute) < 1e-12
+
+
+def test_policy_model_auc_bounds(spark):
+    """ML-06: seeded forest, hold-out AUC in [0.5, 1] by both measures."""
+    from playstream.operators.sequences import to_features
+    steps = decision_steps(fx.play_games(spark, SF001), fx.PLAY_HANDS)
+    model, scored = mn.fit_policy_model(to_features(steps), num_trees=10)
+    from pyspark.ml.functions import vector_to_array
+    exact = mn.auc(scored.select("label", F.get(vector_to_array("probability"), 1).alias("score")))
+    assert 0.5 <= exact.first()["auc"] <= 1.0
+    assert 0.5 <= mn.evaluator_auc(scored) <= 1.0
+
+
+def test_quantise_assigns_nearest_centroid(spark):
+    """ML-09: every row carries the centroid closest to it."""
+    from playstream.sources.tables import read_table
+    emb = read_table(spark, SF001, "embeddings").select("vec_id", F.slice("embedding", 1, 3).alias("v"))
+    q = mn.quantise(emb, "v", k=3, seed=1)
+    centres = [r["centroid"] for r in q.select("cluster", "centroid").distinct().collect()]
+    for r in q.collect():
+        d = [sum((a - b) ** 2 for a, b in zip(r["v"], c)) for c in centres]
+        assert sum((a - b) ** 2 for a, b in zip(r["v"], r["centroid"])) <= min(d) + 1e-9
