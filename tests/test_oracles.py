@@ -14,6 +14,14 @@ from playstream.sources.tables import TABLES, table_path
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
 SLOW = {"ml06_policy_model", "ml08_surrogate_tree", "ev13_quantise_quality"}
+# no cartesian / nested-loop joins and no Python UDFs in any registered plan
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "PythonUDF")
+
+
+def assert_plan_clean(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in FORBIDDEN if k in plan]
 
 
 def norm(v):
@@ -42,7 +50,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SF001).toPandas()
+    df = QUERIES[name](spark, SF001)
+    got = df.toPandas()
+    assert_plan_clean(df)
     want = con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
@@ -51,7 +61,9 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF001).count() >= 1
+    df = QUERIES[name](spark, SF001)
+    assert df.count() >= 1
+    assert_plan_clean(df)
 
 
 def test_entry_smoke(spark):

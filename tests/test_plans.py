@@ -2,17 +2,14 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-import __spark_entry__ as entry
 from playstream.sources import fixtures as fx
 from playstream.sources.tables import read_table
 
-SLOW = {"ml06_policy_model", "ml08_surrogate_tree", "ev13_quantise_quality"}
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-             "ArrowEvalPython", "PythonUDF")
+# (the no-cross-join / no-Python-UDF check of every registered query runs
+# with the oracle tests, on the same executions)
 
 
 def executed_plan(df):
@@ -68,12 +65,6 @@ def test_hot_order_is_bounded_and_exact(spark):
     assert games.count() == len({r[0] for r in rows})
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
-def test_no_cross_join_or_python_udf(spark, name):
-    plan = executed_plan(entry.queries()[name](spark, SF001))
-    assert not [k for k in FORBIDDEN if k in plan]
-
-
 def test_aggregates_are_partial_before_the_shuffle(spark):
     g = read_table(spark, SF001, "lineitem").groupBy("l_returnflag").count()
     plan = executed_plan(g)
