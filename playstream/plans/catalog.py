@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from ..sources import fixtures as fx
 from . import reports as rp
-from .compare import comparable
+from .compare import comparable, nullable_ints_as_double
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 
@@ -188,13 +188,14 @@ def q_rp05_play(spark, sf_dir):
 
 @register("rp06_risk_pivot", f"""WITH base AS ({RP01_SQL})
 SELECT chunk_number,
-  max(CASE WHEN risk_level = 'Safe' THEN count END) AS safe,
-  max(CASE WHEN risk_level = 'Tactical' THEN count END) AS tactical,
-  max(CASE WHEN risk_level = 'Risky' THEN count END) AS risky,
-  max(CASE WHEN risk_level = 'Suicidal' THEN count END) AS suicidal
+  CAST(max(CASE WHEN risk_level = 'Safe' THEN count END) AS DOUBLE) AS safe,
+  CAST(max(CASE WHEN risk_level = 'Tactical' THEN count END) AS DOUBLE) AS tactical,
+  CAST(max(CASE WHEN risk_level = 'Risky' THEN count END) AS DOUBLE) AS risky,
+  CAST(max(CASE WHEN risk_level = 'Suicidal' THEN count END) AS DOUBLE) AS suicidal
 FROM base GROUP BY chunk_number""")
 def q_rp06(spark, sf_dir):
-    return comparable(rp.risk_pivot(rp.risk_by_chunk(_train(spark, sf_dir), fx.TRAIN_HANDS)))
+    pivot = rp.risk_pivot(rp.risk_by_chunk(_train(spark, sf_dir), fx.TRAIN_HANDS))
+    return comparable(nullable_ints_as_double(pivot, ["safe", "tactical", "risky", "suicidal"]))
 
 
 @register("rp07_win_matrix", "WITH base AS ({b})\nSELECT distance_from_21, {cols}\nFROM base GROUP BY distance_from_21".format(

@@ -16,7 +16,7 @@ from ..sources import sinks
 from ..sources.tables import TABLES, read_table
 from . import reports as rp
 from .catalog import RP01_SQL, episodes_sql
-from .compare import comparable
+from .compare import comparable, nullable_ints_as_double
 from .registry import register
 
 
@@ -89,11 +89,13 @@ def q_ag11(spark, sf_dir):
 
 
 @register("ag13_visible_values", f"""WITH {CARD_SQL}
-SELECT hand_id, value, predicted_category, predicted_suit, visible_value, rejected FROM cv""")
+SELECT hand_id, value, predicted_category, predicted_suit, CAST(visible_value AS DOUBLE) AS visible_value,
+  rejected FROM cv""")
 def q_ag13(spark, sf_dir):
     c = cd.visible_value(fx.cards(read_table(spark, sf_dir, "lineitem")))
-    return comparable(c.select("hand_id", "value", "predicted_category", "predicted_suit",
-                               "visible_value", "rejected"))
+    return comparable(nullable_ints_as_double(
+        c.select("hand_id", "value", "predicted_category", "predicted_suit", "visible_value", "rejected"),
+        ["visible_value"]))
 
 
 @register("ag14_settlement", f"""WITH {CARD_SQL},
@@ -116,10 +118,11 @@ def q_ag14(spark, sf_dir):
 
 
 @register("jn03_state_rejects", HANDS_SQL + """
-SELECT hand_id, player_total, dealer_visible_card, usable_ace, reason FROM rs WHERE reason IS NOT NULL""")
+SELECT hand_id, player_total, CAST(dealer_visible_card AS DOUBLE) AS dealer_visible_card, usable_ace, reason
+FROM rs WHERE reason IS NOT NULL""")
 def q_jn03(spark, sf_dir):
     _, rejects = cd.split_valid_states(_states(spark, sf_dir))
-    return comparable(rejects.drop("clean"))
+    return comparable(nullable_ints_as_double(rejects.drop("clean"), ["dealer_visible_card"]))
 
 
 def _q_table(valid_states):

@@ -306,7 +306,7 @@ def _reg_sql() -> str:
         vals = ", ".join(
             (f"printf('%.6e', round(CAST({c} AS DOUBLE), 4)) AS {c}" if c in cols
              else f"CAST(NULL AS VARCHAR) AS {c}") for c in allc)
-        return f"SELECT '{name}' AS algorithm, {n} AS n, {vals} FROM ({src}) x"
+        return f"SELECT '{name}' AS algorithm, CAST({n} AS DOUBLE) AS n, {vals} FROM ({src}) x"
 
     reg = REG_RAW_SQL
     cls = _avg_sql("weighted").replace("round(", "(").replace(", 6)", ")")
@@ -326,4 +326,5 @@ def q_se01(spark, sf_dir):
     reg = register_metrics(reg, "card_recogniser", cl.classification_metrics(_cards(spark, sf_dir)))
     c = _clusters(spark, sf_dir)
     reg = register_metrics(reg, "argmax_head", cu.clustering_external(c, labels="label", truth="truth"))
-    return sci(reg)
+    return sci(reg.withColumn("n", F.col("n").cast("double")), [
+        f.name for f in reg.schema.fields if f.dataType.typeName() == "double"])

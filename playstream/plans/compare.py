@@ -29,3 +29,11 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def nullable_ints_as_double(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Integer columns that hold nulls by design, presented as doubles on
+    both sides: pandas turns a Spark int column with nulls into float64 but
+    a DuckDB one into a nullable integer type, so the same numbers would
+    print differently."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
