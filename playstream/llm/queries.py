@@ -62,3 +62,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@_query("op8_cost_balanced_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+    return pack(read_table(spark, sf_dir, "documents"), with_ids=False)
