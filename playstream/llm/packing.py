@@ -26,8 +26,8 @@ from .common import is_text
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Pre-tokens remembered by a task; more only cost time.
-CACHE_TOKENS = 400_000
+#: Words and pre-tokens remembered by a task; more only cost time.
+CACHE_WORDS, CACHE_PIECES = 400_000, 800_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
@@ -39,28 +39,42 @@ _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9\xB2\xB3\xB9\xBC
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit words, remembering the ids
-    of pre-tokens: a pre-token's ids do not depend on what stands around it."""
+    of pre-tokens and of the words they make: neither depends on what stands
+    around it, as pre-tokens end at white space."""
 
     def __init__(self, path: str | None = None):
         import public_tokenizers
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pre-tokens, all in one text: one pre-token for each of them."""
+        if not pieces:
+            return
+        e = self.model.encode(" ".join(pieces), add_special_tokens=False)
+        ids, of = np.asarray(e.ids, dtype="<u4").tobytes(), np.asarray(e.word_ids)
+        ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        self.pieces.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
-        plain = {p for pieces in split if pieces for p in pieces}
-        if len(self.known) + len(plain) > CACHE_TOKENS:
-            self.known = {p: self.known[p] for p in plain if p in self.known}
-        new = [p for p in plain if p not in self.known]
-        self.known.update(zip(new, self._ids(new)))
-        odd = iter(self._ids([t for t, pieces in zip(texts, split) if pieces is None]))
-        get = self.known.__getitem__
-        return [next(odd) if pieces is None else b"".join(map(get, pieces)) for pieces in split]
+        split = [None if _OTHER.search(t) else t.lower().split() for t in texts]
+        words = set().union(*(w for w in split if w))
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words = {w: self.words[w] for w in words - new}
+        parts = [(w, _PIECE.findall(w)) for w in new]
+        unseen = set().union(*(p for _, p in parts)).difference(self.pieces)
+        if len(self.pieces) + len(unseen) > CACHE_PIECES:
+            self.pieces, unseen = {}, set().union(*(p for _, p in parts))
+        self._learn(list(unseen))
+        piece = self.pieces.__getitem__
+        self.words.update((w, b"".join(map(piece, p))) for w, p in parts)
+        get = self.words.__getitem__
+        return [np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w is None
+                else b"".join(map(get, w)) for t, w in zip(texts, split)]
 
 
 def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
