@@ -68,3 +68,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     return pack(read_table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@_query("op5_warc_round_trip")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from playstream.session import scratch_path
+
+    from .warc import read_archives, write_archives
+    files = write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read_archives(files, with_payload=False).drop("url")
