@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playstream.session import materialize
 from playstream.sources.tables import read_table
 
-__all__ = ["materialize", "read_table", "row_key", "grouped", "utf8", "is_text"]
+__all__ = ["materialize", "read_table", "row_key", "small_side", "grouped", "utf8", "is_text"]
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -22,6 +22,16 @@ def row_key(id_col: str, text_col: str) -> Column:
                        F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("null")))
 
 
+#: Rows of a few numbers up to which a table is sent to all executors (tens of MB).
+BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A side of a join, given as a written table of few narrow columns: marked
+    for broadcast if it is counted to be small, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def is_text(value) -> bool:
     """False for the nulls of pandas columns."""
     return isinstance(value, str)

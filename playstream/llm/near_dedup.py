@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, is_text, materialize, utf8
+from .common import grouped, is_text, materialize, small_side, utf8
 from .components import connected_components
 
 #: Words remembered by a task; more only cost a hash each.
@@ -203,7 +203,7 @@ def _joined(percent: int):
 def _sets_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a = sets.select(F.col("id").alias("u"), F.col("hashes").alias("hashes_a"))
     b = sets.select(F.col("id").alias("v"), F.col("hashes").alias("hashes_b"))
-    return pairs.join(a, "u").join(b, "v")
+    return a.join(small_side(pairs), "u").join(b, "v")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
@@ -226,27 +226,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         _signed(shingle_words, bands, rows),
         "doc_id long, n_shingles long, set_key string, sig binary, bands array<long>"), "minhash")
     named = signed.where("doc_id is not null and set_key is not null")
-    classes = materialize(named.groupBy("set_key").agg(F.min("doc_id").alias("id")), "minhash-class")
-    reps = (named.join(classes.select(F.col("id").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
-            .dropDuplicates(["doc_id", "set_key"]))
-    # one id may carry several texts; its signature rows are then all kept
-    reps = materialize(reps.select(F.col("doc_id").alias("id"), "sig", "bands"), "minhash-rep")
+    classes = materialize(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "minhash-class")
+    # of a class only one row goes on; rows that share an id and differ in text are rows of their own classes
+    copies = materialize(named.select("doc_id", "set_key").join(classes.where("n > 1"), "set_key")
+                         .where("doc_id <> id").select("doc_id", "set_key"), "minhash-copy")
+    reps = (named.join(small_side(copies, 500_000), ["doc_id", "set_key"], "left_anti")
+            .select(F.col("doc_id").alias("id"), "sig", "bands"))
     rows_ = reps.select("id", F.explode("bands").alias("bucket"))
     # written before it is joined, so that a bucket that holds much of the rows is split by the skew join
     stars = materialize(rows_.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("n"))
                         .where("n > 1"), "minhash-star")
     members = materialize(rows_.join(stars, "bucket"), "minhash-bucket")
 
-    wanted = members.select("id").distinct()
+    wanted = small_side(materialize(members.select("id").distinct(), "minhash-member"))
     sets = materialize(
         docs.withColumnRenamed("doc_id", "id").join(wanted, "id")
         .mapInPandas(_full_sets(shingle_words), "id long, hashes binary")
         .dropDuplicates(["id", "hashes"]), "minhash-set")
-    sig = reps.select("id", "sig")
-    star = members.where("id <> centre").select(F.col("id").alias("u"), F.col("centre").alias("v")).distinct()
-    close = (star.join(sig.select(F.col("id").alias("u"), F.col("sig").alias("sig_a")), "u")
-             .join(sig.select(F.col("id").alias("v"), F.col("sig").alias("sig_b")), "v")
-             .mapInPandas(_agree(bound), "u long, v long"))
+    sig = materialize(reps.join(wanted, "id").select("id", "sig"), "minhash-sig")
+    star = materialize(members.where("id <> centre").select(F.col("id").alias("u"), F.col("centre").alias("v")).distinct(), "minhash-pair")
+    close = materialize(
+        sig.select(F.col("id").alias("u"), F.col("sig").alias("sig_a")).join(small_side(star), "u")
+        .join(sig.select(F.col("id").alias("v"), F.col("sig").alias("sig_b")), "v")
+        .mapInPandas(_agree(bound), "u long, v long"), "minhash-close")
     links = materialize(_sets_of(close, sets).mapInPandas(_confirm(percent), "u long, v long"), "minhash-link")
     found = materialize(connected_components(links), "minhash-comp")
 
@@ -254,7 +256,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     final = connected_components(links.unionAll(more))
     final = final.select(F.col("id"), F.col("component"))
     return (signed.select("doc_id", "n_shingles", "set_key")
-            .join(classes, "set_key", "left").join(final, "id", "left")
+            .join(classes.drop("n"), "set_key", "left").join(final, "id", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNull(), None)
                     .otherwise(F.coalesce("component", "id", "doc_id")).alias("component_id"))
