@@ -77,3 +77,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import read_archives, write_archives
     files = write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return read_archives(files, with_payload=False).drop("url")
+
+
+@_query("op3_line_crf_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import held_out, learn, score_documents
+    docs = read_table(spark, sf_dir, "documents")
+    model = learn(docs, read_table(spark, sf_dir, "labels"))
+    return score_documents(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
