@@ -85,3 +85,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = learn(docs, read_table(spark, sf_dir, "labels"))
     return score_documents(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@_query("op6_crf_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .secrets import learn, scan
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scan(docs, learn(docs))
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), count("model"),
+                      F.sha2(told(F.filter("found", lambda x: x["kind"] != "model")), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
