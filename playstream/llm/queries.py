@@ -103,3 +103,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return out.select("doc_id", count("assign"), count("access"), count("hex"), count("model"),
                       F.sha2(told(F.filter("found", lambda x: x["kind"] != "model")), 256).alias("base_sha256"), told(F.col("found")).alias("spans"))
+
+
+@_query("op9_html_tree_model")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .html_text import extract, learn
+    out = extract(read_table(spark, sf_dir, "pages"), learn())
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
