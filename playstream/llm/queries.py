@@ -112,3 +112,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import extract, learn
     out = extract(read_table(spark, sf_dir, "pages"), learn())
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+_OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v WHERE list_dot_product(e, e) > 0),
+link AS (
+  SELECT a.vec_id AS s, b.vec_id AS t FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+reach(s, t) AS (SELECT s, t FROM link UNION SELECT r.s, l.t FROM reach r JOIN link l ON r.t = l.s),
+comp AS (SELECT s, min(t) AS low FROM reach GROUP BY s),
+cnt AS (SELECT s, count(*) AS n FROM link GROUP BY s)
+SELECT e.vec_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN cnt ON cnt.s = e.vec_id LEFT JOIN comp ON comp.s = e.vec_id
+"""
+
+
+@_query("op10_epsilon_grid_order", _OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_embeddings
+    return near_embeddings(read_table(spark, sf_dir, "embeddings"))
