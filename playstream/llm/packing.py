@@ -26,8 +26,8 @@ from .common import is_text
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Words and pre-tokens remembered by a task; more only cost time.
-CACHE_WORDS, CACHE_PIECES = 400_000, 800_000
+#: Pre-tokens remembered by a worker; more only cost time.
+CACHE_PIECES = 800_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
@@ -39,16 +39,14 @@ _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9\xB2\xB3\xB9\xBC
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit words, remembering the ids
-    of pre-tokens and of the words they make: neither depends on what stands
-    around it, as pre-tokens end at white space."""
+    of pre-tokens: they do not depend on what stands around."""
 
     def __init__(self, path: str | None = None):
         import public_tokenizers
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pre-tokens, all in one text: one pre-token for each of them."""
@@ -57,24 +55,28 @@ class Encoder:
         e = self.model.encode(" ".join(pieces), add_special_tokens=False)
         ids, of = np.asarray(e.ids, dtype="<u4").tobytes(), np.asarray(e.word_ids)
         ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-        self.pieces.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
+        self.known.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) else t.lower().split() for t in texts]
-        words = set().union(*(w for w in split if w))
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words = {w: self.words[w] for w in words - new}
-        parts = [(w, _PIECE.findall(w)) for w in new]
-        unseen = set().union(*(p for _, p in parts)).difference(self.pieces)
-        if len(self.pieces) + len(unseen) > CACHE_PIECES:
-            self.pieces, unseen = {}, set().union(*(p for _, p in parts))
-        self._learn(list(unseen))
-        piece = self.pieces.__getitem__
-        self.words.update((w, b"".join(map(piece, p))) for w, p in parts)
-        get = self.words.__getitem__
-        return [np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w is None
-                else b"".join(map(get, w)) for t, w in zip(texts, split)]
+        split = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
+        pieces = set().union(*(p for p in split if p))
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known, new = {}, pieces
+        self._learn(list(new))
+        get = self.known.__getitem__
+        return [np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if p is None
+                else b"".join(map(get, p)) for t, p in zip(texts, split)]
+
+
+#: The encoder of each vocabulary, kept by a worker from task to task.
+_ENCODERS: dict[str | None, Encoder] = {}
+
+
+def encoder(path: str | None = None) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
@@ -112,7 +114,7 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
 
 def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path: str | None, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = Encoder(path), np.array([END_ID], dtype="<u4").tobytes()
+        coder, end = encoder(path), np.array([END_ID], dtype="<u4").tobytes()
         base, ids, docs, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def flush() -> pd.DataFrame:
@@ -131,7 +133,7 @@ def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path:
             texts = [t if is_text(t) else "" for t in pdf["text"]]
             names = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
             for at in range(0, len(texts), 256):
-                for name, x in zip(names[at:at + 256], encoder.encode(texts[at:at + 256])):
+                for name, x in zip(names[at:at + 256], coder.encode(texts[at:at + 256])):
                     ids.append(x + end)
                     docs.append(name)
                     held += len(x) // 4 + 1
