@@ -36,7 +36,7 @@ OUT, BEGIN, INSIDE = 0, 1, 2
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 2000, 100_000, 1500
 #: Longer lines are not fitted on.
 LINE_CHARS = 600
-#: Words whose class a task remembers.
+#: Words whose class a worker remembers.
 CACHE_WORDS = 300_000
 #: Texts scored together.
 BLOCK_DOCS = 256
@@ -126,6 +126,10 @@ class Shapes(dict):
         return k
 
 
+#: Kept by a worker from task to task; classes only grow, and do not depend on a model.
+_SHAPES = Shapes()
+
+
 def file_features(classes: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Of a text: its length, and its shares of numbers, of mixed tokens and of secret names."""
     n, kinds = len(classes), _SIZES[0]
@@ -217,7 +221,7 @@ class Tagger:
     """Applies a model; remembers the classes of words."""
 
     def __init__(self, model: Model):
-        self.model, self.shapes, self.margin = model, Shapes(), model.margin()
+        self.model, self.shapes, self.margin = model, _SHAPES, model.margin()
         self.known = 0
 
     def _tables(self) -> None:
