@@ -136,3 +136,9 @@ FROM embeddings e LEFT JOIN cnt ON cnt.s = e.vec_id LEFT JOIN comp ON comp.s = e
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embedding_dedup import near_embeddings
     return near_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op7_trie_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+    return token_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "n_words")
