@@ -142,3 +142,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
     return token_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "n_words")
+
+
+@_query("op2_paragraph_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .paragraph_dedup import repeated_paragraphs
+    return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
