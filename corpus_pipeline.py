@@ -1,5 +1,9 @@
 """The training-data pipeline: each stage applies one operator of
-``playstream.llm`` to all that the stage before it kept."""
+``playstream.llm`` to all that the stage before it kept.
+
+All stages but the last return the columns of ``documents``. Rows without an
+id or text pass through every filter that has nothing to hold against them.
+"""
 
 from __future__ import annotations
 
@@ -8,24 +12,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstream.llm.common import materialize, read_table
+from playstream.llm.common import materialize, read_table, row_key, small_side
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier rejects go (score below 0.3)."""
+    from playstream.llm.quality import learn, score_documents
+    model = learn(docs, read_table(spark, sf_dir, "labels"))
+    return score_documents(docs.select(*COLUMNS), model).where("predicted = 1").select(*COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the smallest id."""
+    """Of each group of near duplicates (word 5-shingles, similarity 0.8 or
+    more, reached over links) the document of the smallest id stays, once if
+    its row is repeated."""
     from playstream.llm.near_dedup import near_duplicates
-    kept = near_duplicates(docs, percent=80).where("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    near = materialize(near_duplicates(docs, percent=80, bands=28, rows=5), "stage-near")
+    removed = materialize(near.where(~F.col("kept")).select("doc_id").distinct(), "stage-removed")
+    repeated = materialize(near.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "stage-repeated")
+    left = docs.select(*COLUMNS).join(small_side(removed), "doc_id", "left_anti")
+    repeated = small_side(repeated)
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a window of ten words of a benchmark item go."""
+    from playstream.llm.decontaminate import decontaminate
+    told = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    hit = materialize(told.where("contaminated").select("key").distinct(), "stage-hit")
+    keyed = docs.select(*COLUMNS, row_key("doc_id", "text").alias("key"))
+    return keyed.join(small_side(hit, 500_000), "key", "left_anti").select(*COLUMNS)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; no document goes."""
+    from playstream.llm.secrets import learn, redact
+    out = redact(docs.select(*COLUMNS), learn(docs))
+    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out.withColumn("n_chars", size).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4096 tokens, with the ids of each piece."""
+    from playstream.llm.packing import pack
+    return pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near_dedup", near_dedup),
+    ("quality", quality), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secrets", secrets), ("packing", packing),
 ]
 
-#: The classifiers have no SQL form; tests hold the stages against brute force.
+#: The classifiers and the tokenizer have no SQL form; tests hold the stages
+#: against brute force.
 ORACLE_SQL = None
 
 

@@ -317,8 +317,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
         for pdf in batches:
             lines = [line for text in pdf["text"] if is_text(text) for line in text.split("\n") if len(line) <= LINE_CHARS]
             found = [base_spans(line) for line in lines]
-            rank = [(0 if f else 1) for f in found]
-            yield pd.DataFrame({"plain": rank, "line": lines})
+            yield pd.DataFrame({"plain": np.array([not f for f in found], dtype=np.int32), "line": pd.Series(lines, dtype=object)})
 
     lines = (rows.select("text").mapInPandas(cut, "plain int, line string").distinct()
              .orderBy("plain", F.xxhash64("line"), "line").limit(sample_lines).collect())
