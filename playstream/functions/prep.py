@@ -27,18 +27,9 @@ def prepare_manifest(df: DataFrame, split: str = "train", root: str = "") -> Dat
     )
 
 
-def one_hot(df: DataFrame, col: str, values: list[str] | None = None,
-            prefix: str = "", max_values: int = 1000) -> DataFrame:
-    """PR-17: one 0/1 column per value, in the given order. Without a list
-    the distinct values are collected once and sorted, as ``get_dummies``
-    orders them; more than ``max_values`` distinct values is an error (a
-    label column, not an id column, is expected), so at most that many
-    rows ever reach the driver."""
-    if values is None:
-        found = df.select(col).distinct().limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{col!r} has more than {max_values} distinct values")
-        values = sorted(r[0] for r in found if r[0] is not None)
+def one_hot(df: DataFrame, col: str, values: list[str], prefix: str = "") -> DataFrame:
+    """PR-17: one 0/1 column per value, in the given order. The list is the
+    caller's, so the schema does not depend on the rows."""
     return df.withColumns({f"{prefix}{v}": (F.col(col) == F.lit(v)).cast("int") for v in values})
 
 

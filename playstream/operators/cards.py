@@ -84,11 +84,10 @@ def settle(player: Column, dealer: Column) -> Column:
              .otherwise("Draw"))
 
 
-def score_two_hands(cards: DataFrame, split: int, key: str = "hand_id") -> DataFrame:
-    """Player hand = cards with pos <= split, dealer hand = the rest, scored
-    in one aggregate per game; returns key, player_score, dealer_score,
-    outcome."""
-    mine = F.col("pos") <= split
+def score_two_hands(cards: DataFrame, mine: Column, key: str = "hand_id") -> DataFrame:
+    """Player hand = cards for which ``mine`` holds, dealer hand = the rest,
+    scored in one aggregate per game; returns key, player_score,
+    dealer_score, outcome."""
     pts = face_value(F.col("value")) + suit_bonus(F.col("suit"))
     ace = F.col("value") == "A"
     agg = cards.groupBy(key).agg(
@@ -122,6 +121,8 @@ def apply_policy(states: DataFrame, q_table: DataFrame) -> DataFrame:
     counts as zeros; hit (1) only when its value is strictly higher, so a
     tie stands (0). The table is first restricted to valid states: at most
     35 x 14 x 3 = 1,470 keys, so broadcasting it is bounded by construction."""
+    # integer keys: what makes the bound hold for any table given
+    states, q_table = (df.withColumns({k: F.col(k).cast("int") for k in STATE_KEYS}) for df in (states, q_table))
     valid_q, _ = split_valid_states(q_table)
     # one row per state (a duplicate key, impossible in a lookup table,
     # would be averaged)

@@ -1,16 +1,17 @@
 """Clustering metrics (EV-09 .. EV-13).
 
 External scores come from the contingency table ``groupBy(truth, label)``
-(classes x clusters cells). Internal scores explode each vector into
-(row, cluster, dim, value) and work from per-cluster centroids (clusters x
-dims rows); the planner broadcasts them when their measured size allows.
+(classes x clusters cells). Internal scores keep vectors as they are:
+one aggregate gives the centroid of each cluster as an array, one narrow pass
+the distances to it. Only the centroids are taken apart by dimension.
 Formulas and edge cases follow scikit-learn's definitions.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,40 +60,31 @@ def clustering_external(df: DataFrame, labels: str = "label", truth: str = "trut
     return out.withColumn("v_measure", v)
 
 
-def explode_points(df: DataFrame, vec: str, labels: str, id_col: str) -> DataFrame:
-    """(id, k, d, x) rows from an array column."""
-    return df.select(F.col(id_col).alias("id"), F.col(labels).alias("k"),
-                     F.posexplode(F.col(vec).cast("array<double>")).alias("d", "x"))
-
-
-def centroids(points: DataFrame) -> DataFrame:
-    return points.groupBy("k", "d").agg(F.avg("x").alias("ck"), F.count(F.lit(1)).alias("nk"))
-
-
-def clustering_internal(df: DataFrame, vec: str = "features", labels: str = "label",
-                        id_col: str = "id") -> DataFrame:
+def clustering_internal(df: DataFrame, vec: str = "features", labels: str = "label") -> DataFrame:
     """EV-10 / EV-11: one row: calinski_harabasz, davies_bouldin; null when
-    there is a single cluster.
-
-    Two passes over the exploded points: per-cluster centroids (clusters x
-    dims rows, written once), then each point's squared distance to its
-    centroid (one row per point, written once). The between-cluster terms
-    and the centroid distances read only the centroid table; the latter
-    pairs clusters (clusters x clusters rows), never data rows."""
-    pts = explode_points(df, vec, labels, id_col)
-    cent = materialize(centroids(pts), "centroids")
-    per_point = materialize(
-        pts.join(cent, ["k", "d"]).groupBy("id", "k")
-           .agg(F.sum((F.col("x") - F.col("ck")) ** 2).alias("ss")), "point-dist")
-    n = per_point.agg(F.count(F.lit(1))).scalar()
-    k = cent.agg(F.countDistinct("k")).scalar()
-    intra = per_point.agg(F.sum("ss")).scalar()
+    there is a single cluster. Rows need no id.
+
+    Per cluster: the mean vector (a partial aggregate), then, joined back on
+    the cluster, the sums of squared distances and of distances. Davies-Bouldin
+    compares centroids with each other (clusters x clusters rows), so
+    ``labels`` must be a column of clusters, not of row ids."""
+    pts = df.select(F.col(labels).alias("k"), F.col(vec).cast("array<double>").alias("x")).where("k is not null")
+    mean = materialize(pts.groupBy("k").agg(
+        vector_to_array(Summarizer.mean(array_to_vector("x"))).alias("c"), F.count(F.lit(1)).alias("nk")), "centroids")
+    diff = F.zip_with("x", "c", lambda x, c: (x - c) * (x - c))
+    dist = pts.join(mean.select("k", "c"), "k").select("k", F.aggregate(diff, F.lit(0.0), lambda a, d: a + d).alias("ss"))
+    per_k = materialize(dist.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ss").alias("ss"), F.avg(F.sqrt("ss")).alias("s")), "cluster-dist")
+    cent = mean.select("k", "nk", F.posexplode("c").alias("d", "ck"))
+    n = per_k.agg(F.sum("n")).scalar()
+    k = per_k.agg(F.count(F.lit(1))).scalar()
+    intra = per_k.agg(F.sum("ss")).scalar()
     glob = cent.groupBy("d").agg((F.sum(F.col("nk") * F.col("ck")) / F.sum("nk")).alias("g"))
     extra = cent.join(glob, "d").agg(F.sum(F.col("nk") * (F.col("ck") - F.col("g")) ** 2)).scalar()
     ch = (F.when(k < 2, F.lit(None).cast("double"))
           .when(intra == 0, F.lit(1.0))
           .otherwise(extra * (n - k) / (intra * (k - 1))))
-    s = per_point.groupBy("k").agg(F.avg(F.sqrt("ss")).alias("s"))
+    s = per_k.select("k", "s")
     other = cent.select(F.col("k").alias("l"), "d", F.col("ck").alias("cl"))
     m = (cent.join(other, "d").filter(F.col("k") != F.col("l"))
              .groupBy("k", "l").agg(F.sqrt(F.sum((F.col("ck") - F.col("cl")) ** 2)).alias("m")))

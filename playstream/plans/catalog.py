@@ -200,7 +200,7 @@ def q_rp06(spark, sf_dir):
 
 @register("rp07_win_matrix", "WITH base AS ({b})\nSELECT distance_from_21, {cols}\nFROM base GROUP BY distance_from_21".format(
     b=RP04_PLAY_SQL,
-    cols=",\n  ".join(f"max(CASE WHEN agent_hand = {v} THEN win_rate END) AS hand_{v}"
+    cols=",\n  ".join(f"max(CASE WHEN agent_hand = {v} THEN win_rate END) AS \"hand_{v}\""
                       for v in rp.HAND_VALUES)))
 def q_rp07(spark, sf_dir):
     return comparable(rp.win_matrix(rp.win_rate_by_distance(_play(spark, sf_dir), fx.PLAY_HANDS,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions import prep
 from ..operators import cards as cd
 from ..operators.metrics import clustering as cu
-from ..operators.mining import quantise
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
@@ -34,9 +33,9 @@ CARD_SQL = f"""c0 AS (
     row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(fx.LINE_ORDER)}) AS pos,
     CAST(l_partkey % 13 AS INTEGER) AS r,
     CAST((l_partkey % 13 + CASE WHEN CAST(floor(l_quantity) AS INTEGER) % 10 = 0 THEN 1 ELSE 0 END) % 13 AS INTEGER) AS pr,
-    ({_names(fx.SUITS)})[l_suppkey % 4 + 1] AS suit
+    ({_names(fx.SUITS)})[l_suppkey % 4 + 1] AS suit, l_linenumber % 2 = 1 AS mine
   FROM lineitem),
-c AS (SELECT hand_id, pos, suit, suit AS predicted_suit, ({_names(fx.RANK_VALUES)})[r + 1] AS value,
+c AS (SELECT hand_id, pos, mine, suit, suit AS predicted_suit, ({_names(fx.RANK_VALUES)})[r + 1] AS value,
     ({_names(fx.RANK_NAMES)})[r + 1] AS category, ({_names(fx.RANK_NAMES)})[pr + 1] AS predicted_category
   FROM c0),
 cp AS (SELECT *,
@@ -52,7 +51,7 @@ cv AS (SELECT *, CASE WHEN vb + {_bonus_sql('predicted_suit')} > 21 AND value =
 
 HANDS_SQL = f"""WITH {CARD_SQL},
 h AS (SELECT hand_id, CAST(sum(pts) AS INTEGER) AS raw_total,
-    CAST(count(*) FILTER (WHERE value = 'A') AS INTEGER) AS aces FROM cv WHERE pos <= 3 GROUP BY hand_id),
+    CAST(count(*) FILTER (WHERE value = 'A') AS INTEGER) AS aces FROM cv GROUP BY hand_id),
 hd AS (SELECT *, coalesce(list_min(list_filter(range(0, aces + 1), lambda i: raw_total - 10 * i <= 21)), aces) AS dm
   FROM h),
 hs AS (SELECT hand_id, raw_total, aces, CAST(raw_total - 10 * dm AS INTEGER) AS score,
@@ -66,33 +65,32 @@ rs AS (SELECT *, CASE
     WHEN usable_ace IS NULL OR usable_ace NOT IN (0, 1, 2) THEN 'usable_ace out of range' END AS reason FROM st)"""
 
 
-def _hand3(spark, sf_dir):
-    return cd.visible_value(fx.hand_cards(read_table(spark, sf_dir, "lineitem"), 3))
+def _cards(spark, sf_dir):
+    return cd.visible_value(fx.cards(read_table(spark, sf_dir, "lineitem")))
 
 
 def _states(spark, sf_dir):
     """One row per hand (narrow), written once: the policy table and the
     lookup both read it instead of deriving the cards twice."""
-    first = F.col("pos") == 1
-    scored = cd.score_hands(_hand3(spark, sf_dir), extra=[
-        F.max(F.when(first, F.col("visible_value"))).alias("dealer_visible_card"),
-        F.max(F.when(first, F.col("category") == F.col("predicted_category"))).alias("clean"),
-    ])
+    first = F.min_by(F.struct("visible_value", (F.col("category") == F.col("predicted_category")).alias("clean")),
+                     F.struct(*fx.LINE_ORDER))
+    scored = cd.score_hands(_cards(spark, sf_dir), extra=[first.alias("first")])
     return materialize(
-        scored.select("hand_id", F.col("score").alias("player_total"), "dealer_visible_card",
-                      F.col("usable_aces").alias("usable_ace"), "clean"), "states")
+        scored.select("hand_id", F.col("score").alias("player_total"),
+                      F.col("first.visible_value").alias("dealer_visible_card"),
+                      F.col("usable_aces").alias("usable_ace"), "first.clean"), "states")
 
 
 @register("ag11_hand_scores", HANDS_SQL + "\nSELECT * FROM hs")
 def q_ag11(spark, sf_dir):
-    return comparable(cd.score_hands(_hand3(spark, sf_dir)))
+    return comparable(cd.score_hands(_cards(spark, sf_dir)))
 
 
 @register("ag13_visible_values", f"""WITH {CARD_SQL}
 SELECT hand_id, value, predicted_category, predicted_suit, CAST(visible_value AS DOUBLE) AS visible_value,
   rejected FROM cv""")
 def q_ag13(spark, sf_dir):
-    c = cd.visible_value(fx.cards(read_table(spark, sf_dir, "lineitem")))
+    c = _cards(spark, sf_dir)
     return comparable(nullable_ints_as_double(
         c.select("hand_id", "value", "predicted_category", "predicted_suit", "visible_value", "rejected"),
         ["visible_value"]))
@@ -100,11 +98,11 @@ def q_ag13(spark, sf_dir):
 
 @register("ag14_settlement", f"""WITH {CARD_SQL},
 g AS (SELECT hand_id,
-    CAST(sum(CASE WHEN pos <= 3 THEN pts ELSE 0 END) AS INTEGER) AS p_raw,
-    CAST(count(*) FILTER (WHERE pos <= 3 AND value = 'A') AS INTEGER) AS p_aces,
-    CAST(sum(CASE WHEN pos > 3 THEN pts ELSE 0 END) AS INTEGER) AS d_raw,
-    CAST(count(*) FILTER (WHERE pos > 3 AND value = 'A') AS INTEGER) AS d_aces
-  FROM cv WHERE pos <= 6 GROUP BY hand_id),
+    CAST(sum(CASE WHEN mine THEN pts ELSE 0 END) AS INTEGER) AS p_raw,
+    CAST(count(*) FILTER (WHERE mine AND value = 'A') AS INTEGER) AS p_aces,
+    CAST(sum(CASE WHEN NOT mine THEN pts ELSE 0 END) AS INTEGER) AS d_raw,
+    CAST(count(*) FILTER (WHERE NOT mine AND value = 'A') AS INTEGER) AS d_aces
+  FROM cv GROUP BY hand_id),
 s AS (SELECT hand_id,
     p_raw - 10 * coalesce(list_min(list_filter(range(0, p_aces + 1), lambda i: p_raw - 10 * i <= 21)), p_aces) AS ps,
     d_raw - 10 * coalesce(list_min(list_filter(range(0, d_aces + 1), lambda i: d_raw - 10 * i <= 21)), d_aces) AS ds
@@ -113,7 +111,8 @@ SELECT CASE WHEN ps > 21 THEN 'Lose' WHEN ds > 21 THEN 'Win' WHEN ps > ds THEN '
             WHEN ps < ds THEN 'Lose' ELSE 'Draw' END AS outcome, count(*) AS count
 FROM s GROUP BY 1""")
 def q_ag14(spark, sf_dir):
-    hands = cd.score_two_hands(fx.hand_cards(read_table(spark, sf_dir, "lineitem"), 6), split=3)
+    """All cards of an order: odd lines are the player's, even ones the dealer's."""
+    hands = cd.score_two_hands(fx.cards(read_table(spark, sf_dir, "lineitem")), F.col("l_linenumber") % 2 == 1)
     return comparable(hands.groupBy("outcome").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -218,13 +217,16 @@ def q_pr18(spark, sf_dir):
 EMB = "embeddings"
 
 
+#: One label per embedding value: the categories, again and again.
+LABELS = [f"{prep.CATEGORY_ORDER[i % 13]}_{i // 13}" for i in range(64)]
+
+
 @register("pr19_argmax_label", f"""SELECT vec_id,
-  ({_names(prep.CATEGORY_ORDER)})[list_position(embedding[1:13], list_max(embedding[1:13]))] AS predicted
+  ({_names(LABELS)})[list_position(embedding, list_max(embedding))] AS predicted
 FROM embeddings""")
 def q_pr19(spark, sf_dir):
     e = read_table(spark, sf_dir, EMB)
-    return comparable(e.select("vec_id", prep.argmax_label(F.slice("embedding", 1, 13),
-                                                           list(prep.CATEGORY_ORDER)).alias("predicted")))
+    return comparable(e.select("vec_id", prep.argmax_label(F.col("embedding"), LABELS).alias("predicted")))
 
 
 EXPERTS, OUTPUTS = 32, 2
@@ -253,46 +255,86 @@ def q_pr21(spark, sf_dir):
     return comparable(e.select("vec_id", *prep.expert_columns("embedding", EXPERTS, OUTPUTS)))
 
 
-@register("pr22_rescale_byte", """WITH x AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings),
-r AS (SELECT min(v) AS lo, max(v) AS hi FROM x)
-SELECT vec_id, CAST(trunc((v - lo) / (hi - lo) * 255.0) AS INTEGER) AS byte FROM x, r""")
+# every value of every vector as a byte of the whole table's range
+BYTES_SQL = """x AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS i,
+  CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+r AS (SELECT min(v) AS lo, max(v) AS hi FROM x),
+b AS (SELECT vec_id, i, CAST(trunc((v - lo) / (hi - lo) * 255.0) AS INTEGER) AS byte FROM x, r)"""
+
+
+def _bytes(spark, sf_dir):
+    e = read_table(spark, sf_dir, EMB).select("vec_id", F.posexplode("embedding").alias("i", "v"))
+    return prep.rescale_byte(e, "v").select("vec_id", "i", "byte")
+
+
+@register("pr22_rescale_byte", f"WITH {BYTES_SQL} SELECT vec_id, i, byte FROM b")
 def q_pr22(spark, sf_dir):
-    e = read_table(spark, sf_dir, EMB).select("vec_id", F.get("embedding", 0).alias("v"))
-    return comparable(prep.rescale_byte(e, "v").select("vec_id", "byte"))
+    return comparable(_bytes(spark, sf_dir).withColumn("i", F.col("i").cast("long")))
 
 
-@register("pr23_luminosity", f"""SELECT vec_id, round(CAST(embedding[1] AS DOUBLE) * {prep.LUMA[0]}
-  + CAST(embedding[2] AS DOUBLE) * {prep.LUMA[1]} + CAST(embedding[3] AS DOUBLE) * {prep.LUMA[2]}, 6) AS gray
-FROM embeddings""")
-def q_pr23(spark, sf_dir):
-    e = read_table(spark, sf_dir, EMB)
-    rgb = [F.get("embedding", i).cast("double") for i in range(3)]
-    return comparable(e.select("vec_id", prep.luminosity(*rgb).alias("gray")))
+def _triples(values):
+    """Each value of an array with the two after it, around its end, as a pixel."""
+    n = F.size(values)
+    return F.transform(values, lambda x, i: F.struct(
+        i.alias("i"), x.alias("r"), F.get(values, (i + 1) % n).alias("g"), F.get(values, (i + 2) % n).alias("b")))
 
 
-@register("ev13_quantise_quality")
+@register("pr23_luminosity", f"""WITH l AS (SELECT vec_id, embedding AS e, len(embedding) AS n,
+  unnest(generate_series(0, len(embedding) - 1)) AS i FROM embeddings)
+SELECT vec_id, i, round(CAST(e[i + 1] AS DOUBLE) * {prep.LUMA[0]} + CAST(e[(i + 1) % n + 1] AS DOUBLE) * {prep.LUMA[1]}
+  + CAST(e[(i + 2) % n + 1] AS DOUBLE) * {prep.LUMA[2]}, 6) AS gray FROM l""")
+def q_pr23(spark, sf_dir):
+    """Every value starts a pixel of three."""
+    e = read_table(spark, sf_dir, EMB).withColumn("e", F.col("embedding").cast("array<double>"))
+    px = e.select("vec_id", F.inline(_triples(F.col("e"))))
+    return comparable(px.select("vec_id", F.col("i").cast("long").alias("i"), prep.luminosity("r", "g", "b").alias("gray")))
+
+
+LEVEL = 64
+
+
+@register("ev13_quantise_quality", f"""WITH {BYTES_SQL},
+l AS (SELECT vec_id, list(byte ORDER BY i) AS bl FROM b GROUP BY vec_id),
+t AS (SELECT vec_id, bl, len(bl) AS n, unnest(generate_series(0, len(bl) - 1)) AS i FROM l),
+px AS (SELECT bl[i + 1] AS r, bl[(i + 1) % n + 1] AS g, bl[(i + 2) % n + 1] AS bb FROM t),
+q AS (SELECT r * {prep.LUMA[0]} + g * {prep.LUMA[1]} + bb * {prep.LUMA[2]} AS x,
+  r // {LEVEL} * {LEVEL} + {LEVEL // 2} AS qr, g // {LEVEL} * {LEVEL} + {LEVEL // 2} AS qg, bb // {LEVEL} * {LEVEL} + {LEVEL // 2} AS qb FROM px),
+p AS (SELECT x, round(qr * {prep.LUMA[0]} + qg * {prep.LUMA[1]} + qb * {prep.LUMA[2]}, 6) AS k FROM q),
+nv AS (SELECT count(DISTINCT v) AS nv FROM (SELECT unnest([qr, qg, qb]) AS v FROM q)),
+cent AS (SELECT k, avg(x) AS ck, count(*) AS nk, sum(x) AS y, sum(x * x) AS psi FROM p GROUP BY k),
+pc AS (SELECT p.x, p.k, ck, nk FROM p JOIN cent USING (k)),
+s AS (SELECT k, avg(abs(x - ck)) AS s FROM pc GROUP BY k),
+nums AS (SELECT count(*) AS n, (SELECT count(*) FROM cent) AS kk, sum((x - ck) * (x - ck)) AS intra,
+  sum((ck - (SELECT avg(x) FROM p)) * (ck - (SELECT avg(x) FROM p))) AS extra FROM pc),
+dbr AS (SELECT a.k, max((sa.s + sb.s) / abs(a.ck - b.ck)) AS r FROM cent a JOIN cent b ON a.k <> b.k
+  JOIN s sa ON sa.k = a.k JOIN s sb ON sb.k = b.k GROUP BY a.k),
+xs AS (SELECT x, k, count(*) AS m FROM p GROUP BY x, k),
+dis AS (SELECT xs.x, xs.k, xs.m, c.k AS c, c.nk, (c.nk * xs.x * xs.x - 2 * xs.x * c.y + c.psi) / c.nk AS d FROM xs, cent c),
+pt AS (SELECT x, k, any_value(m) AS m, max(CASE WHEN c = k THEN nk END) AS own,
+  max(CASE WHEN c = k AND nk > 1 THEN d * nk / (nk - 1) END) AS a, min(CASE WHEN c <> k THEN d END) AS b FROM dis GROUP BY x, k),
+sil AS (SELECT sum(m * CASE WHEN own = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END) / sum(m) AS sil FROM pt),
+o AS (SELECT sil AS silhouette, extra * (n - kk) / (intra * (kk - 1)) AS ch, (SELECT avg(r) FROM dbr) AS db, nv FROM sil, nums, nv)
+SELECT round(ch, 6) AS calinski_harabasz, round(db, 6) AS davies_bouldin, round(silhouette, 6) AS silhouette,
+  round(silhouette / nv, 6) AS silhouette_per_value, round(ch / nv, 6) AS calinski_harabasz_per_value,
+  round(db / nv, 6) AS davies_bouldin_per_value FROM o""")
 def q_ev13(spark, sf_dir):
-    """Rows-only: pixels = the first three embedding values rescaled to
-    0..255; k-means (k = 4) quantises them; internal scores of the original
-    gray levels against the quantised gray levels, also divided by the
-    number of distinct quantised channel values."""
-    e = read_table(spark, sf_dir, EMB).select(
-        "vec_id", *[F.get("embedding", i).alias(c) for i, c in enumerate("rgb")])
-    for c in "rgb":
-        e = prep.rescale_byte(e, c, out=f"{c}8")
-    px = e.select("vec_id", F.array(*[F.col(f"{c}8").cast("double") for c in "rgb"]).alias("px"))
+    """Pixels of all values, each channel quantised to the middle of one of
+    four equal byte levels; internal scores of the original gray levels
+    against the quantised ones, also divided by the number of distinct
+    quantised channel values. (ML-09 quantises by k-means, which has no SQL.)"""
+    px = (_bytes(spark, sf_dir).groupBy("vec_id").agg(F.array_sort(F.collect_list(F.struct("i", "byte"))).alias("l"))
+          .select(F.inline(_triples(F.col("l.byte")))))
+    level = {c: F.floor(F.col(c) / LEVEL) * LEVEL + LEVEL // 2 for c in "rgb"}
     # the quantised pixels feed four scores: written once, read by each
-    q = materialize(quantise(px, "px", k=4, seed=1), "quantised")
-    gray = q.select(
-        "vec_id",
-        F.array(prep.luminosity(*[F.get("px", i) for i in range(3)])).alias("g"),
-        F.round(prep.luminosity(*[F.get("centroid", i) for i in range(3)]), 6).alias("label"))
-    scores = cu.clustering_internal(gray, vec="g", labels="label", id_col="vec_id")
-    sil = cu.silhouette(gray, vec="g", labels="label")
-    n = q.select(F.explode("centroid").alias("v")).agg(F.countDistinct("v")).scalar()
+    q = materialize(px.select(
+        F.array(prep.luminosity("r", "g", "b")).alias("g_"), F.array(*level.values()).alias("levels"),
+        F.round(prep.luminosity(*level.values()), 6).alias("label")).withColumnRenamed("g_", "g"), "quantised")
+    scores = cu.clustering_internal(q, vec="g", labels="label")
+    sil = cu.silhouette(q, vec="g", labels="label")
+    n = q.select(F.explode("levels").alias("v")).agg(F.countDistinct("v")).scalar()
     out = scores.select("*", sil.select("silhouette").scalar().alias("silhouette"))
-    return out.select("*", *[(F.col(c) / n).alias(f"{c}_per_value")
-                             for c in ("silhouette", "calinski_harabasz", "davies_bouldin")])
+    return comparable(out.select("*", *[(F.col(c) / n).alias(f"{c}_per_value")
+                                        for c in ("silhouette", "calinski_harabasz", "davies_bouldin")]))
 
 
 # ---------------------------------------------------------------------- IO

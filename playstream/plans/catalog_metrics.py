@@ -266,7 +266,7 @@ SELECT round(CASE WHEN kk < 2 THEN NULL WHEN intra = 0 THEN 1.0
 FROM nums""")
 def q_ev10(spark, sf_dir):
     c = _clusters(spark, sf_dir)
-    return comparable(cu.clustering_internal(c, vec="embedding", labels="label", id_col="id"))
+    return comparable(cu.clustering_internal(c, vec="embedding", labels="label"))
 
 
 @register("ev12_silhouette", f"""{CLUSTER_SQL},

@@ -125,11 +125,16 @@ def risk_pivot(report: DataFrame) -> DataFrame:
                         list(RISK_LEVELS), [r.lower() for r in RISK_LEVELS])
 
 
-# A non-bust final total lies in 2..21.
-HAND_VALUES = list(range(2, 22))
+# A non-bust final total lies in -2..21 (a suit may take 2 off).
+HAND_VALUES = list(range(-2, 22))
 
 
 def win_matrix(report: DataFrame) -> DataFrame:
-    """RP-07: win rate, distance to 21 x agent total (from RP-04 play)."""
+    """RP-07: win rate, distance to 21 x agent total (from RP-04 play). A total
+    outside the columns is an error, not a lost cell."""
+    known = F.col("agent_hand").isNull() | F.col("agent_hand").between(HAND_VALUES[0], HAND_VALUES[-1])
+    total = F.when(known, F.col("agent_hand")).otherwise(
+        F.raise_error(F.concat(F.lit("no column for total "), F.col("agent_hand").cast("string"))))
+    report = report.withColumn("agent_hand", total)
     return pivot_report(report, ["distance_from_21"], "agent_hand", "win_rate",
                         HAND_VALUES, [f"hand_{v}" for v in HAND_VALUES])

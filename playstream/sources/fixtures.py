@@ -6,7 +6,9 @@ shape from ``lineitem`` / ``events`` / ``nation`` so every report runs over
 whole given tables and its work grows with them.
 
 Games: one order is one game, one line (in a fixed total order) is one drawn
-card pair. Line 1 gives the shown cards, line k+2 gives hand k as running
+card pair of 3 to 10 points each. With ``n`` hands only the first ``n + 1``
+lines can matter: 7 lines of at least 3 points make 21, past every stop value,
+so all totals are frozen by then and later lines change no hand. Line 1 gives the shown cards, line k+2 gives hand k as running
 totals [agent, opponent] that freeze once they reach the player's stop value.
 """
 
@@ -50,8 +52,8 @@ def derive_games(lineitem: DataFrame, n_hands: int, agent_stop: Column | int,
         .filter(F.col("p") <= n_hands + 1)
         .select(
             "l_orderkey", "p",
-            (F.col("l_partkey") % 9 + 2).cast("int").alias("v"),
-            (F.col("l_suppkey") % 9 + 2).cast("int").alias("u"),
+            (F.col("l_partkey") % 8 + 3).cast("int").alias("v"),
+            (F.col("l_suppkey") % 8 + 3).cast("int").alias("u"),
             agent_stop.cast("int").alias("agent_stop"),
         )
     )
@@ -101,14 +103,14 @@ def games_sql(n_hands: int, agent_stop_sql: str,
     )
     return f"""
 x AS (
-  SELECT l_orderkey, CAST(l_partkey % 9 + 2 AS INTEGER) AS v,
-         CAST(l_suppkey % 9 + 2 AS INTEGER) AS u,
+  SELECT l_orderkey, CAST(l_partkey % 8 + 3 AS INTEGER) AS v,
+         CAST(l_suppkey % 8 + 3 AS INTEGER) AS u,
          CAST({agent_stop_sql} AS INTEGER) AS agent_stop,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) AS p
   FROM lineitem),
 y AS (
   SELECT *, CAST(sum(v) OVER r AS INTEGER) AS cv, CAST(sum(u) OVER r AS INTEGER) AS cu
-  FROM x WHERE p <= {n_hands + 1}
+  FROM x
   WINDOW r AS (PARTITION BY l_orderkey ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 z AS (
   SELECT *, coalesce(min(CASE WHEN cv >= agent_stop THEN cv END) OVER r, cv) AS a,
@@ -160,16 +162,6 @@ def cards(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def hand_cards(lineitem: DataFrame, max_pos: int) -> DataFrame:
-    """The first ``max_pos`` cards of every hand with their position (line
-    order), via a per-hand top-k that is applied before the shuffle."""
-    c = cards(lineitem)
-    w = Window.partitionBy("hand_id").orderBy(*LINE_ORDER)
-    return (c.withColumn("pos", F.row_number().over(w))
-             .filter(F.col("pos") <= max_pos)
-             .drop(*LINE_ORDER))
-
-
 def cards_sql() -> str:
     """CTE ``cards`` (one row per line) in DuckDB."""
     names = ", ".join(f"'{n}'" for n in RANK_NAMES)

@@ -52,12 +52,12 @@ def test_hot_order_is_bounded_and_exact(spark):
     fa = fb = None
     hands = []
     for p, r in enumerate(lines, start=1):
-        a += r[1] % 9 + 2
-        b += r[2] % 9 + 2
+        a += r[1] % 8 + 3
+        b += r[2] % 8 + 3
         fa = fa if fa is not None else (a if a >= 20 else None)
         fb = fb if fb is not None else (b if b >= 16 else None)
         if p == 1:
-            shown = [r[1] % 9 + 2, r[2] % 9 + 2]
+            shown = [r[1] % 8 + 3, r[2] % 8 + 3]
         else:
             hands.append([fa if fa is not None else a, fb if fb is not None else b])
     assert hot["shown_cards"] == shown
