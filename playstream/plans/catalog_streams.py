@@ -1,6 +1,6 @@
 """Registered queries: windowed event reports (S-02 .. S-09), each as a
 static twin with an SQL oracle, and the stream runs of the same operators
-(file source, availableNow, memory sink) checked against the same SQL.
+(file source, availableNow, files of each micro-batch) checked against the same SQL.
 
 Window sizes and thresholds are scaled to the test events (30 days, a few
 events per user and day), where the reference's minute-scale values select
@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..streaming import queries as sq
-from ..streaming.runner import event_topic, run_to_table
-from ..streaming.sources import decode_events, events_source, news_values, with_event_time
+from ..streaming.runner import event_topic, run_to_table, stream_session
+from ..session import materialize
+from ..sources.tables import read_table
+from ..streaming.sources import decode_events, events_source, news_events, news_values, with_event_time
 from .compare import comparable
 from .registry import register
 
@@ -48,9 +50,20 @@ def _events(spark, sf_dir):
     return with_event_time(decode_events(news_values(spark, sf_dir).select("value")))
 
 
+def _direct(spark, sf_dir):
+    """The events with their time, without the JSON round trip."""
+    return with_event_time(news_events(spark, sf_dir))
+
+
+def _latest(spark, sf_dir):
+    """The latest event time, from the one column that has it."""
+    t = read_table(spark, sf_dir, "events").select(F.max("ts").alias("t"))
+    return t.select(F.date_trunc("second", "t")).scalar()
+
+
 def _stream(spark, sf_dir):
-    path = event_topic(spark, sf_dir)
-    src = events_source(spark, "text", path, maxFilesPerTrigger=1)
+    path, files = event_topic(spark, sf_dir)
+    src = events_source(stream_session(spark), "text", path, maxFilesPerTrigger=files, recursiveFileLookup="true")
     return with_event_time(decode_events(src))
 
 
@@ -72,14 +85,14 @@ SELECT DISTINCT user_id FROM w WHERE c >= {BOT_MIN}"""
 
 @register("s03_bot_users", BOTS_SQL)
 def q_s03(spark, sf_dir):
-    return comparable(sq.bot_users(_events(spark, sf_dir), BOT_SIZE, BOT_MIN))
+    return comparable(sq.bot_users(_direct(spark, sf_dir), BOT_SIZE, BOT_MIN))
 
 
 @register("s03b_bot_alerts", f"""{NEWS_SQL}
 SELECT {_win(BOT_SIZE)}, user_id, count(*) AS count FROM ev WHERE event_time IS NOT NULL
 GROUP BY {_grp(BOT_SIZE)}, user_id HAVING count(*) >= {BOT_MIN}""")
 def q_s03b(spark, sf_dir):
-    return comparable(sq.flat_window(sq.bot_alerts(_events(spark, sf_dir), BOT_SIZE, BOT_MIN)))
+    return comparable(sq.flat_window(sq.bot_alerts(_direct(spark, sf_dir), BOT_SIZE, BOT_MIN)))
 
 
 SPIKES_SQL = f"""{NEWS_SQL}
@@ -89,7 +102,7 @@ GROUP BY {_grp(SPIKE_SIZE)}, article_id HAVING count(*) >= {SPIKE_MIN}"""
 
 @register("s04_spikes", SPIKES_SQL)
 def q_s04(spark, sf_dir):
-    return comparable(sq.flat_window(sq.spikes(_events(spark, sf_dir), SPIKE_SIZE, SPIKE_MIN, sort=True)))
+    return comparable(sq.flat_window(sq.spikes(_direct(spark, sf_dir), SPIKE_SIZE, SPIKE_MIN, sort=True)))
 
 
 def _recent_sql(extra: str = "") -> str:
@@ -101,25 +114,32 @@ GROUP BY {_grp(RECENT_SIZE)}, location"""
 
 @register("s05_active_by_location", _recent_sql())
 def q_s05(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    out = sq.active_by_location(ev, RECENT_MINUTES, RECENT_SIZE, as_of=sq.as_of_max(ev), sort=True)
+    ev = _direct(spark, sf_dir)
+    out = sq.active_by_location(ev, RECENT_MINUTES, RECENT_SIZE, as_of=_latest(spark, sf_dir), sort=True)
     return comparable(sq.flat_window(out))
 
 
-@register("s05b_active_sessions_distinct")
+@register("s05b_active_sessions_distinct", f"""{NEWS_SQL}
+SELECT {_win(RECENT_SIZE)}, location, count(DISTINCT session_id) AS sessions, true AS estimate_fits FROM ev
+WHERE event_time >= (SELECT max(event_time) FROM ev) - INTERVAL '{RECENT_MINUTES} minutes'
+GROUP BY {_grp(RECENT_SIZE)}, location""")
 def q_s05b(spark, sf_dir):
-    """Rows-only: approximate distinct sessions (HyperLogLog++)."""
-    ev = _events(spark, sf_dir)
-    out = sq.active_by_location(ev, RECENT_MINUTES, RECENT_SIZE, as_of=sq.as_of_max(ev),
-                                distinct=True, sort=True)
-    return comparable(sq.flat_window(out))
+    """Exact distinct sessions, and whether the report's estimate
+    (HyperLogLog++, 5 % standard error) is within three errors of them."""
+    ev = materialize(sq.recent(_direct(spark, sf_dir), RECENT_MINUTES, _latest(spark, sf_dir)), "recent")
+    told = sq.active_by_location(ev, RECENT_MINUTES, RECENT_SIZE, as_of=F.lit(0).cast("timestamp"), distinct=True)
+    exact = ev.groupBy(F.window("event_time", RECENT_SIZE).alias("window"), "location").agg(
+        F.count_distinct("session_id").alias("sessions"))
+    near = F.abs(F.col("count") - F.col("sessions")) <= F.greatest(F.lit(1.0), 0.15 * F.col("sessions"))
+    out = exact.join(told, (exact["window"] == told["window"]) & exact["location"].eqNullSafe(told["location"]))
+    return comparable(sq.flat_window(out.select(exact["window"], exact["location"], "sessions", near.alias("estimate_fits"))))
 
 
 @register("s06_category_by_location", _recent_sql("AND category = 'finance'"))
 def q_s06(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+    ev = _direct(spark, sf_dir)
     out = sq.category_by_location(ev, "finance", RECENT_MINUTES, RECENT_SIZE,
-                                  as_of=sq.as_of_max(ev), sort=True)
+                                  as_of=_latest(spark, sf_dir), sort=True)
     return comparable(sq.flat_window(out))
 
 
@@ -129,7 +149,7 @@ SELECT device_type, count(*) AS count FROM ev GROUP BY device_type"""
 
 @register("s07_device_trends", DEVICE_SQL)
 def q_s07(spark, sf_dir):
-    return comparable(sq.device_trends(_events(spark, sf_dir), sort=True))
+    return comparable(sq.device_trends(_direct(spark, sf_dir), sort=True))
 
 
 # --------------------------------------------------------------- stream runs
@@ -153,7 +173,7 @@ def q_stream_s04(spark, sf_dir):
 @register("stream_s06_category_by_location", _recent_sql("AND category = 'finance'"))
 def q_stream_s06(spark, sf_dir):
     """Complete mode with a fixed 'now' (the latest event time, one value)."""
-    as_of = _events(spark, sf_dir).agg(F.max("event_time")).first()[0]
+    as_of = read_table(spark, sf_dir, "events").agg(F.date_trunc("second", F.max("ts"))).first()[0]
     out = run_to_table(sq.category_by_location(_stream(spark, sf_dir), "finance", RECENT_MINUTES,
                                                RECENT_SIZE, as_of=F.lit(as_of), sort=True),
                        "stream_finance", "complete")
@@ -179,7 +199,7 @@ def q_stream_s02(spark, sf_dir):
 @register("stream_s05_active_by_location", _recent_sql())
 def q_stream_s05(spark, sf_dir):
     """Complete mode with a fixed 'now' (the latest event time, one value)."""
-    as_of = _events(spark, sf_dir).agg(F.max("event_time")).first()[0]
+    as_of = read_table(spark, sf_dir, "events").agg(F.date_trunc("second", F.max("ts"))).first()[0]
     out = run_to_table(sq.active_by_location(_stream(spark, sf_dir), RECENT_MINUTES, RECENT_SIZE,
                                              as_of=F.lit(as_of), sort=True),
                        "stream_active", "complete")

@@ -6,7 +6,7 @@
 
 Each job reads JSON ``value`` rows from the source, decodes them with the
 fixed event schema, runs one report with the reference's defaults (window
-sizes, thresholds, one-minute watermark) and writes to the sink (console by
+sizes, thresholds, one-minute watermark, starting offsets) and writes to the sink (console by
 default: first 10 rows, untruncated). Without ``--checkpoint`` the query
 checkpoints under ``spark.checkpoint.dir``.
 """
@@ -35,6 +35,8 @@ JOBS = {
 
 def build(spark: SparkSession, job: str, fmt: str = "kafka", path: str | None = None,
           options: dict[str, str] | None = None) -> tuple[DataFrame, str]:
+    if fmt == "kafka":  # the reference's consumers read all that is kept, but for the bots
+        options = {"startingOffsets": "latest" if job == "bots" else "earliest", **(options or {})}
     # file sources need a declared schema: the topic payload column
     schema = None if fmt == "kafka" else T.StructType([T.StructField("value", T.StringType())])
     src = events_source(spark, fmt, path, schema=schema, **(options or {}))

@@ -47,33 +47,41 @@ def start(df: DataFrame, sink: str = "console", mode: str = "update",
     return w.start()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str,
-                 checkpoint: str | None = None,
-                 state_partitions: int | None = None) -> DataFrame:
-    """Process everything available now into a memory table and return it
-    (used to compare a stream run with its static twin).
-
-    A stateful query keeps the number of state partitions it starts with
-    (``spark.sql.shuffle.partitions`` at its first batch, then fixed in the
-    checkpoint). Every partition commits state on every micro-batch, so this
-    run uses the cluster's parallelism (``state_partitions`` to override)
-    and restores the session setting when the run has finished."""
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own for a stream. A stateful query keeps the number of
+    state partitions it starts with and commits state in each of them on every
+    micro-batch, so this session uses the cluster's parallelism
+    (``state_partitions`` to override); the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return own
+
+
+def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
+    """Process everything available now and return what the stream put out, as
+    a table written under the shared checkpoint folder: in complete mode the
+    last result, else the rows of all micro-batches. A batch that is retried
+    overwrites its own files, so it is in the table once."""
     spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        q = start(df, sink="memory", mode=mode, query_name=name, available_now=True,
-                  checkpoint=checkpoint)
-        q.awaitTermination()
-    finally:
-        spark.conf.set(key, before)
+    out = scratch_path(spark, f"stream-out-{name}")
+    ran = []
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{'latest' if mode == 'complete' else epoch}")
+        ran[:] = [epoch]
+
+    q = start(df, mode=mode, query_name=name, available_now=True, checkpoint=checkpoint, foreach_batch=write)
+    q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return spark.table(name)
+    if not ran:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(out)
 
 
-_TOPICS: dict[tuple[str, str, int], str] = {}
+_TOPICS: dict[tuple[str, str, int], tuple[str, int]] = {}
+#: Rows that a file of the topic has on average, at least.
+ROWS_PER_FILE = 50
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -84,35 +92,37 @@ def use_rocksdb_state(spark: SparkSession) -> None:
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def event_topic(spark: SparkSession, sf_dir: str, n_files: int = 6) -> str:
-    """The event files for ``sf_dir``, written once per application and
-    shared by every stream query (as consumers share one topic; each query
-    keeps its own checkpoint and offsets)."""
-    key = (spark.sparkContext.applicationId, sf_dir, n_files)
+def event_topic(spark: SparkSession, sf_dir: str, n_slices: int = 6) -> tuple[str, int]:
+    """The event files for ``sf_dir`` and how many of them make a time slice,
+    written once per application and shared by every stream query (as
+    consumers share one topic; each keeps its own checkpoint and offsets)."""
+    key = (spark.sparkContext.applicationId, sf_dir, n_slices)
     if key not in _TOPICS:
-        _TOPICS[key] = write_event_files(spark, sf_dir, n_files)
+        _TOPICS[key] = write_event_files(spark, sf_dir, n_slices)
     return _TOPICS[key]
 
 
-def write_event_files(spark: SparkSession, sf_dir: str, n_files: int = 6,
-                      path: str | None = None) -> str:
-    """Write the event topic payload as ``n_files`` JSON-lines files in event
-    time order (one append per time slice, so file times follow event time
-    and a one-file-per-trigger reader sees events in order)."""
+def write_event_files(spark: SparkSession, sf_dir: str, n_slices: int = 6, path: str | None = None,
+                      values: DataFrame | None = None) -> tuple[str, int]:
+    """Write the event topic payload as JSON lines in ``n_slices`` appends of
+    event time slices, each of the same number of files, which is returned
+    with the path: a reader of that many files per trigger sees the slices in
+    order. Many tasks write a slice; events without a readable time are in
+    the first one. ``values(value, timestamp)`` defaults to those of ``sf_dir``."""
     path = path or scratch_path(spark, "news-topic")
+    values = news_values(spark, sf_dir) if values is None else values
     # derived once; the cut points and every slice read the written values
-    vals = materialize(news_values(spark, sf_dir).withColumn(
-        "_t", F.unix_timestamp(F.to_timestamp("timestamp"))), "news-values")
-    # n_files - 1 cut points: a small driver-side list by construction.
-    bounds = vals.agg(F.percentile_approx("_t", [i / n_files for i in range(1, n_files)],
-                                          10000).alias("b")).first()["b"]
-    edges = [None] + list(bounds) + [None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = vals
-        if lo is not None:
-            part = part.filter(F.col("_t") >= lo)
-        if hi is not None:
-            part = part.filter(F.col("_t") < hi)
-        # one file per time slice: a test feed, where file order is event order
-        part.select("value").coalesce(1).write.mode("append").text(path)
-    return path
+    timed = materialize(values.withColumn("_t", F.unix_timestamp(F.try_to_timestamp("timestamp"))), "news-values")
+    # n_slices - 1 cut points: a small driver-side list by construction
+    bounds = timed.agg(F.percentile_approx("_t", [i / n_slices for i in range(1, n_slices)], 10000).alias("b")).first()["b"] or []
+    number = sum((F.coalesce((F.col("_t") >= b).cast("int"), F.lit(0)) for b in bounds), F.lit(0))
+    sliced = scratch_path(spark, "news-slices")
+    timed.select("value", number.alias("slice")).write.partitionBy("slice").parquet(sliced)
+    rows = spark.read.schema("value string, slice int").parquet(sliced)
+    sizes = {r["slice"]: r["count"] for r in rows.groupBy("slice").count().collect()}  # n_slices rows
+    files = max(1, min(spark.sparkContext.defaultParallelism, min(sizes.values(), default=0) // ROWS_PER_FILE))
+    for i in sorted(sizes):
+        one = rows.where(F.col("slice") == i).select("value", F.pmod(F.xxhash64("value"), F.lit(files)).alias("part"))
+        # a folder for each part: exactly one file for it, whatever task writes it
+        one.repartition(files, "part").write.mode("append").partitionBy("part").text(path)
+    return path, files

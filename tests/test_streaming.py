@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from playstream.streaming import queries as sq
-from playstream.streaming.runner import run_to_table, start, write_event_files
+from playstream.streaming.runner import run_to_table, start, stream_session, write_event_files
 from playstream.streaming.sources import (
     NEWS_SCHEMA, decode_events, events_source, news_values, with_event_time,
 )
@@ -20,11 +20,13 @@ def static_events(spark):
 
 
 def stream_events(spark, path):
-    return with_event_time(decode_events(events_source(spark, "text", path, maxFilesPerTrigger=1)))
+    path, files = path
+    src = events_source(stream_session(spark), "text", path, maxFilesPerTrigger=files, recursiveFileLookup="true")
+    return with_event_time(decode_events(src))
 
 
 def test_stream_equals_static(spark, tmp_dir):
-    path = write_event_files(spark, SF001, n_files=4, path=os.path.join(tmp_dir, "topic"))
+    path = write_event_files(spark, SF001, n_slices=4, path=os.path.join(tmp_dir, "topic"))
     static_spikes = sorted(sq.spikes(static_events(spark), "10 days", 5).collect())
     stream_spikes = sorted(run_to_table(sq.spikes(stream_events(spark, path), "10 days", 5),
                                         "t_spikes", "complete").collect())
@@ -39,6 +41,22 @@ def test_stream_equals_static(spark, tmp_dir):
     assert static_bots == stream_bots and static_bots
 
 
+def test_events_without_time_are_streamed(spark, tmp_dir):
+    rows = [event(None), event("no time"), event("2024-02-30 10:00:00")] + [event(f"2024-01-{d:02d} 10:00:00", device="tablet") for d in range(1, 29)]
+    values = spark.createDataFrame([(json.dumps(r), r["timestamp"]) for r in rows], "value string, timestamp string")
+    path = write_event_files(spark, SF001, n_slices=3, path=os.path.join(tmp_dir, "null-topic"), values=values)
+    static = sorted(sq.device_trends(with_event_time(decode_events(values))).collect())
+    assert sorted(run_to_table(sq.device_trends(stream_events(spark, path)), "t_null", "complete").collect()) == static
+    assert sum(r["count"] for r in static) == len(rows)
+
+
+def test_stream_leaves_the_session_alone(spark, tmp_dir):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    own = stream_session(spark, 3)
+    assert own.conf.get(key) == "3" and spark.conf.get(key) == before
+
+
 def write_json_lines(path, name, rows):
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w") as f:
