@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playstream.session import materialize
 from playstream.sources.tables import read_table
 
-__all__ = ["materialize", "read_table", "row_key", "small_side", "grouped", "utf8", "is_text"]
+__all__ = ["materialize", "read_table", "row_key", "small_side", "kept", "grouped", "utf8", "is_text"]
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -41,6 +41,18 @@ def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+_KEPT: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]):
+    """What a worker remembers from task to task, by name. Only the last
+    operator's is kept, so that the stages of a pipeline don't add up."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Runs of rows with equal keys from a partition sorted by them; a run may
     span batches, so the last run of each batch waits for the next one."""

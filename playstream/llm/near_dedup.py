@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, is_text, materialize, small_side, utf8
+from .common import grouped, is_text, kept, materialize, small_side, utf8
 from .components import connected_components
 
 #: Words remembered by a worker; more only cost a hash each.
@@ -48,10 +48,6 @@ class _Words(dict):
         return h
 
 
-#: Kept by a worker from task to task.
-_WORDS = _Words()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xFF51AFD7ED558CCD)
@@ -106,7 +102,7 @@ def _ids(pdf: pd.DataFrame, col: str) -> list:
 
 def _signed(size: int, bands: int, rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mh, cache = MinHash(bands, rows), _WORDS
+        mh, cache = MinHash(bands, rows), kept("near_dedup", _Words)
         for pdf in batches:
             n, key, sigs, keys = [], [], [], []
             for text in pdf["text"]:
@@ -122,7 +118,7 @@ def _signed(size: int, bands: int, rows: int):
 
 def _full_sets(size: int):
     def run(batches):
-        cache = _WORDS
+        cache = kept("near_dedup", _Words)
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "hashes": [shingle_set(t, size, cache).tobytes() for t in pdf["text"]]})
     return run

@@ -22,12 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text
+from .common import is_text, kept
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: Pre-tokens remembered by a worker; more only cost time.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 600_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
@@ -69,16 +69,6 @@ class Encoder:
                 else b"".join(map(get, p)) for t, p in zip(texts, split)]
 
 
-#: The encoder of each vocabulary, kept by a worker from task to task.
-_ENCODERS: dict[str | None, Encoder] = {}
-
-
-def encoder(path: str | None = None) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
     """Pieces ``(document, start, length, sequence)`` that hold each token of
     documents of these lengths once and fill every sequence exactly."""
@@ -114,7 +104,7 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
 
 def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path: str | None, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, end = encoder(path), np.array([END_ID], dtype="<u4").tobytes()
+        coder, end = kept(("packing", path), lambda: Encoder(path)), np.array([END_ID], dtype="<u4").tobytes()
         base, ids, docs, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def flush() -> pd.DataFrame:

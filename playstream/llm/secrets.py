@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chain import fit, viterbi
-from .common import is_text
+from .common import is_text, kept
 
 # Fixed patterns; of a kind, matches are leftmost and do not overlap.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -126,10 +126,6 @@ class Shapes(dict):
         return k
 
 
-#: Kept by a worker from task to task; classes only grow, and do not depend on a model.
-_SHAPES = Shapes()
-
-
 def file_features(classes: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Of a text: its length, and its shares of numbers, of mixed tokens and of secret names."""
     n, kinds = len(classes), _SIZES[0]
@@ -221,7 +217,7 @@ class Tagger:
     """Applies a model; remembers the classes of words."""
 
     def __init__(self, model: Model):
-        self.model, self.shapes, self.margin = model, _SHAPES, model.margin()
+        self.model, self.shapes, self.margin = model, kept("secrets", Shapes), model.margin()  # classes do not depend on a model
         self.known = 0
 
     def _tables(self) -> None:

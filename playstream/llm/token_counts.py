@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import is_text
+from .common import is_text, kept
 
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -96,14 +96,9 @@ class Trie:
         return [(sum(map(get, w)), len(w)) for w in split]
 
 
-#: The trie of each vocabulary, kept by a worker from task to task.
-_TRIES: dict[str | None, Trie] = {}
-
-
 def trie(path: str | None = None) -> Trie:
-    if path not in _TRIES:
-        _TRIES[path] = Trie(Vocabulary(path))
-    return _TRIES[path]
+    """The worker's trie of a vocabulary."""
+    return kept(("token_counts", path), lambda: Trie(Vocabulary(path)))
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
