@@ -53,33 +53,41 @@ def kept(name: object, make: Callable[[], object]):
     return _KEPT[name]
 
 
-def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Runs of rows with equal keys from a partition sorted by them; a run may
-    span batches, so the last run of each batch waits for the next one."""
+def _starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Where the runs of equal keys begin."""
+    new = np.zeros(len(frame), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        v = frame[k].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames of whole groups, and where the groups begin, from a partition
+    sorted by ``keys``: the last group of a batch waits for the next one."""
     held: list[pd.DataFrame] = []
     for batch in batches:
         if not len(batch):
             continue
-        values = [batch[k].to_numpy() for k in keys]
-        new = np.zeros(len(batch), dtype=bool)
-        new[0] = True
-        for v in values:
-            new[1:] |= v[1:] != v[:-1]
-        starts = np.flatnonzero(new).tolist() + [len(batch)]
-        if held and any(held[-1][k].iloc[0] != v[0] for k, v in zip(keys, values)):
-            yield pd.concat(held) if len(held) > 1 else held[0]
-            held = []
-        for i, (s, e) in enumerate(zip(starts, starts[1:])):
-            part = batch.iloc[s:e]
-            if e == len(batch):
-                held.append(part)
-            elif i == 0 and held:
-                yield pd.concat([*held, part])
-                held = []
-            else:
-                yield part
+        starts = _starts(batch, keys)
+        if held and all(held[-1][k].iloc[-1] == batch[k].iloc[0] for k in keys) and len(starts) == 1:
+            held.append(batch)
+            continue
+        frame = pd.concat([*held, batch.iloc[:starts[-1]]], ignore_index=True) if held else batch.iloc[:starts[-1]]
+        held = [batch.iloc[starts[-1]:]]
+        if len(frame):
+            yield frame, _starts(frame, keys)
     if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+        frame = pd.concat(held, ignore_index=True)
+        yield frame, _starts(frame, keys)
+
+
+def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of a partition sorted by ``keys``, one by one."""
+    for frame, starts in whole_groups(batches, keys):
+        for s, e in zip(starts, [*starts[1:], len(frame)]):
+            yield frame.iloc[s:e]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

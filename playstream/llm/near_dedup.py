@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, is_text, kept, materialize, small_side, utf8
+from .common import grouped, is_text, kept, materialize, small_side, utf8, whole_groups
 from .components import connected_components
 
 #: Words remembered by a worker; more only cost a hash each.
@@ -153,22 +153,31 @@ def _confirm(percent: int):
     return run
 
 
+#: Pairs of signatures that are compared at once.
+PAIRS = 20_000
+
+
 def _possible(bound: float):
-    """Of each block, the members with a possible partner in another component."""
+    """Of each block, the members with a possible partner in another component.
+    In a group the rows of the rest come after the rows of all members."""
     def run(batches):
-        for g in grouped(batches, ["bucket", "i", "j"]):
-            rest = g["rest"].to_numpy()
-            if not rest.any() or rest.all():
-                continue
-            ids, comp = g["id"].to_numpy(), g["comp"].to_numpy()
+        for g, starts in whole_groups(batches, ["bucket", "i", "j"]):
+            rest, comp = g["rest"].to_numpy(), g["comp"].to_numpy()
             sig = np.frombuffer(b"".join(g["sig"]), dtype=np.uint32).reshape(len(g), -1)
-            keep = np.zeros(len(g), dtype=bool)
-            other = np.flatnonzero(~rest)
-            for r in np.flatnonzero(rest):
-                hit = other[((sig[other] == sig[r]).mean(axis=1) >= bound) & (comp[other] != comp[r])]
-                if len(hit):
-                    keep[r] = True
-                    keep[hit] = True
+            of = np.repeat(np.arange(len(starts)), np.diff([*starts, len(g)]))
+            others = np.bincount(of[~rest], minlength=len(starts))
+            left = np.flatnonzero(rest)
+            n = others[of[left]]  # partners of each row of the rest
+            ends, keep = np.cumsum(n), np.zeros(len(g), dtype=bool)
+            for lo in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+                k = np.arange(lo, min(lo + PAIRS, int(ends[-1])))
+                row = np.searchsorted(ends, k, side="right")
+                p = left[row]
+                q = starts[of[p]] + k - (ends - n)[row]
+                apart = comp[p] != comp[q]
+                p, q = p[apart], q[apart]
+                near = (sig[p] == sig[q]).mean(axis=1) >= bound
+                keep[p[near]] = keep[q[near]] = True
             if keep.any():
                 yield g.loc[keep, ["bucket", "i", "j", "id", "comp", "rest"]]
     return run
@@ -282,7 +291,7 @@ def _rest_links(members, found, sig, sets, bound, percent) -> DataFrame:
     block = as_rest.unionAll(as_all)
     keys = ["bucket", "i", "j"]
     possible = materialize(
-        block.join(sig, "id").repartition(*keys).sortWithinPartitions(*keys)
+        block.join(sig, "id").repartition(*keys).sortWithinPartitions(*keys, "rest")
         .mapInPandas(_possible(bound), "bucket long, i int, j int, id long, comp long, rest boolean"), "minhash-possible")
     return materialize(
         possible.join(sets, "id").repartition(*keys).sortWithinPartitions(*keys)
