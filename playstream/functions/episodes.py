@@ -88,27 +88,6 @@ def proportion(n: Column, denom: Column | int | float, scale: int = 2) -> Column
     return F.round(F.try_divide(n * 100, d), scale)
 
 
-def with_n_moves(df: DataFrame, n_hands: int, include_last: bool = False,
-                 name: str = "n_moves") -> DataFrame:
-    return df.withColumn(name, n_moves(n_hands, include_last))
-
-
-def with_final_hand(df: DataFrame, n_hands: int) -> DataFrame:
-    return df.withColumn("final_hand", final_hand(n_hands))
-
-
-def with_result(df: DataFrame) -> DataFrame:
-    return df.withColumn("result", result(F.col("final_hand")))
-
-
-def with_first_cards(df: DataFrame) -> DataFrame:
-    """PR-08: agent and opponent first cards."""
-    return df.withColumns({
-        "agent_first_card": first(SHOWN),
-        "opponent_first_card": second(SHOWN),
-    })
-
-
 def with_distance(df: DataFrame, target: int = TARGET) -> DataFrame:
     """PR-09 (Q8): agent final total and its distance to the target; keeps
     games that did not bust (a null distance is dropped too)."""

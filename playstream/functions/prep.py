@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.index import with_index
+
 # The category order of the reference's one-hot labels and
 # the luminosity weights of its grayscale conversion.
 CATEGORY_ORDER = ("ace", "two", "three", "four", "five", "six", "seven", "eight",
@@ -13,12 +15,16 @@ CATEGORY_ORDER = ("ace", "two", "three", "four", "five", "six", "seven", "eight"
 LUMA = (0.2989, 0.5870, 0.1140)
 
 
-def prepare_manifest(df: DataFrame, split: str = "train", root: str = "") -> DataFrame:
-    """PR-16: rows of one split, jokers dropped (any case), ``suit`` = last
+def prepare_manifest(df: DataFrame, split: str | None = "train", root: str = "") -> DataFrame:
+    """PR-16: rows of one split (with None of all, in one scan, the split in a
+    column ``split``), jokers dropped (any case), ``suit`` = last
     word of the label, ``category`` = card type, ``filepaths_full``."""
-    out = (df.filter(F.col("data set") == split).drop("data set")
-             .filter(F.lower(F.col("labels")) != "joker"))
+    out = df.filter(F.lower(F.col("labels")) != "joker")
+    if split is not None:
+        out = out.filter(F.col("data set") == split)
+    tag = [F.col("data set").alias("split")] if split is None else []
     return out.select(
+        *tag,
         "filepaths", "labels",
         F.element_at(F.split(F.col("labels"), " "), -1).alias("suit"),
         F.col("card type").alias("category"),
@@ -33,10 +39,12 @@ def one_hot(df: DataFrame, col: str, values: list[str], prefix: str = "") -> Dat
     return df.withColumns({f"{prefix}{v}": (F.col(col) == F.lit(v)).cast("int") for v in values})
 
 
-def shuffle(df: DataFrame, key: str, seed: int = 55) -> DataFrame:
-    """PR-18: a seeded permutation that does not depend on partitioning:
-    order by a hash of the key and the seed (ties by the key)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+def shuffle(df: DataFrame, key: str, seed: int = 55, position: str = "position") -> DataFrame:
+    """PR-18: a seeded permutation that does not depend on partitioning: each
+    row's ``position`` in the order of a hash of its key and the seed (ties by
+    the key, which is unique)."""
+    hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))).cast("binary")))
+    return with_index(hashed, ["_h", key], name=position).drop("_h")
 
 
 def argmax_label(scores: Column, labels: list[str]) -> Column:

@@ -126,11 +126,6 @@ def pivot_report(df: DataFrame, index: list[str], column: str, value: str,
     return out
 
 
-def sorted_report(df: DataFrame, keys: list[Column | str]) -> DataFrame:
-    """SO-01."""
-    return df.orderBy(*keys)
-
-
 def top_n(df: DataFrame, n: int, keys: list[Column | str]) -> DataFrame:
     """SO-02: top n by keys (TakeOrderedAndProject: each task keeps n rows).
     Give keys that form a total order for a deterministic result."""

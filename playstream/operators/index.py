@@ -15,7 +15,11 @@ two separately planned branches would not repeat identically. The write also
 cuts the lineage, so a lost executor never renumbers rows.
 
 The key must be a total order (unique): ties would make the local numbering
-depend on the arrival order of rows.
+depend on the arrival order of rows, so a repeated key is an error.
+
+A stored table needs no key: its rows are numbered as they are stored, by the
+place of each row in its file and the sizes of the files before, without a
+shuffle or a write.
 """
 
 from __future__ import annotations
@@ -48,13 +52,33 @@ def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataF
     return materialize(numbered, "ranged").withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
 
 
-def with_index(df: DataFrame, order_by: list[str] | str, base: int = 0,
+#: Files up to which their offsets are sent to all executors.
+BROADCAST_FILES = 500_000
+
+
+def _storage_index(df: DataFrame, base: int, name: str) -> DataFrame:
+    """Files in the order of their paths, rows as they stand in them."""
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = placed.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))  # one row per file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")), "offsets")
+    side = F.broadcast(offsets) if offsets.count() <= BROADCAST_FILES else offsets
+    return (placed.join(side, "_file").withColumn(name, F.col("_off") + F.col("_row") + F.lit(base))
+                  .drop("_file", "_row", "_off"))
+
+
+def with_index(df: DataFrame, order_by: list[str] | str | None = None, base: int = 0,
                name: str = "index", num_partitions: int | None = None) -> DataFrame:
     """PR-01: add ``name`` = base, base+1, .. in ``order_by`` order (a unique
-    key). ``num_partitions`` fixes the range partition count; by default
-    adaptive execution sizes it."""
+    key, else ``ValueError``), or without a key in storage order, for which
+    ``df`` must be the scan of a parquet table. ``num_partitions`` fixes the
+    range partition count; by default adaptive execution sizes it."""
+    if order_by is None:
+        return _storage_index(df, base, name)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     tagged = _ranged(df, keys, num_partitions)
+    if tagged.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"rows cannot be numbered by {keys}: a key is repeated")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -88,10 +112,10 @@ def with_running_sum(df: DataFrame, order_by: list[str] | str, cols: list[str],
 def chunk_number(index: Column | str = "index", size: int = 500) -> Column:
     """PR-02: ``floor(index / size)``."""
     idx = F.col(index) if isinstance(index, str) else index
-    return F.floor(idx / F.lit(size))
+    return F.call_function("div", idx, F.lit(size))
 
 
-def with_chunk(df: DataFrame, order_by: list[str] | str, size: int = 500,
+def with_chunk(df: DataFrame, order_by: list[str] | str | None = None, size: int = 500,
                base: int = 0, name: str = "chunk_number") -> DataFrame:
     return (with_index(df, order_by, base=base)
             .withColumn(name, chunk_number("index", size)))

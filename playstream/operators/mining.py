@@ -76,17 +76,20 @@ def assemble(df: DataFrame, cols: list[str], output_col: str = "features",
 
 def fit_policy_model(df: DataFrame, seed: int = 42, num_trees: int = NUM_TREES,
                      depths=DEPTH_GRID, folds: int = NUM_FOLDS,
-                     test_fraction: float = 0.2, parallelism: int = 3):
+                     test_fraction: float = 0.2, parallelism: int = 3, test: str | None = None):
     """ML-06: random forest on (player_total, dealer_card) -> action, depth
     chosen by 3-fold cross-validated AUC. Unlike the reference it holds out
-    a seeded test split and scores that (Q18). Returns (model, test scored).
+    a test split (the rows where column ``test`` is true, else a seeded
+    fraction) and scores that (Q18). Returns (model, test scored).
 
     The input is written once before fitting: cross-validation fits
     folds x grid + 1 forests, and each would otherwise recompute the whole
     upstream lineage."""
-    df = materialize(df.select("player_total", "dealer_card", "label_str"), "policy-input")
-    data = assemble(index_labels(df), ["player_total", "dealer_card"]).select("features", "label")
-    train, test = data.randomSplit([1 - test_fraction, test_fraction], seed=seed)
+    keep = [test] if test else []
+    df = materialize(df.select("player_total", "dealer_card", "label_str", *keep), "policy-input")
+    data = assemble(index_labels(df), ["player_total", "dealer_card"]).select("features", "label", *keep)
+    train, held = ((data.where(~F.col(test)), data.where(F.col(test))) if test
+                   else data.randomSplit([1 - test_fraction, test_fraction], seed=seed))
     rf = RandomForestClassifier(labelCol="label", featuresCol="features",
                                 numTrees=num_trees, seed=seed)
     grid = ParamGridBuilder().addGrid(rf.maxDepth, list(depths)).build()
@@ -94,7 +97,7 @@ def fit_policy_model(df: DataFrame, seed: int = 42, num_trees: int = NUM_TREES,
                         evaluator=BinaryClassificationEvaluator(), numFolds=folds,
                         seed=seed, parallelism=parallelism)
     model = cv.fit(train)
-    return model, model.transform(test)
+    return model, model.transform(held)
 
 
 def evaluator_auc(scored: DataFrame, label_col: str = "label",
@@ -143,15 +146,20 @@ def fit_surrogate_tree(df: DataFrame, feature_cols: list[str], label_col: str =
 
 
 def quantise(df: DataFrame, vec_col: str, k: int, seed: int = 1,
-             max_iter: int = 100, tol: float = 0.2) -> DataFrame:
+             max_iter: int = 100, tol: float = 0.2, attempts: int = 10,
+             to_bytes: bool = False) -> DataFrame:
     """ML-09: k-means quantisation; each row gets its cluster and centroid.
-    The centroid table has k rows, so the join back is a bounded broadcast."""
+    Of ``attempts`` starts the one of least cost is kept; ``to_bytes``
+    truncates centroids to whole values, as pixels have them. The centroid
+    table has k rows, so the join back is a bounded broadcast."""
     data = df.withColumn("_v", array_to_vector(F.col(vec_col).cast("array<double>")))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_v",
-                   predictionCol="cluster").fit(data)
+    fitted = materialize(data.select("_v"), "kmeans-input")
+    models = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_v",
+                     predictionCol="cluster").fit(fitted) for i in range(attempts)]
+    model = min(models, key=lambda m: m.summary.trainingCost)
     spark = df.sparkSession
     centres = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
+        [(i, [float(int(x) if to_bytes else x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cluster int, centroid array<double>")
     return model.transform(data).drop("_v").join(F.broadcast(centres), "cluster")
 

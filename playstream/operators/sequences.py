@@ -56,10 +56,12 @@ def to_basket(steps: DataFrame, col: str = "features") -> DataFrame:
                                          tag("dealer_", "dealer_card"), F.col("action")))
 
 
-def to_features(steps: DataFrame) -> DataFrame:
-    """PR-15: numeric feature columns and the string label; ``try_cast``
-    turns an unreadable value into null instead of an error."""
+def to_features(steps: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """PR-15: numeric feature columns and the string label (after the columns
+    to ``keep``); ``try_cast`` turns an unreadable value into null instead of
+    an error."""
     return steps.select(
+        *keep,
         F.col("player_total").try_cast("int").alias("player_total"),
         F.col("dealer_card").try_cast("int").alias("dealer_card"),
         F.col("action").alias("label_str"),

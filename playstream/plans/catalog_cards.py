@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions import prep
 from ..operators import cards as cd
+from ..operators.index import with_index
 from ..operators.metrics import clustering as cu
 from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
 from ..sources import sinks
-from ..sources.tables import TABLES, read_table
+from ..sources.tables import TABLES, load_result, read_table
 from . import reports as rp
 from .catalog import RP01_SQL, episodes_sql
 from .compare import comparable, nullable_ints_as_double
@@ -176,22 +177,13 @@ t AS (SELECT filepaths, labels, string_split(labels, ' ')[-1] AS suit, card_type
     '{MANIFEST_ROOT}/' || filepaths AS filepaths_full, data_set AS split
   FROM m WHERE lower(labels) <> 'joker')"""
 
-SPLITS = ("train", "valid", "test")
-
-
 def _prepared(spark, sf_dir):
     """IO-04 round trip: the manifest written as CSV with a header, read back
-    with a declared schema, then PR-16 preparation of every split (each
-    split's rows tagged with it), so the whole manifest is processed."""
+    with a declared schema, then PR-16 preparation of all splits in one scan."""
     path = scratch_path(spark, "manifest")
     manifest_table(spark, sf_dir).write.csv(path, header=True)
     raw = sinks.read_manifest(spark, path)
-    parts = [prep.prepare_manifest(raw, s, MANIFEST_ROOT).withColumn("split", F.lit(s))
-             for s in SPLITS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return prep.prepare_manifest(raw, None, MANIFEST_ROOT)
 
 
 @register("pr16_prepare_manifest", MANIFEST_SQL + "\nSELECT * FROM t")
@@ -206,11 +198,10 @@ def q_pr17(spark, sf_dir):
     return comparable(oh.select("filepaths", "split", *prep.CATEGORY_ORDER))
 
 
-@register("pr18_shuffle", MANIFEST_SQL + "\nSELECT * FROM t")
+@register("pr18_shuffle", MANIFEST_SQL + """
+SELECT *, row_number() OVER (ORDER BY md5(filepaths || '55'), filepaths) - 1 AS position FROM t""")
 def q_pr18(spark, sf_dir):
-    """Seeded permutation of the whole prepared manifest. The comparison is
-    order-insensitive, so the oracle checks that it is a permutation: every
-    row once, nothing lost or added."""
+    """Seeded permutation of the whole prepared manifest, with positions."""
     return comparable(prep.shuffle(_prepared(spark, sf_dir), "filepaths", seed=55))
 
 
@@ -344,7 +335,15 @@ def q_io02(spark, sf_dir):
     """IO-02 / IO-10: the report written as parquet and read back."""
     path = sinks.write_result(rp.risk_by_chunk(fx.train_games(spark, sf_dir), fx.TRAIN_HANDS),
                               scratch_path(spark, "rp01"))
-    return comparable(spark.read.parquet(path))
+    return comparable(load_result(spark, path))
+
+
+@register("pr01_storage_index", """SELECT row_number() OVER () - 1 AS index, l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM lineitem""")
+def q_pr01_storage(spark, sf_dir):
+    """Rows numbered as they are stored: no key, no shuffle."""
+    rows = with_index(read_table(spark, sf_dir, "lineitem"))
+    return rows.select("index", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 @register("io03_report_job", RP01_SQL)

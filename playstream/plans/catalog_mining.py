@@ -96,13 +96,20 @@ def q_ml04(spark, sf_dir):
     return comparable(idx.groupBy("label_str", "label").agg(F.count(F.lit(1)).alias("count")))
 
 
-@register("ml06_policy_model")
+@register("ml06_policy_model", steps_sql() + """
+SELECT l_orderkey % 5 = 0 AS test, action AS label_str, count(*) AS count,
+  true AS auc_above_half, true AS evaluator_agrees
+FROM steps GROUP BY ALL""")
 def q_ml06(spark, sf_dir):
-    """Rows-only: cross-validated forest; one row with the exact test AUC
-    and the evaluator's AUC."""
-    _, scored = mn.fit_policy_model(to_features(_play_steps(spark, sf_dir)))
-    exact = mn.auc(scored.select("label", F.get(vector_to_array("probability"), 1).alias("score")))
-    return exact.withColumn("evaluator_auc", F.lit(mn.evaluator_auc(scored)))
+    """Cross-validated forest, held out by game: rows per split and label;
+    whether the exact test AUC beats chance and the evaluator agrees."""
+    feats = materialize(to_features(_play_steps(spark, sf_dir), keep=("l_orderkey",))
+                        .withColumn("test", F.col("l_orderkey") % 5 == 0), "policy-steps")
+    _, scored = mn.fit_policy_model(feats, test="test")
+    exact = mn.auc(scored.select("label", F.get(vector_to_array("probability"), 1).alias("score"))).first()["auc"]
+    told = mn.evaluator_auc(scored)
+    return feats.groupBy("test", "label_str").count().select(
+        "*", F.lit(exact > 0.5).alias("auc_above_half"), F.lit(abs(exact - told) < 0.02).alias("evaluator_agrees"))
 
 
 def _doc_scores(spark, sf_dir):
@@ -127,22 +134,36 @@ def q_ml07(spark, sf_dir):
 EXPERTS, OUTPUTS = 32, 2
 
 
-@register("ml08_surrogate_tree")
+@register("ml08_surrogate_tree", """WITH t AS (SELECT vec_id % 5 = 0 AS test, label FROM embeddings)
+SELECT test, CAST(label AS DOUBLE) AS label, count(*) AS count, true AS fits_training FROM t GROUP BY ALL""")
 def q_ml08(spark, sf_dir):
-    """Rows-only: tree over the 64 embedding values read as 32 experts x 2
-    outputs, predicting the embedding label; test predictions."""
+    """Tree over the 64 embedding values read as 32 experts x 2 outputs,
+    predicting the embedding label; a fifth of the vectors held out: rows per
+    split and label, and whether the tree fits its own rows better than one
+    label for all would."""
     emb = read_table(spark, sf_dir, "embeddings")
-    wide = emb.select("vec_id", F.col("label").cast("double").alias("label"),
-                      *expert_columns("embedding", EXPERTS, OUTPUTS))
-    train, test = wide.randomSplit([0.8, 0.2], seed=42)
-    feats = [c for c in wide.columns if c.startswith("expert_")]
-    model = mn.fit_surrogate_tree(train, feats)
-    return model.transform(test).select("vec_id", "label", "prediction")
-
-
-@register("ml09_quantise")
+    wide = materialize(emb.select("vec_id", F.col("label").cast("double").alias("label"),
+                                  *expert_columns("embedding", EXPERTS, OUTPUTS)), "experts")
+    held = F.col("vec_id") % 5 == 0
+    model = mn.fit_surrogate_tree(wide.where(~held), [c for c in wide.columns if c.startswith("expert_")])
+    right = model.transform(wide.where(~held)).agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
+    share = wide.where(~held).groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    return wide.select(held.alias("test"), "label").groupBy("test", "label").count().withColumn(
+        "fits_training", F.lit(right > share))
+
+
+@register("ml09_quantise", """SELECT count(*) AS count, CAST(10 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced
+FROM embeddings""")
 def q_ml09(spark, sf_dir):
-    """Rows-only: k-means (k = 10) over the embeddings."""
+    """k-means (k = 10, best of 3 starts) over the embeddings: rows, clusters
+    in use, and rows that have a nearer centroid than their own."""
     emb = read_table(spark, sf_dir, "embeddings")
-    q = mn.quantise(emb.select("vec_id", "embedding"), "embedding", k=10)
-    return q.select("vec_id", "cluster", F.size("centroid").alias("dims"))
+    q = materialize(mn.quantise(emb.select("vec_id", F.col("embedding").cast("array<double>").alias("x")), "x", k=10, attempts=3), "quantised")
+    found = q.select("cluster", "centroid").distinct().collect()  # k rows
+    centres = F.array(*[F.array(*map(F.lit, r["centroid"])) for r in found])
+
+    def far(c):
+        return F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    nearest = F.array_min(F.transform(centres, far))
+    return q.agg(F.count(F.lit(1)).alias("count"), F.count_distinct("cluster").alias("clusters"),
+                 F.count_if(far(F.col("centroid")) > nearest + 1e-9).alias("misplaced"))

@@ -1,7 +1,9 @@
 """Whole reports over a games table (RP-01 .. RP-07).
 
-Each takes a games table (``shown_cards, hand_0 ..``, plus an order key for
-chunking) and returns a lazy DataFrame. Parameters default to the
+Each takes a games table (``shown_cards, hand_0 ..``, for chunks an order key,
+or an ``index`` column of games that are already numbered, named as the order
+key) and returns a DataFrame. Reports by chunk or risk level write narrow
+tables under the checkpoint folder while they are built. Parameters default to the
 reference's constants (chunk size 500), except the quartile error: 0 gives
 exact quartiles from a histogram of move counts, which is bounded by the
 number of hands and so costs less than the approximate sketch; pass
@@ -20,15 +22,18 @@ from ..operators.aggregates import (
     group_count, hit_stats as _hit_stats, pivot_report, quartile_thresholds,
     strategy_profile, win_rate,
 )
-from ..operators.index import with_chunk
+from ..operators.index import chunk_number, with_chunk
 from ..session import materialize
 
 CHUNK_SIZE = 500
 ORDER_KEY = "l_orderkey"
+INDEX = "index"
 
 
 def _chunked(df: DataFrame, by_chunk: bool, order_key: str, size: int) -> DataFrame:
-    return with_chunk(df, order_key, size).drop("index") if by_chunk else df
+    if by_chunk and order_key == INDEX:
+        return df.withColumn("chunk_number", chunk_number(INDEX, size)).drop(INDEX)
+    return with_chunk(df, order_key, size).drop(INDEX) if by_chunk else df
 
 
 def _key(by_chunk: bool, order_key: str) -> list[str]:
@@ -46,8 +51,9 @@ def with_risk(games: DataFrame, n_hands: int, err: float = 0.0,
     writes it anyway) and both the thresholds and the levels read it, so
     the games are derived from their source a single time."""
     moves = games.select(*keep, n_moves(n_hands).alias("n_moves"))
-    moves = (_chunked(moves, True, order_key, chunk_size) if by_chunk
-             else materialize(moves, "moves"))
+    moves = _chunked(moves, by_chunk, order_key, chunk_size)
+    if not by_chunk or order_key == INDEX:  # else the numbering has written it
+        moves = materialize(moves, "moves")
     q1, q2, q3 = quartile_thresholds(moves.select("n_moves"), "n_moves", err)
     return moves.withColumn("risk_level", risk_level(F.col("n_moves"), q1, q2, q3))
 

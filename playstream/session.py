@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,7 +73,33 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _SCOPES[-1:]:
+        made.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes at its end the scratch tables that were made within it; what
+    reads them must be done by then."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):
@@ -94,11 +121,7 @@ def drop_scratch(spark: SparkSession) -> None:
     current = sc.getCheckpointDir()
     if not current:
         return
-    jvm = sc._jvm
-    path = jvm.org.apache.hadoop.fs.Path(current)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)
+    _delete(spark, current)
     # forget the event topic files written for this application
     from .streaming import runner
     app = sc.applicationId

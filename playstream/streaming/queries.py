@@ -42,11 +42,6 @@ def flat_window(df: DataFrame) -> DataFrame:
                      *[c for c in df.columns if c != "window"])
 
 
-def as_of_max(df: DataFrame) -> Column:
-    """The latest event time as a scalar subquery (reproducible 'now')."""
-    return df.agg(F.max("event_time")).scalar()
-
-
 def recent(df: DataFrame, minutes: int | None = None, as_of: Column | None = None,
            interval: str | None = None) -> DataFrame:
     """PR-12: rows no older than the interval before ``as_of`` (default the

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,24 @@ def test_running_sum(spark):
     assert out.join(ref, ["s", "n"]).filter(F.col("n_cum") != F.col("ref")).count() == 0
 
 
+def test_storage_index_over_several_files(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    spark.range(0, 2500).select(F.col("id").alias("v"), (F.col("id") % 3).alias("w")).repartition(5).write.parquet(path)
+    stored = spark.read.parquet(path)
+    got = with_index(stored, base=1).collect()
+    assert sorted(r["index"] for r in got) == list(range(1, 2501)) and {r["v"] for r in got} == set(range(2500))
+    placed = stored.select("v", "_metadata.file_path", "_metadata.row_index").collect()
+    want = [r["v"] for r in sorted(placed, key=lambda r: (r["file_path"], r["row_index"]))]
+    assert [r["v"] for r in sorted(got, key=lambda r: r["index"])] == want
+    plan = with_index(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Exchange range" not in plan
+
+
+def test_repeated_key_is_refused(spark):
+    with pytest.raises(ValueError, match="repeated"):
+        with_index(spark.createDataFrame([(1,), (2,), (1,)], "k long"), "k")
+
+
 def test_index_with_adaptive_partitions(spark):
     random.seed(9)
     keys = random.sample(range(1_000_000), 3000)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from playstream import jobs
 from playstream.plans import reports as rp
+from playstream.session import ensure_checkpoint_dir
 from playstream.sources import fixtures as fx
 
 
@@ -21,11 +22,28 @@ def test_job_writes_every_report(spark, tmp_dir):
     raw(fx.train_games(spark, SF001), fx.TRAIN_HANDS).write.parquet(train)
     raw(fx.play_games(spark, SF001), fx.PLAY_HANDS).write.parquet(play)
     out = os.path.join(tmp_dir, "out")
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     written = jobs.run(spark, train, play, out)
     assert set(written) == set(jobs.REPORTS)
     got = sorted(spark.read.parquet(written["rp04_win_rate_distance_play"]).collect())
     want = sorted(rp.win_rate_by_distance(fx.play_games(spark, SF001), fx.PLAY_HANDS, False).collect())
     assert got == want
+    made = {f.rsplit("-", 1)[0] for f in set(os.listdir(scratch)) - before}
+    assert not made & {"numbered", "steps", "range-input", "ranged", "offsets"}     # scratch is dropped
     again = jobs.run(spark, train, play, out, ["rp01_risk_by_chunk"])      # rerun overwrites
     assert spark.read.parquet(again["rp01_risk_by_chunk"]).agg(F.sum("count")).first()[0] == \
         fx.train_games(spark, SF001).count()
+
+
+def test_job_on_tables_without_a_key(spark, tmp_dir):
+    """The stored order numbers the games; no report is skipped."""
+    train, play, out = (os.path.join(tmp_dir, x) for x in ("train", "play", "out"))
+    raw(fx.train_games(spark, SF001), fx.TRAIN_HANDS).drop("l_orderkey").write.parquet(train)
+    raw(fx.play_games(spark, SF001), fx.PLAY_HANDS).drop("l_orderkey").write.parquet(play)
+    written = jobs.run(spark, train, play, out, display_names=True)
+    assert set(written) == set(jobs.REPORTS)
+    n = fx.train_games(spark, SF001).count()
+    rows = spark.read.parquet(written["rp01_risk_by_chunk"]).groupBy("Chunk Number").agg(F.sum("count").alias("n")).collect()
+    assert {r["Chunk Number"]: r["n"] for r in rows} == {k: min(500, n - 500 * k) for k in range((n + 499) // 500)}
+    assert "Winning Rate Proportion" in spark.read.parquet(written["rp04_win_rate_distance_play"]).columns

@@ -5,6 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from playstream.functions.episodes import enrich
+from playstream.operators import aggregates as ag
+from playstream.session import materialize
 from playstream.sources import fixtures as fx
 from playstream.sources.tables import read_table
 
@@ -66,6 +69,9 @@ def test_hot_order_is_bounded_and_exact(spark):
 
 
 def test_aggregates_are_partial_before_the_shuffle(spark):
-    g = read_table(spark, SF001, "lineitem").groupBy("l_returnflag").count()
-    plan = executed_plan(g)
-    assert "partial_count" in plan
+    g = materialize(enrich(fx.train_games(spark, SF001), fx.TRAIN_HANDS), "plan-games")
+    for out, part in ((ag.group_count(g, ["agent_first_card"]), "partial_count"),
+                      (ag.win_rate(g, ["agent_first_card"]), "partial_count"),
+                      (ag.hit_stats(g, ["agent_first_card"], col="n_moves"), "partial_")):
+        plan = executed_plan(out)
+        assert part in plan and plan.count("Exchange hashpartitioning") == 1
