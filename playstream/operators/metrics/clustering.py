@@ -113,3 +113,17 @@ def silhouette(df: DataFrame, vec: str = "features", labels: str = "label",
         value = ClusteringEvaluator(featuresCol="_v", predictionCol="_k",
                                     distanceMeasure=distance).evaluate(data)
     return df.sparkSession.range(1).select(F.lit(value).cast("double").alias("silhouette"))
+
+
+EXTERNAL = ("adjusted_rand", "normalized_mutual_info", "homogeneity", "completeness", "v_measure")
+
+
+def clustering_report(df: DataFrame, vec: str = "features", labels: str = "label",
+                      truth: str | None = None) -> DataFrame:
+    """One row with the internal scores and the silhouette, and with the
+    external scores, which are null without a ``truth`` column. The three
+    parts are one row each and are computed when this is called."""
+    parts = [clustering_internal(df, vec, labels), silhouette(df, vec, labels)]
+    parts += [clustering_external(df, labels, truth)] if truth else []
+    told = dict.fromkeys(EXTERNAL) | {c: v for p in parts for c, v in p.first().asDict().items()}
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(c) for c, v in told.items()])

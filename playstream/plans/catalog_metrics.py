@@ -20,7 +20,7 @@ from ..operators.metrics.registry import register as register_metrics
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from .compare import comparable
-from .registry import register
+from .registry import ORACLES, register
 
 
 def sci(df, cols=None):
@@ -299,7 +299,8 @@ def _reg_sql() -> str:
     reg_cols = ["mae", "mse", "rmse", "r2", "mape", "error_mean", "error_variance",
                 "error_std", "adjusted_r2"]
     cls_cols = ["accuracy", "precision", "recall", "f1"]
-    ext_cols = ["adjusted_rand", "normalized_mutual_info", "homogeneity", "completeness", "v_measure"]
+    ext_cols = ["adjusted_rand", "normalized_mutual_info", "homogeneity", "completeness", "v_measure",
+                "calinski_harabasz", "davies_bouldin", "silhouette"]
     allc = reg_cols + cls_cols + ext_cols
 
     def row(name, src, cols, n):
@@ -310,7 +311,8 @@ def _reg_sql() -> str:
 
     reg = REG_RAW_SQL
     cls = _avg_sql("weighted").replace("round(", "(").replace(", 6)", ")")
-    ext = EXT_RAW_SQL
+    ext = (f"SELECT * FROM ({EXT_RAW_SQL}), ({ORACLES['ev10_11_clustering_internal']}), "
+           f"({ORACLES['ev12_silhouette']})")
     return " UNION ALL ".join([
         row("price_from_quantity", reg, reg_cols, "n"),
         row("card_recogniser", cls, cls_cols, "CAST(NULL AS BIGINT)"),
@@ -325,6 +327,6 @@ def q_se01(spark, sf_dir):
                            rg.regression_metrics(_regression(spark, sf_dir), n_features=2))
     reg = register_metrics(reg, "card_recogniser", cl.classification_metrics(_cards(spark, sf_dir)))
     c = _clusters(spark, sf_dir)
-    reg = register_metrics(reg, "argmax_head", cu.clustering_external(c, labels="label", truth="truth"))
+    reg = register_metrics(reg, "argmax_head", cu.clustering_report(c, vec="embedding", labels="label", truth="truth"))
     return sci(reg.withColumn("n", F.col("n").cast("double")), [
         f.name for f in reg.schema.fields if f.dataType.typeName() == "double"])
