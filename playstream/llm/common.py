@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstream.session import materialize
 from playstream.sources.tables import read_table
 
-__all__ = ["materialize", "read_table", "row_key", "small_side", "kept", "grouped", "utf8", "is_text"]
+__all__ = ["materialize", "read_table", "row_key", "small_side", "kept", "tidy", "grouped", "utf8", "is_text"]
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -53,6 +56,24 @@ def kept(name: object, make: Callable[[], object]):
     return _KEPT[name]
 
 
+def give_back() -> None:
+    """Return to the system what the batches of a task have held; allocators
+    keep it otherwise, and idle workers share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def tidy(run):
+    """A function over a task's batches that gives memory back at its end."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+    return wrapped
+
+
 def _starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
     """Where the runs of equal keys begin."""
     new = np.zeros(len(frame), dtype=bool)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text
+from .common import is_text, tidy
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -415,4 +415,4 @@ def extract(pages: DataFrame, model: Model, column: str = "html") -> DataFrame:
             sources = [s if is_text(s) else "" for s in sources]
             yield pd.Series([t for i in range(0, len(sources), 256) for t in main_texts(model, sources[i:i + 256], keys)], dtype=object)
 
-    return pages.withColumn("text", F.pandas_udf(run, "string")(F.col(column).cast("string")))
+    return pages.withColumn("text", F.pandas_udf(tidy(run), "string")(F.col(column).cast("string")))

@@ -27,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, is_text, kept, materialize, small_side, utf8, whole_groups
+from .common import grouped, is_text, kept, materialize, small_side, tidy, utf8, whole_groups
 from .components import connected_components
 
 #: Words remembered by a worker; more only cost a hash each.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: Members of one side of a block.
 BLOCK = 256
 _RNG = np.random.RandomState(20240607)
@@ -113,7 +113,7 @@ def _signed(size: int, bands: int, rows: int):
                 sigs.append(None if sig is None else sig.tobytes())
                 keys.append(None if sig is None else mh.keys(sig))
             yield pd.DataFrame({"doc_id": pd.array(_ids(pdf, "doc_id"), dtype="Int64"), "n_shingles": n, "set_key": key, "sig": sigs, "bands": keys})
-    return run
+    return tidy(run)
 
 
 def _full_sets(size: int):
@@ -121,7 +121,7 @@ def _full_sets(size: int):
         cache = kept("near_dedup", _Words)
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "hashes": [shingle_set(t, size, cache).tobytes() for t in pdf["text"]]})
-    return run
+    return tidy(run)
 
 
 def _agree(percent_bound: float):
@@ -132,7 +132,7 @@ def _agree(percent_bound: float):
                 a = np.frombuffer(b"".join(pdf["sig_a"]), dtype=np.uint32).reshape(len(pdf), -1)
                 b = np.frombuffer(b"".join(pdf["sig_b"]), dtype=np.uint32).reshape(len(pdf), -1)
                 yield pdf.loc[(a == b).mean(axis=1) >= percent_bound, ["u", "v"]]
-    return run
+    return tidy(run)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -150,7 +150,7 @@ def _confirm(percent: int):
             ok = [similar(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64), percent)
                   for a, b in zip(pdf["hashes_a"], pdf["hashes_b"])]
             yield pdf.loc[np.array(ok, dtype=bool), ["u", "v"]]
-    return run
+    return tidy(run)
 
 
 #: Pairs of signatures that are compared at once.
@@ -180,7 +180,7 @@ def _possible(bound: float):
                 keep[p[near]] = keep[q[near]] = True
             if keep.any():
                 yield g.loc[keep, ["bucket", "i", "j", "id", "comp", "rest"]]
-    return run
+    return tidy(run)
 
 
 def _joined(percent: int):
@@ -206,7 +206,7 @@ def _joined(percent: int):
                         out.append((ids[r], ids[o]))
             if out:
                 yield pd.DataFrame(out, columns=["u", "v"])
-    return run
+    return tidy(run)
 
 
 def _sets_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -22,12 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, kept
+from .common import is_text, kept, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Pre-tokens remembered by a worker; more only cost time.
-CACHE_PIECES = 600_000
+#: A worker remembers up to twice as many pre-tokens; more only cost time.
+CACHE_PIECES = 250_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
@@ -47,6 +47,7 @@ class Encoder:
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of pre-tokens, all in one text: one pre-token for each of them."""
@@ -61,9 +62,11 @@ class Encoder:
         split = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
         pieces = set().union(*(p for p in split if p))
         new = pieces.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known, new = {}, pieces
-        self._learn(list(new))
+        if len(self.known) + len(new) > CACHE_PIECES:  # what is in use comes back from the older ones
+            self.known, self.older, new = {}, self.known, pieces
+        back = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in back)
+        self._learn(list(new - back))
         get = self.known.__getitem__
         return [np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if p is None
                 else b"".join(map(get, p)) for t, p in zip(texts, split)]
@@ -131,7 +134,7 @@ def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path:
                         yield flush()
         if ids:
             yield flush()
-    return run
+    return tidy(run)
 
 
 def pack(docs: DataFrame, size: int = 4096, shard_tokens: int = 1 << 20, linear: float = 1.0,

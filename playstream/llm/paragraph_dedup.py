@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, materialize
+from .common import is_text, materialize, tidy
 from .near_dedup import near_duplicates
 
 #: Bits of a paragraph's number that hold its place in the document.
@@ -49,7 +49,7 @@ def _paragraphs(min_words: int):
                             raise ValueError(f"document {doc_id} has more than {1 << PLACE_BITS} lines")
                         rows.append(((doc_id << PLACE_BITS) + i, line))
             yield pd.DataFrame(rows, columns=["doc_id", "text"])
-    return run
+    return tidy(run)
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = 40, percent: int = 80, shingle_words: int = 5, miss: float = 1e-4) -> DataFrame:

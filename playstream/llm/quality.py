@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chain import fit, marginals
-from .common import is_text, utf8
+from .common import is_text, tidy, utf8
 
 #: Labelled documents that are fitted on, and the longest text among them.
 SAMPLE_DOCS, SAMPLE_CHARS = 3000, 200_000
@@ -145,5 +145,5 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3
             parts = [score(model, texts[i:i + BLOCK_DOCS]) for i in range(0, len(texts), BLOCK_DOCS)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
-    scored = docs.withColumn("score", F.pandas_udf(run, DoubleType())(F.col("text").cast("string")))
+    scored = docs.withColumn("score", F.pandas_udf(tidy(run), DoubleType())(F.col("text").cast("string")))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chain import fit, viterbi
-from .common import is_text, kept
+from .common import is_text, kept, tidy
 
 # Fixed patterns; of a kind, matches are leftmost and do not overlap.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -37,7 +37,7 @@ SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 2000, 100_000, 1500
 #: Longer lines are not fitted on.
 LINE_CHARS = 600
 #: Words whose class a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: Texts scored together.
 BLOCK_DOCS = 256
 _TOKEN = re.compile(r"\S+")
@@ -343,7 +343,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
                     rows.append(",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in spans))
             yield pd.Series(rows, dtype=object)
 
-    told = docs.withColumn("found", F.pandas_udf(run, "string")(F.col("text").cast("string")))
+    told = docs.withColumn("found", F.pandas_udf(tidy(run), "string")(F.col("text").cast("string")))
     spans = F.filter(F.split("found", ","), lambda x: x != "")
     return told.withColumn("found", F.transform(spans, lambda x: F.struct(
         F.split(x, ":")[1].cast("int").alias("start"), F.split(x, ":")[2].cast("int").alias("end"), F.split(x, ":")[0].alias("kind"))))
@@ -368,4 +368,4 @@ def redact(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame:
                         out[j] = "".join([*parts, plain[j][end:]])
             yield pd.Series(out, dtype=object)
 
-    return docs.withColumn("text", F.pandas_udf(run, "string")(F.col("text").cast("string")))
+    return docs.withColumn("text", F.pandas_udf(tidy(run), "string")(F.col("text").cast("string")))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import is_text, kept
+from .common import is_text, kept, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -115,5 +115,5 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             yield pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 2), columns=["n_tokens", "n_words"])
 
     kind = StructType([StructField("n_tokens", LongType()), StructField("n_words", LongType())])
-    told = docs.drop("n_tokens", "n_words").withColumn("_count", F.pandas_udf(run, kind)(F.col("text").cast("string")))
+    told = docs.drop("n_tokens", "n_words").withColumn("_count", F.pandas_udf(tidy(run), kind)(F.col("text").cast("string")))
     return told.select(*[c for c in told.columns if c != "_count"], "_count.n_tokens", "_count.n_words")
