@@ -58,7 +58,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 4096 tokens, with the ids of each piece."""
     from playstream.llm.packing import pack
-    return pack(docs)
+    return pack(docs, remember=50_000)  # the stages before have filled the executors' memory
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

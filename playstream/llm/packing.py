@@ -26,8 +26,8 @@ from .common import is_text, kept, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: A worker remembers up to twice as many pre-tokens; more only cost time.
-CACHE_PIECES = 250_000
+#: A worker remembers up to twice as many pre-tokens; fewer only cost time.
+REMEMBER = 400_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
@@ -41,11 +41,12 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit words, remembering the ids
     of pre-tokens: they do not depend on what stands around."""
 
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, remember: int = REMEMBER):
         import public_tokenizers
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.remember = remember
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -62,7 +63,7 @@ class Encoder:
         split = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
         pieces = set().union(*(p for p in split if p))
         new = pieces.difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:  # what is in use comes back from the older ones
+        if len(self.known) + len(new) > self.remember:  # what is in use comes back from the older ones
             self.known, self.older, new = {}, self.known, pieces
         back = new.intersection(self.older)
         self.known.update((p, self.older[p]) for p in back)
@@ -105,9 +106,9 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
     return out
 
 
-def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path: str | None, with_ids: bool):
+def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path: str | None, with_ids: bool, remember: int = REMEMBER):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, end = kept(("packing", path), lambda: Encoder(path)), np.array([END_ID], dtype="<u4").tobytes()
+        coder, end = kept(("packing", path, remember), lambda: Encoder(path, remember)), np.array([END_ID], dtype="<u4").tobytes()
         base, ids, docs, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def flush() -> pd.DataFrame:
@@ -138,18 +139,19 @@ def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path:
 
 
 def pack(docs: DataFrame, size: int = 4096, shard_tokens: int = 1 << 20, linear: float = 1.0,
-         quadratic: float = 1 / 4096, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
+         quadratic: float = 1 / 4096, vocabulary: str | None = None, with_ids: bool = True, remember: int = REMEMBER) -> DataFrame:
     """Return one row per piece: ``doc_id``, ``start`` (ids of its document
     before it), ``length``, ``ids_crc32`` (of its ids as little-endian
     unsigned 32-bit words), ``doc_tokens``, ``sequence_id``, ``offset`` in the
     sequence and, if ``with_ids``, the ids as such words in ``ids``.
 
     ``vocabulary`` is the path of a tokenizers file, the public 49k word BPE
-    by default; each document ends with id 2. A sequence holds ``size`` ids
-    (a power of two) or, at most once for each power in a shard, a smaller
-    power of two; none is padded. Defined cases: a null or empty text is the
+    by default; each document ends with id 2. A worker remembers the ids of up
+    to twice ``remember`` pre-tokens, which changes no result. A sequence holds
+    ``size`` ids (a power of two) or, at most once for each power in a shard, a
+    smaller power of two; none is padded. Defined cases: a null or empty text is the
     end id alone; rows with equal or null ids are documents of their own;
     further columns are ignored; an empty table gives no piece."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInPandas(_packer(size, shard_tokens, linear, quadratic, vocabulary, with_ids), schema + (", ids binary" if with_ids else "")))
+            .mapInPandas(_packer(size, shard_tokens, linear, quadratic, vocabulary, with_ids, remember), schema + (", ids binary" if with_ids else "")))
