@@ -27,7 +27,7 @@ from .common import is_text, kept, tidy
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: A worker remembers up to twice as many pre-tokens; fewer only cost time.
-REMEMBER = 400_000
+REMEMBER = 800_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
 #: others are given to the tokenizer as they are.
