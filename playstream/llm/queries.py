@@ -148,3 +148,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .paragraph_dedup import repeated_paragraphs
     return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
+
+
+@_query("op2_repeated_passages")
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .passages import repeated_passages
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
