@@ -291,11 +291,12 @@ class Tagger:
 
 
 def all_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """Base spans, and the model's that overlap none of them, by start and kind."""
+    """Base spans, and the model's that lie in none of them, by start and kind:
+    where a secret goes on beyond a pattern's match, both are spans."""
     out = []
     for text, more in zip(texts, tagger.spans(texts)):
         base = base_spans(text)
-        new = [(s, e, 3) for s, e in more if not any(s < b[1] and b[0] < e for b in base)]
+        new = [(s, e, 3) for s, e in more if not any(b[0] <= s and e <= b[1] for b in base)]
         out.append(sorted(base + new, key=lambda s: (s[0], s[2])))
     return out
 

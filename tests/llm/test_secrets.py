@@ -88,3 +88,16 @@ def test_model_adds_spans(model):
     texts = ["my key ghp_a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5P6q7R8 end", "call 555-1234 or mail a.b1@mail2.example.com on 2024-01-12"]
     got = S.all_spans(S.Tagger(model), texts)
     assert [texts[0][s:e] for s, e, k in got[0]] == ["ghp_a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5P6q7R8"] and got[1] == []
+
+
+@pytest.mark.parametrize("value", ["Abc123xyz!@#456", "hT7kQ2mX9$481", "AbC12dEf34GhI56jK 78lMn90oPq12rSt34", "9f8e7d6c5b4a39281706f5e4 d3c2b1a09f8e7d6c5b4a3928"])
+def test_secrets_that_go_on_beyond_a_pattern(spark, model, value):
+    text = f"connect with password={value} then use the server"
+    s = text.index(value)
+    base = S.base_spans(text)
+    assert base and all(e < s + len(value) for _, e, _ in base)
+    spans = S.all_spans(S.Tagger(model), [text])[0]
+    assert [x for x in spans if x[2] != 3] == base and (s, s + len(value), 3) in spans
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert S.redact(df, model).first().text == "connect with [SECRET] then use the server"
+    assert [x.kind for x in S.scan(df, model).first().found] == ["assign", "model"]
