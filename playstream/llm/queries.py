@@ -154,3 +154,34 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .passages import repeated_passages
     return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+_OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS VARCHAR) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS s
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+pos AS (
+  SELECT a, b AS p, s FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT pos.a AS anchor_id, pos.p AS positive_id, CAST(row_number() OVER (PARTITION BY pos.a, pos.p ORDER BY n.s DESC, n.b) AS INTEGER) AS rank,
+       n.b AS negative_id, pos.s AS positive_score, n.s AS negative_score
+FROM pos JOIN pairs n ON n.a = pos.a AND NOT n.same AND 50 * pos.s <= 100 * n.s AND 100 * n.s <= 95 * pos.s
+QUALIFY row_number() OVER (PARTITION BY pos.a, pos.p ORDER BY n.s DESC, n.b) <= 3
+"""
+
+
+@_query("op11_hard_negatives", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .hard_negatives import hard_negatives
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
