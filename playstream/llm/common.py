@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from playstream.session import materialize
 from playstream.sources.tables import read_table
 
-__all__ = ["materialize", "read_table", "row_key", "small_side", "kept", "tidy", "grouped", "utf8", "is_text"]
+__all__ = ["Best", "materialize", "read_table", "row_key", "small_side", "kept", "tidy", "grouped", "utf8", "is_text"]
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -111,5 +111,41 @@ def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Dat
             yield frame.iloc[s:e]
 
 
+_NO_SCORE = -2**62
+
+
+class Best:
+    """The best ``k`` (score, id) of each of ``n`` places, whole numbers;
+    higher scores first, ties by smaller id."""
+
+    def __init__(self, n: int, k: int):
+        self.k = k
+        self.score = np.full((n, k), _NO_SCORE, dtype=np.int64)
+        self.id = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
+
+    def could(self, place, score, ident) -> np.ndarray:
+        """Which of these would be among the best."""
+        last, last_id = self.score[place, -1], self.id[place, -1]
+        return (score > last) | ((score == last) & (ident < last_id))
+
+    def add(self, place: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
+        if not len(place):
+            return
+        touched = np.unique(place)
+        place = np.concatenate([place, np.repeat(touched, self.k)])
+        score = np.concatenate([score.astype(np.int64), self.score[touched].ravel()])
+        ident = np.concatenate([ident, self.id[touched].ravel()])
+        order = np.lexsort((ident, -score, place))
+        place, score, ident = place[order], score[order], ident[order]
+        rank = np.arange(len(place)) - np.searchsorted(place, place)
+        top = rank < self.k
+        self.score[place[top], rank[top]], self.id[place[top], rank[top]] = score[top], ident[top]
+
+    def told(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, scores and ids that were kept."""
+        place, rank = np.nonzero(self.score > _NO_SCORE)
+        return place, self.score[place, rank], self.id[place, rank]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, grouped, materialize, small_side
+from .common import Best, give_back, grouped, materialize, small_side
 
 #: Bytes of the anchors that one pass serves; what is sent to executors at once.
 ANCHOR_BYTES = 32 << 20
@@ -75,37 +75,6 @@ def inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.clip(whole(x) @ whole(y).T, -LIMIT, LIMIT).astype(np.int64)
 
 
-class Best:
-    """The best ``k`` (score, id) of each of ``n`` places, higher scores
-    first, ties by smaller id."""
-
-    def __init__(self, n: int, k: int):
-        self.k = k
-        self.score = np.full((n, k), _NONE, dtype=np.int64)
-        self.id = np.full((n, k), np.iinfo(np.int64).max, dtype=np.int64)
-
-    def could(self, place, score, ident) -> np.ndarray:
-        last, last_id = self.score[place, -1], self.id[place, -1]
-        return (score > last) | ((score == last) & (ident < last_id))
-
-    def add(self, place: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
-        if not len(place):
-            return
-        touched = np.unique(place)
-        place = np.concatenate([place, np.repeat(touched, self.k)])
-        score = np.concatenate([score.astype(np.int64), self.score[touched].ravel()])
-        ident = np.concatenate([ident, self.id[touched].ravel()])
-        order = np.lexsort((ident, -score, place))
-        place, score, ident = place[order], score[order], ident[order]
-        rank = np.arange(len(place)) - np.searchsorted(place, place)
-        top = rank < self.k
-        self.score[place[top], rank[top]], self.id[place[top], rank[top]] = score[top], ident[top]
-
-    def told(self):
-        place, rank = np.nonzero(self.score > _NONE)
-        return place, self.score[place, rank], self.id[place, rank]
-
-
 class Anchors:
     """A block of anchors of one length, by label."""
 

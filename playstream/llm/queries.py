@@ -185,3 +185,56 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+_OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+x AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+         + (length(text) - length(replace(text, '<s>', ''))) // 3 + (length(text) - length(replace(text, '</s>', ''))) // 4
+         + (length(text) - length(replace(text, '[INST]', ''))) // 6 + (length(text) - length(replace(text, '[/INST]', ''))) // 7
+         + (length(text) - length(replace(text, '[TURN:', ''))) // 6 + (length(text) - length(replace(text, '[/TURN]', ''))) // 7 AS size
+  FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(size + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 14 + length(role) END) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id
+"""
+
+
+@_query("op12_chat_format", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import conversation_digests
+    own = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
+    return conversation_digests(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+total AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT r, doc_id, t, n, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM b) GROUP BY ALL),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln((2 * (SELECT n FROM total) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY t),
+score AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * tf.n * total.n) // total.l)))) AS BIGINT) AS score
+  FROM b JOIN tf USING (t) JOIN weight USING (t), total WHERE doc_id IS NOT NULL GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+
+@_query("op13_ranked_search", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked_search import ranked
+    return ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
