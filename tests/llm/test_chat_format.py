@@ -70,7 +70,7 @@ def test_spans_of_a_template_with_an_end_mark(spark):
     _, (row,) = whole(spark, [(1, 0, "u", "ab"), (1, 1, "shout", "cd"), (1, 2, "u", "")], ends)
     assert row.formatted == "<u>ab<shout>CD<u><end>" and row.rewrites is None
     assert [row.formatted[s:e] for s, e in zip(row.starts, row.ends)] == ["<u>ab", "<shout>CD", "<u><end>"]
-    assert list(zip(row.body_starts, row.body_ends)) == [(3, 5), (-1, -1), (17, 17)]
+    assert list(zip(row.body_starts, row.body_ends)) == [(3, 5), (12, 14), (17, 17)]
 
 
 def test_rewritten_history_is_detected(spark):
