@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from playstream.operators.index import with_index
 
-from .common import grouped, is_text, materialize, small_side, tidy, utf8
+from .common import materialize, small_side, tidy, utf8, whole_groups
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
@@ -135,6 +135,9 @@ def rendered(turns: list[Turn], render: Template) -> Rendered:
 
 # -- over a table
 
+#: Characters of formatted text that a task holds before it hands them on.
+HELD = 4 << 20
+COLUMNS = ["conv_id", "segment", "formatted", "roles", "starts", "ends", "body_starts", "body_ends", "rewrites", "opening", "closing"]
 SCHEMA = ("conv_id long, segment long, formatted string, roles array<string>, starts array<long>, ends array<long>, "
           "body_starts array<long>, body_ends array<long>, rewrites long, opening string, closing string")
 
@@ -143,22 +146,31 @@ def _segments(render: Template):
     """Rows of whole segments, in order, to one row each. ``opening`` and
     ``closing`` are the digests of the last turn before the segment and of its
     own last one, as rendered here."""
+    def one(conv: int, segment: int, turns: list[Turn], skip: int) -> tuple:
+        r = rendered(turns, render)
+        base = r.spans[skip][0] if skip else 0
+        pieces = [hashlib.md5(utf8(r.text[s:e])).hexdigest() if s >= 0 else "" for s, e in (r.spans[skip - 1], r.spans[-1])]
+        (starts, ends), (body_starts, body_ends) = (zip(*((s - base, e - base) if s >= 0 else (-1, -1) for s, e in of[skip:])) for of in (r.spans, r.bodies))
+        return (conv, segment, r.text[base:], [x for x, _ in turns[skip:]], starts, ends, body_starts, body_ends,
+                None if r.rewrites is None else max(r.rewrites - skip, 0), pieces[0] if skip else None, pieces[1])
+
+    def frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=COLUMNS).astype({"rewrites": "Int64"})
+
     def run(batches):
-        for rows in grouped(batches, ["conv_id", "segment"]):
-            turns = [(r if is_text(r) else "", t if is_text(t) else "") for r, t in zip(rows["role"], rows["text"])]
-            skip = int(rows["context"].sum())
-            if skip == len(turns):  # the end of the last segment
-                continue
-            r = rendered(turns, render)
-            base = r.spans[skip][0] if skip else 0
-            pieces = [hashlib.md5(utf8(r.text[s:e])).hexdigest() if s >= 0 else "" for s, e in (r.spans[skip - 1], r.spans[-1])]
-            own, bodies = r.spans[skip:], r.bodies[skip:]
-            yield pd.DataFrame({
-                "conv_id": [rows["conv_id"].iloc[0]], "segment": [rows["segment"].iloc[0]], "formatted": [r.text[base:]], "roles": [[x for x, _ in turns[skip:]]],
-                "starts": [[s - base if s >= 0 else -1 for s, _ in own]], "ends": [[e - base if e >= 0 else -1 for _, e in own]],
-                "body_starts": [[s - base if s >= 0 else -1 for s, _ in bodies]], "body_ends": [[e - base if e >= 0 else -1 for _, e in bodies]],
-                "rewrites": pd.array([None if r.rewrites is None else max(r.rewrites - skip, 0)], dtype="Int64"),
-                "opening": [pieces[0] if skip else None], "closing": [pieces[1]]})
+        out, held = [], 0
+        for rows, starts in whole_groups(batches, ["conv_id", "segment"]):
+            conv, segment, context, role, text = (rows[c].tolist() for c in ("conv_id", "segment", "context", "role", "text"))
+            for s, e in zip(starts, [*starts[1:], len(rows)]):
+                skip = sum(context[s:e])
+                if skip == e - s:  # the end of the last segment
+                    continue
+                out.append(one(conv[s], segment[s], list(zip(role[s:e], text[s:e])), skip))
+                held += len(out[-1][2])
+                if held > HELD:
+                    yield frame(out)
+                    out, held = [], 0
+        yield frame(out)
     return tidy(run)
 
 
