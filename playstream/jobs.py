@@ -8,8 +8,8 @@ ML-03 from the play games, IO-02).
     python -m playstream.jobs --train T --play P --out DIR [--reports rp01,rp04]
 
 Each output is overwritten, so a rerun refreshes it (IO-03). Games are
-numbered once, by ``--order-key`` if it is given and the table has it, else as
-they are stored; steps and rules of the play games are derived once.
+numbered once, by ``--order-key`` if it is given, which the training games must
+have, else as they are stored; steps and rules of the play games are derived once.
 ``--display-names`` writes the columns under the names that the plots read.
 """
 
@@ -89,11 +89,12 @@ def run(spark: SparkSession, train_path: str, play_path: str, out_dir: str,
         names: list[str] | None = None, order_key: str | None = None,
         display_names: bool = False) -> dict[str, str]:
     raw_train, raw_play = read_games(spark, train_path), read_games(spark, play_path)
+    if order_key is not None and order_key not in raw_train.columns:
+        raise ValueError(f"the training games have no column {order_key}")
     n_train, n_play = hand_count(raw_train), hand_count(raw_play)
     written = {}
     with scratch_scope(spark):
-        key = order_key if order_key in raw_train.columns else None
-        train = normalise_games(with_index(raw_train, key, name=rp.INDEX), n_train)
+        train = normalise_games(with_index(raw_train, order_key, name=rp.INDEX), n_train)
         games = Games(materialize(train, "numbered"), normalise_games(raw_play, n_play), n_train, n_play, order_key)
         for name in names or list(REPORTS):
             report = REPORTS[name](games)

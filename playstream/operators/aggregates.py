@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.episodes import proportion
+from .selection import exact_quantiles
+
+#: Types of columns with so few values that a histogram of them is small.
+_COUNTED = ("tinyint", "smallint", "int")
 
 
 def group_count(df: DataFrame, keys: list[str], name: str = "count") -> DataFrame:
@@ -19,20 +23,26 @@ def group_count(df: DataFrame, keys: list[str], name: str = "count") -> DataFram
 
 
 def quartile_values(df: DataFrame, col: str, probs=(0.25, 0.5, 0.75),
-                    err: float = 0.01) -> DataFrame:
+                    err: float = 0.0, counted: bool | None = None) -> DataFrame:
     """AG-02: one-row frame with column ``q`` = array of quantiles.
 
     ``err == 0`` gives exact lower quantiles (the smallest value whose
     cumulative share reaches p; the same number ``approxQuantile(.., 0)``
-    returns) from a value histogram. Use it for small-domain columns such as
-    move counts: the histogram has one row per distinct value, so its window
-    runs on a bounded table. ``err > 0`` uses the mergeable
-    ``percentile_approx`` sketch with accuracy ``1/err``.
+    returns): of a counted column lazily from a value histogram, one row per
+    distinct value, and of any other by distributed selection (a few jobs
+    that run now). By default a column is counted if it is an int or smaller,
+    as move counts are; say ``counted=False`` of an int column with many
+    values. ``err > 0`` uses the mergeable ``percentile_approx`` sketch with
+    accuracy ``1/err``.
     """
     probs = list(probs)
     if err > 0:
         arr = F.array(*[F.lit(float(p)) for p in probs])
         return df.agg(F.percentile_approx(col, arr, int(round(1 / err))).alias("q"))
+    kind = dict(df.dtypes)[col]
+    if not (kind in _COUNTED if counted is None else counted):
+        found = exact_quantiles(df, col, probs)
+        return df.sparkSession.createDataFrame([(None if None in found else found,)], f"q array<{kind}>")
     hist = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     cum = hist.select(
         col,
@@ -45,13 +55,13 @@ def quartile_values(df: DataFrame, col: str, probs=(0.25, 0.5, 0.75),
     ]).alias("q"))
 
 
-def quartile_thresholds(df: DataFrame, col: str, err: float = 0.01) -> list[Column]:
+def quartile_thresholds(df: DataFrame, col: str, err: float = 0.0) -> list[Column]:
     """AG-02 as lazy scalar subqueries (no driver round trip, no join)."""
     q = quartile_values(df, col, err=err).scalar()
     return [F.get(q, i) for i in range(3)]
 
 
-def quartiles(df: DataFrame, col: str, err: float = 0.01) -> list[float]:
+def quartiles(df: DataFrame, col: str, err: float = 0.0) -> list[float]:
     """AG-02 as Python numbers (an action), like ``approxQuantile``."""
     row = quartile_values(df, col, err=err).first()
     return list(row["q"]) if row and row["q"] is not None else []

@@ -32,9 +32,11 @@ from ..session import materialize
 _LOCAL_BITS = 33
 
 
-def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataFrame:
+def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None, count_keys: bool = False) -> DataFrame:
     """Range-partition, sort within partitions, tag ``_rid``/``_pid``; written
-    once to shared storage and read back.
+    once to shared storage and read back. With ``count_keys`` each row also
+    has ``_same``, the number of rows of its key: equal keys are in one range,
+    already sorted, so the window adds neither an exchange nor a sort.
 
     Without ``num_partitions`` the exchange is sized by adaptive execution:
     it starts from the configured partition count and coalesces adjacent
@@ -47,8 +49,10 @@ def _ranged(df: DataFrame, keys: list[str], num_partitions: int | None) -> DataF
     src = materialize(df, "range-input")
     ranged = (src.repartitionByRange(num_partitions, *keys) if num_partitions
               else src.repartitionByRange(*keys))
-    numbered = (ranged.sortWithinPartitions(*keys)
-                  .withColumn("_rid", F.monotonically_increasing_id()))
+    numbered = ranged.sortWithinPartitions(*keys)
+    if count_keys:
+        numbered = numbered.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    numbered = numbered.withColumn("_rid", F.monotonically_increasing_id())
     return materialize(numbered, "ranged").withColumn("_pid", F.shiftright("_rid", _LOCAL_BITS))
 
 
@@ -76,8 +80,8 @@ def with_index(df: DataFrame, order_by: list[str] | str | None = None, base: int
     if order_by is None:
         return _storage_index(df, base, name)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    tagged = _ranged(df, keys, num_partitions)
-    if tagged.groupBy(*keys).count().where("count > 1").limit(1).count():
+    tagged = _ranged(df, keys, num_partitions, count_keys=True)
+    if not tagged.where("_same > 1").isEmpty():  # a pushed-down filter
         raise ValueError(f"rows cannot be numbered by {keys}: a key is repeated")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +90,7 @@ def with_index(df: DataFrame, order_by: list[str] | str | None = None, base: int
     local = F.col("_rid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS)
     return (tagged.join(F.broadcast(offsets), "_pid")
                   .withColumn(name, F.col("_off") + local + F.lit(base))
-                  .drop("_rid", "_pid", "_off"))
+                  .drop("_rid", "_pid", "_off", "_same"))
 
 
 def with_running_sum(df: DataFrame, order_by: list[str] | str, cols: list[str],

@@ -9,10 +9,15 @@ Formulas and edge cases follow scikit-learn's definitions.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...session import materialize
@@ -115,6 +120,82 @@ def silhouette(df: DataFrame, vec: str = "features", labels: str = "label",
     return df.sparkSession.range(1).select(F.lit(value).cast("double").alias("silhouette"))
 
 
+#: Bytes of the scored rows that one pass sends to all executors.
+SCORED_BYTES = 16 << 20
+#: Rows of either side of which all distances are held at once.
+SIDE = 1024
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances by a matrix product; where rows are so near that
+    the product cancels, by their differences."""
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    sq = np.maximum(xx[:, None] + yy - 2 * (x @ y.T), 0)
+    i, j = np.nonzero(sq < 1e-6 * (xx[:, None] + yy))
+    sq[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(sq)
+
+
+def _distance_sums(shared):
+    """Per scored row and cluster: the distances to the rows that a task
+    reads, summed, and their number."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, vecs, names = shared.value
+        place = {k: i for i, k in enumerate(names)}
+        sums, counts = np.zeros((len(ids), len(names))), np.zeros(len(names), dtype=np.int64)
+        for pdf in batches:
+            k = pdf["k"].map(place).to_numpy(np.int64)
+            counts += np.bincount(k, minlength=len(names))
+            x = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, vecs.shape[1]))
+            for s in range(0, len(x), SIDE):
+                member = np.eye(len(names))[k[s:s + SIDE]]
+                for q in range(0, len(ids), SIDE):
+                    sums[q:q + SIDE] += _distances(vecs[q:q + SIDE], x[s:s + SIDE]) @ member
+        i, c = np.nonzero(np.broadcast_to(counts > 0, sums.shape))
+        yield pd.DataFrame({"id": ids[i], "c": [names[j] for j in c], "d": sums[i, c], "n": counts[c]})
+    return run
+
+
+def silhouette_rows(df: DataFrame, scored: Column, vec: str = "features", labels: str = "label",
+                    id_col: str = "id") -> DataFrame:
+    """EV-12 with Euclidean distances: per row for which ``scored`` (a
+    condition on the id), ``id``, ``a`` (mean distance to the other rows of
+    its cluster), ``b`` (least mean distance to another cluster) and ``s``
+    ``= (b - a) / max(a, b)``, 0 for a cluster of one, null if there is only
+    one cluster.
+
+    The scored rows are sent to all executors in blocks of a fixed size, and
+    one scan of all rows serves a block: each task adds up its distances per
+    (scored row, cluster), so no pair of rows ever leaves a task, and the
+    exchange holds blocks x clusters sums a task. ``labels`` is a column of
+    clusters (few), ``id_col`` is unique, and vectors have one length; rows
+    without a cluster or vector take no part."""
+    pts = df.select(F.col(id_col).alias("id"), F.col(labels).alias("k"), F.col(vec).cast("array<double>").alias("x")).where("k is not null and x is not null")
+    spark, kind = df.sparkSession, dict(pts.dtypes)
+    names = sorted(r["k"] for r in pts.select("k").distinct().collect())  # clusters
+    chosen = materialize(pts.where(scored), "scored")
+    n, width = chosen.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    parts = math.ceil(n * (8 * (width or 0) + 32) / SCORED_BYTES)
+    sums = None
+    for part in range(parts):
+        block = chosen.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).select("id", "x").toPandas()
+        if len(block):
+            sent = spark.sparkContext.broadcast((block["id"].to_numpy(), np.stack(block["x"].to_numpy()), names))
+            told = materialize(pts.select("k", "x").mapInPandas(_distance_sums(sent), f"id {kind['id']}, c {kind['k']}, d double, n long")
+                               .groupBy("id", "c").agg(F.sum("d").alias("d"), F.sum("n").alias("n")), "distance-sums")
+            sent.destroy()
+            sums = told if sums is None else sums.unionAll(told)
+    if sums is None:
+        return spark.createDataFrame([], f"id {kind['id']}, a double, b double, s double")
+    own = F.col("c") == F.col("k")
+    per = sums.join(chosen.select("id", "k"), "id").groupBy("id").agg(
+        F.max(F.when(own, F.col("n"))).alias("size"), F.max(F.when(own, F.try_divide(F.col("d"), F.col("n") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("d") / F.col("n"))).alias("b"))
+    s = F.when(F.col("b").isNotNull(), F.when(F.col("size") == 1, F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))))
+    return per.select("id", "a", "b", s.alias("s"))
+
+
 EXTERNAL = ("adjusted_rand", "normalized_mutual_info", "homogeneity", "completeness", "v_measure")
 
 

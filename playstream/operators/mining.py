@@ -9,19 +9,18 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
 )
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .index import with_running_sum
+from .kmeans import multi_start_kmeans, nearest_centroid
 
 # Fixed values of the reference's mining and model settings.
 MIN_SUPPORT = 0.02
@@ -29,6 +28,18 @@ MIN_CONFIDENCE = 0.6
 NUM_TREES = 50
 DEPTH_GRID = (3, 5, 7)
 NUM_FOLDS = 3
+#: Training rows that a forest or tree is fitted on; of more, a sample by hash.
+FIT_ROWS = 1_000_000
+
+
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df``, chosen by a hash of their values and
+    place, or all if there are no more."""
+    n = df.count()
+    if n <= rows:
+        return df
+    place = F.xxhash64(*df.columns, F.monotonically_increasing_id())
+    return df.where(F.pmod(place, F.lit(1_000_000)) < int(1_000_000 * rows / n))
 
 
 def fit_fpgrowth(baskets: DataFrame, items_col: str = "features",
@@ -76,11 +87,13 @@ def assemble(df: DataFrame, cols: list[str], output_col: str = "features",
 
 def fit_policy_model(df: DataFrame, seed: int = 42, num_trees: int = NUM_TREES,
                      depths=DEPTH_GRID, folds: int = NUM_FOLDS,
-                     test_fraction: float = 0.2, parallelism: int = 3, test: str | None = None):
+                     test_fraction: float = 0.2, parallelism: int = 3, test: str | None = None,
+                     fit_rows: int = FIT_ROWS):
     """ML-06: random forest on (player_total, dealer_card) -> action, depth
     chosen by 3-fold cross-validated AUC. Unlike the reference it holds out
     a test split (the rows where column ``test`` is true, else a seeded
-    fraction) and scores that (Q18). Returns (model, test scored).
+    fraction) and scores that (Q18). At most about ``fit_rows`` training rows
+    are fitted on; all held-out rows are scored. Returns (model, test scored).
 
     The input is written once before fitting: cross-validation fits
     folds x grid + 1 forests, and each would otherwise recompute the whole
@@ -96,7 +109,7 @@ def fit_policy_model(df: DataFrame, seed: int = 42, num_trees: int = NUM_TREES,
     cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(), numFolds=folds,
                         seed=seed, parallelism=parallelism)
-    model = cv.fit(train)
+    model = cv.fit(_bounded(train, fit_rows))
     return model, model.transform(held)
 
 
@@ -126,12 +139,13 @@ def auc(df: DataFrame, label_col: str = "label", score_col: str = "score") -> Da
 
 def fit_surrogate_tree(df: DataFrame, feature_cols: list[str], label_col: str = "label",
                        depths=(3, 10, 20), min_leaf=(1, 5), impurities=("gini", "entropy"),
-                       folds: int = 3, seed: int = 42, parallelism: int = 8):
+                       folds: int = 3, seed: int = 42, parallelism: int = 8, fit_rows: int = FIT_ROWS):
     """ML-08: decision tree over per-expert columns; depth, leaf size and
     criterion chosen by cross-validated weighted precision. (The reference's
-    ``min_samples_split`` has no Spark counterpart.) The input is written
-    once: folds x grid + 1 fits read it."""
-    df = materialize(df.select(label_col, *feature_cols), "tree-input")
+    ``min_samples_split`` has no Spark counterpart.) The input, at most about
+    ``fit_rows`` rows of it, is written once: folds x grid + 1 fits read it.
+    ``operators.trees`` gives the fitted tree as a table and an expression."""
+    df = _bounded(materialize(df.select(label_col, *feature_cols), "tree-input"), fit_rows)
     assembler = VectorAssembler(inputCols=feature_cols, outputCol="features")
     dt = DecisionTreeClassifier(labelCol=label_col, featuresCol="features", seed=seed)
     grid = (ParamGridBuilder().addGrid(dt.maxDepth, list(depths))
@@ -149,17 +163,15 @@ def quantise(df: DataFrame, vec_col: str, k: int, seed: int = 1,
              max_iter: int = 100, tol: float = 0.2, attempts: int = 10,
              to_bytes: bool = False) -> DataFrame:
     """ML-09: k-means quantisation; each row gets its cluster and centroid.
-    Of ``attempts`` starts the one of least cost is kept; ``to_bytes``
-    truncates centroids to whole values, as pixels have them. The centroid
-    table has k rows, so the join back is a bounded broadcast."""
-    data = df.withColumn("_v", array_to_vector(F.col(vec_col).cast("array<double>")))
-    fitted = materialize(data.select("_v"), "kmeans-input")
-    models = [KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_v",
-                     predictionCol="cluster").fit(fitted) for i in range(attempts)]
-    model = min(models, key=lambda m: m.summary.trainingCost)
-    spark = df.sparkSession
-    centres = spark.createDataFrame(
-        [(i, [float(int(x) if to_bytes else x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cluster int, centroid array<double>")
-    return model.transform(data).drop("_v").join(F.broadcast(centres), "cluster")
+    Of ``attempts`` starts, which share each pass over the rows
+    (``multi_start_kmeans``), the one of least cost is kept; ``to_bytes``
+    truncates centroids to whole values, as pixels have them. The k centroids
+    are part of the expression, so nothing is joined."""
+    found = multi_start_kmeans(df, vec_col, k, attempts, seed, max_iter, tol).where("kept").orderBy("cluster").collect()  # k rows
+    if not found:
+        return df.withColumn("cluster", F.lit(None).cast("int")).withColumn("centroid", F.lit(None).cast("array<double>"))
+    centres = [r["centroid"] for r in found]
+    told = F.array(*[F.array(*[F.lit(float(int(x)) if to_bytes else x) for x in c]) for c in centres])
+    near = nearest_centroid(F.col(vec_col).cast("array<double>"), centres)
+    return df.withColumn("cluster", near).withColumn("centroid", F.get(told, F.col("cluster")))
 

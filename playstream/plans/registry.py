@@ -25,5 +25,6 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every catalog module so all queries are registered."""
     from . import (  # noqa: F401
-        catalog, catalog_cards, catalog_metrics, catalog_mining, catalog_streams,
+        catalog, catalog_cards, catalog_metrics, catalog_mining, catalog_models,
+        catalog_quantiles, catalog_streams,
     )

@@ -7,6 +7,8 @@ a restarted driver resumes from committed offsets and state.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -57,26 +59,68 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return own
 
 
-def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Process everything available now and return what the stream put out, as
-    a table written under the shared checkpoint folder: in complete mode the
-    last result, else the rows of all micro-batches. A batch that is retried
-    overwrites its own files, so it is in the table once."""
-    spark = df.sparkSession
-    out = scratch_path(spark, f"stream-out-{name}")
-    ran = []
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{'latest' if mode == 'complete' else epoch}")
-        ran[:] = [epoch]
-
-    q = start(df, mode=mode, query_name=name, available_now=True, checkpoint=checkpoint, foreach_batch=write)
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
-    if not ran:
-        return spark.createDataFrame([], df.schema)
-    return spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(out)
+class Collected:
+    """What a stream puts out, as a table under the shared checkpoint folder:
+    in complete mode the last result, else the rows of all micro-batches. A
+    batch that is retried overwrites its own files, so it is in the table
+    once, also if the query is stopped and started again on its checkpoint.
+    ``top`` keeps the first rows of each batch by ``order``, as a console
+    shows them; ``epochs`` adds the micro-batch as a column ``epoch``."""
+
+    def __init__(self, spark: SparkSession, name: str, mode: str, top: int | None = None, order: list | None = None, epochs: bool = False):
+        self.spark, self.name, self.mode, self.top, self.order, self.epochs = spark, name, mode, top, order, epochs
+        self.out, self.schema, self.dropped = scratch_path(spark, f"stream-out-{name}"), None, 0
+        self.checkpoint = scratch_path(spark, f"stream-{name}")
+
+    def _write(self, batch: DataFrame, epoch: int) -> None:
+        if self.top is not None:
+            batch = batch.orderBy(*self.order).limit(self.top)
+        if self.epochs:
+            batch = batch.withColumn("epoch", F.lit(epoch).cast("long"))
+        batch.write.mode("overwrite").parquet(f"{self.out}/{'latest' if self.mode == 'complete' else epoch}")
+        self.schema = batch.schema
+
+    def run(self, df: DataFrame, checkpoint: str | None = None) -> Collected:
+        """Start the query, process everything available now, and stop."""
+        q = start(df, mode=self.mode, query_name=self.name, available_now=True, checkpoint=checkpoint or self.checkpoint, foreach_batch=self._write)
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+        self.dropped += sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)
+        return self
+
+    def table(self, df: DataFrame) -> DataFrame:
+        if self.schema is None:
+            return self.spark.createDataFrame([], df.schema)
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.out)
+
+
+def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str | None = None, **how) -> DataFrame:
+    """Process everything available now and return what the stream put out
+    (see ``Collected``)."""
+    return Collected(df.sparkSession, name, mode, **how).run(df, checkpoint).table(df)
+
+
+def run_counted(df: DataFrame, name: str, mode: str, **how) -> tuple[DataFrame, int]:
+    """``run_to_table``, and how many rows the state operators dropped behind
+    the watermark."""
+    ran = Collected(df.sparkSession, name, mode, **how).run(df)
+    return ran.table(df), ran.dropped
+
+
+def run_restarted(make: Callable[[], DataFrame], arrivals: list[Callable[[], None]], name: str, mode: str, **how) -> DataFrame:
+    """IO-08: for each of ``arrivals`` (which brings new data to the source)
+    a query of its own is started on one checkpoint, processes what is there
+    and is stopped. Each makes the stream anew, as a restarted driver does, and
+    goes on from the committed offsets and state."""
+    arrivals[0]()
+    df = make()
+    ran = Collected(df.sparkSession, name, mode, **how).run(df)
+    for arrive in arrivals[1:]:
+        arrive()
+        df = make()
+        ran.run(df)
+    return ran.table(df)
 
 
 _TOPICS: dict[tuple[str, str, int], tuple[str, int]] = {}
@@ -116,13 +160,20 @@ def write_event_files(spark: SparkSession, sf_dir: str, n_slices: int = 6, path:
     # n_slices - 1 cut points: a small driver-side list by construction
     bounds = timed.agg(F.percentile_approx("_t", [i / n_slices for i in range(1, n_slices)], 10000).alias("b")).first()["b"] or []
     number = sum((F.coalesce((F.col("_t") >= b).cast("int"), F.lit(0)) for b in bounds), F.lit(0))
+    return path, write_slices(spark, timed.select("value", number.alias("slice")), path)
+
+
+def write_slices(spark: SparkSession, numbered: DataFrame, path: str, files: int | None = None, only: Callable[[int], bool] | None = None) -> int:
+    """Appends ``numbered(value, slice int)`` to the feed at ``path`` slice by
+    slice, each as the same number of files, which is returned. ``files`` fixes
+    that number, ``only`` chooses slices: a feed may be written in parts."""
     sliced = scratch_path(spark, "news-slices")
-    timed.select("value", number.alias("slice")).write.partitionBy("slice").parquet(sliced)
+    numbered.write.partitionBy("slice").parquet(sliced)
     rows = spark.read.schema("value string, slice int").parquet(sliced)
-    sizes = {r["slice"]: r["count"] for r in rows.groupBy("slice").count().collect()}  # n_slices rows
-    files = max(1, min(spark.sparkContext.defaultParallelism, min(sizes.values(), default=0) // ROWS_PER_FILE))
-    for i in sorted(sizes):
+    sizes = {r["slice"]: r["count"] for r in rows.groupBy("slice").count().collect()}  # one row a slice
+    files = files or max(1, min(spark.sparkContext.defaultParallelism, min(sizes.values(), default=0) // ROWS_PER_FILE))
+    for i in sorted(i for i in sizes if only is None or only(i)):
         one = rows.where(F.col("slice") == i).select("value", F.pmod(F.xxhash64("value"), F.lit(files)).alias("part"))
         # a folder for each part: exactly one file for it, whatever task writes it
         one.repartition(files, "part").write.mode("append").partitionBy("part").text(path)
-    return path, files
+    return files
