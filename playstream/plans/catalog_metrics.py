@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from ..operators.metrics import classification as cl
 from ..operators.metrics import clustering as cu
 from ..operators.metrics import regression as rg
+from ..operators.metrics.registry import metric_row, store_metrics
 from ..operators.metrics.registry import register as register_metrics
+from ..session import materialize, scratch_path
 from ..sources import fixtures as fx
+from ..sources.publish import read_published
 from ..sources.tables import read_table
 from .compare import comparable
 from .registry import ORACLES, register
@@ -293,9 +296,10 @@ def q_ev12(spark, sf_dir):
     return comparable(cu.silhouette(_clusters(spark, sf_dir), vec="embedding", labels="label"))
 
 
-def _reg_sql() -> str:
+def _reg_sql(stored: bool = False) -> str:
     """Three registry rows: the regression, classification and clustering
-    statements above, each value rounded to 4 places, missing columns null."""
+    statements above, each value rounded to 4 places, missing columns null.
+    ``stored``: what is left of two runs, with the run of each row."""
     reg_cols = ["mae", "mse", "rmse", "r2", "mape", "error_mean", "error_variance",
                 "error_std", "adjusted_r2"]
     cls_cols = ["accuracy", "precision", "recall", "f1"]
@@ -311,6 +315,11 @@ def _reg_sql() -> str:
 
     reg = REG_RAW_SQL
     cls = _avg_sql("weighted").replace("round(", "(").replace(", 6)", ")")
+    if stored:
+        macro = _avg_sql("macro").replace("round(", "(").replace(", 6)", ")")
+        rows = [row("price_from_quantity", reg, reg_cols, "n"), row("card_recogniser", macro, cls_cols, "CAST(NULL AS BIGINT)"),
+                row("argmax_head", EXT_RAW_SQL, ext_cols[:5], "CAST(NULL AS BIGINT)")]
+        return " UNION ALL ".join(r.replace("SELECT", f"SELECT CAST({run} AS BIGINT) AS run,", 1) for r, run in zip(rows, (1, 2, 2)))
     ext = (f"SELECT * FROM ({EXT_RAW_SQL}), ({ORACLES['ev10_11_clustering_internal']}), "
            f"({ORACLES['ev12_silhouette']})")
     return " UNION ALL ".join([
@@ -330,3 +339,22 @@ def q_se01(spark, sf_dir):
     reg = register_metrics(reg, "argmax_head", cu.clustering_report(c, vec="embedding", labels="label", truth="truth"))
     return sci(reg.withColumn("n", F.col("n").cast("double")), [
         f.name for f in reg.schema.fields if f.dataType.typeName() == "double"])
+
+
+@register("se01_stored_registry", _reg_sql(stored=True))
+def q_se01_stored(spark, sf_dir):
+    """The registry as a stored table: a run of two rows, a second run that
+    replaces one and adds one, the second run once more, and a row of the
+    first run that comes late."""
+    dst = scratch_path(spark, "registry")
+    reg = metric_row("price_from_quantity", rg.regression_metrics(_regression(spark, sf_dir), n_features=2))
+    first = register_metrics(reg, "card_recogniser", cl.classification_metrics(_cards(spark, sf_dir)))
+    second = register_metrics(metric_row("card_recogniser", cl.classification_metrics(_cards(spark, sf_dir), average="macro")),
+                              "argmax_head", cu.clustering_external(_clusters(spark, sf_dir), labels="label", truth="truth"))
+    second = materialize(second, "run-2")
+    for rows, run in ((first, 1), (second, 2), (second, 2), (first.where("algorithm = 'card_recogniser'"), 1)):
+        store_metrics(rows, dst, run)
+    out = read_published(spark, dst)
+    missing = [c for c in ("calinski_harabasz", "davies_bouldin", "silhouette") if c not in out.columns]
+    out = out.withColumns({c: F.lit(None).cast("double") for c in missing}).withColumn("n", F.col("n").cast("double"))
+    return sci(out, [f.name for f in out.schema.fields if f.dataType.typeName() == "double" and f.name != "n"])

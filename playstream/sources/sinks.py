@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .publish import publish
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("filepaths", T.StringType()),
     T.StructField("labels", T.StringType()),
@@ -29,11 +31,11 @@ def write_result(df: DataFrame, path: str, mode: str = "overwrite",
 def run_report(spark: SparkSession, report: Callable[[DataFrame], DataFrame],
                src: str, dst: str) -> DataFrame:
     """IO-03: the daily job without its scheduler: read the games, compute
-    the report, overwrite the output and return it read back. Running it
-    twice gives the same table (idempotent overwrite)."""
-    games = spark.read.parquet(src)
-    write_result(report(games), dst, mode="overwrite")
-    return spark.read.parquet(dst)
+    the report, publish it as the current version of ``dst`` and return it
+    read back. Running it twice gives the same table; readers
+    (``read_published``) never see it missing or half written, and a run that
+    fails leaves the version before."""
+    return publish(report(spark.read.parquet(src)), dst)
 
 
 def read_manifest(spark: SparkSession, path: str,

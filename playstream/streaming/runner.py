@@ -155,12 +155,18 @@ def write_event_files(spark: SparkSession, sf_dir: str, n_slices: int = 6, path:
     the first one. ``values(value, timestamp)`` defaults to those of ``sf_dir``."""
     path = path or scratch_path(spark, "news-topic")
     values = news_values(spark, sf_dir) if values is None else values
+    return path, write_slices(spark, numbered_values(spark, values, n_slices), path)
+
+
+def numbered_values(spark: SparkSession, values: DataFrame, n_slices: int) -> DataFrame:
+    """``value, slice``: which of ``n_slices`` slices of event time, of about
+    equally many events, each of ``values(value, timestamp)`` is in."""
     # derived once; the cut points and every slice read the written values
     timed = materialize(values.withColumn("_t", F.unix_timestamp(F.try_to_timestamp("timestamp"))), "news-values")
     # n_slices - 1 cut points: a small driver-side list by construction
     bounds = timed.agg(F.percentile_approx("_t", [i / n_slices for i in range(1, n_slices)], 10000).alias("b")).first()["b"] or []
     number = sum((F.coalesce((F.col("_t") >= b).cast("int"), F.lit(0)) for b in bounds), F.lit(0))
-    return path, write_slices(spark, timed.select("value", number.alias("slice")), path)
+    return timed.select("value", number.alias("slice"))
 
 
 def write_slices(spark: SparkSession, numbered: DataFrame, path: str, files: int | None = None, only: Callable[[int], bool] | None = None) -> int:

@@ -24,8 +24,9 @@ DEVICES = ("mobile", "desktop", "tablet")
 N_NATIONS = 25
 
 
-def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven string fields per event, as the reference's topic carries them.
+def news_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Seven string fields per event, as the reference's topic carries them,
+    after the columns of ``events`` to ``keep``.
     ``nation`` is a dimension; the planner broadcasts it only if its
     measured size is under the broadcast threshold, else it sort-merges."""
     ev = read_table(spark, sf_dir, "events")
@@ -33,7 +34,7 @@ def news_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     device = F.element_at(F.array(*[F.lit(d) for d in DEVICES]),
                           (F.col("event_id") % 3 + 1).cast("int"))
     out = ev.join(nation, (ev.user_id % N_NATIONS) == nation.n_nationkey, "left").select(
-        F.col("user_id").cast("string").alias("user_id"),
+        *keep, F.col("user_id").cast("string").alias("user_id"),
         F.concat(F.lit("a"), F.get_json_object("props", "$.k")).alias("article_id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.when(F.col("event_type") == "purchase", F.lit("finance"))

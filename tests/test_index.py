@@ -60,3 +60,21 @@ def test_index_with_adaptive_partitions(spark):
     ix = with_index(df, "k")
     got = sorted((r["k"], r["index"]) for r in ix.collect())
     assert [i for _, i in got] == list(range(3000))
+
+
+def test_repeated_keys_are_found_without_a_shuffle_of_their_own(spark, monkeypatch):
+    """The count of each key's rows reuses the range partitions and their order."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).where("k < 4990")
+    out = with_index(df, "k").orderBy("index").collect()
+    assert [r["index"] for r in out] == list(range(len(out))) and [r["k"] for r in out] == sorted(r["k"] for r in out)
+    ranged = [p for p in plans if "rangepartitioning" in p]
+    assert len(ranged) == 1 and ranged[0].count("Exchange") == 1 and ranged[0].count("Sort ") == 1 and "Window" in ranged[0]
+    assert not any("hashpartitioning(k" in p for p in plans)
