@@ -351,3 +351,21 @@ def q_stream_first(spark, sf_dir):
     out = run_to_table(sq.window_count(_stream(spark, sf_dir).where("event_time is not null"), SPIKE_SIZE, ["article_id"]), "stream_first", "complete",
                        top=10, order=[F.desc("window.end"), F.desc("count"), "article_id"])
     return comparable(sq.flat_window(out))
+
+
+# ------------------------------------------------- starting offsets (IO-05)
+
+@register("stream_io05_starting_offsets", f"""{NEWS_SQL.replace("session_id\n  FROM", "session_id, e.ts\n  FROM")}
+SELECT device_type, count(*) AS count FROM ev WHERE floor((epoch(ts) - epoch((SELECT date_trunc('day', min(ts)) FROM events))) / {86400 * LATE_DAYS}) >= {LATE_SLICES // 2} GROUP BY ALL""")
+def q_stream_offsets(spark, sf_dir):
+    """A query that starts at the end of a feed of fifteen days reads only
+    what comes after it."""
+    path = scratch_path(spark, "news-offsets")
+    start = read_table(spark, sf_dir, "events").select(F.date_trunc("day", F.min("ts"))).scalar()
+    keyed = news_events(spark, sf_dir, keep=("ts",))
+    part = F.floor((F.unix_timestamp("ts") - F.unix_timestamp(start)) / (86400 * LATE_DAYS)) >= LATE_SLICES // 2
+    numbered = materialize(keyed.select(F.to_json(F.struct(*NEWS_FIELDS)).alias("value"), F.coalesce(part.cast("int"), F.lit(0)).alias("slice")), "news-halves")
+    files = write_slices(spark, numbered, path, only=lambda i: i == 0)
+    src = events_source(stream_session(spark), "text", path, maxFilesPerTrigger=files, recursiveFileLookup="true", startingOffsets="latest")
+    write_slices(spark, numbered, path, files, only=lambda i: i == 1)
+    return comparable(run_to_table(sq.device_trends(with_event_time(decode_events(src))), "stream_offsets", "complete"))

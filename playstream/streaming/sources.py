@@ -59,14 +59,30 @@ def events_source(spark: SparkSession, fmt: str = "kafka", path: str | None = No
 
     Kafka: ``events_source(spark, "kafka", **{"kafka.bootstrap.servers": ..,
     "subscribe": "news_events", "startingOffsets": "earliest"})``.
-    Files: ``events_source(spark, "text", path, maxFilesPerTrigger=1)``.
+    Files: ``events_source(spark, "text", path, maxFilesPerTrigger=1)``. They
+    take ``startingOffsets`` as well: ``earliest`` (the default), ``latest``
+    (what comes after this call) or a time as ``end_of_feed`` gives it, from
+    after which files are read. Hand in the time itself if the query is to be
+    restarted on its checkpoint: ``latest`` would move on.
     """
+    start = None if fmt == "kafka" else options.pop("startingOffsets", "earliest")
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(path) if path else reader.load()
+    df = reader.load(path) if path else reader.load()
+    if start in (None, "earliest"):
+        return df
+    after = end_of_feed(spark, path) if start == "latest" else start
+    return df.where(F.col("_metadata.file_modification_time") > F.lit(after).cast("timestamp")) if after else df
+
+
+def end_of_feed(spark: SparkSession, path: str) -> str | None:
+    """The time of the newest file of a feed (UTC), null if it has none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    newest = files.select(F.date_format(F.to_utc_timestamp(F.max("modificationTime"), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).first()[0]
+    return newest
 
 
 def decode_events(df: DataFrame, schema: T.StructType = NEWS_SCHEMA) -> DataFrame:
