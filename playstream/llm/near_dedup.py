@@ -229,11 +229,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     kept (they cannot be named); equal rows get equal results; further
     columns are ignored; an empty table gives an empty table.
     """
-    bound = percent / 100 - slack * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInPandas(
         _signed(shingle_words, bands, rows),
         "doc_id long, n_shingles long, set_key string, sig binary, bands array<long>"), "minhash")
+    return clustered(signed, docs, shingle_words, percent, bands, rows, slack)
+
+
+def clustered(signed: DataFrame, docs: DataFrame, shingle_words: int, percent: int, bands: int, rows: int, slack: float = 4.0) -> DataFrame:
+    """``near_duplicates`` from written signatures ``signed(doc_id, n_shingles,
+    set_key, sig, bands)`` of ``docs(doc_id, text)``."""
+    bound = percent / 100 - slack * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
     named = signed.where("doc_id is not null and set_key is not null")
     classes = materialize(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "minhash-class")
     # of a class only one row goes on; rows that share an id and differ in text are rows of their own classes

@@ -1,26 +1,38 @@
-"""Repeated passages: near-duplicate paragraphs by MinHash banding.
+"""Repeated passages: near-duplicate paragraphs by MinHash banding, over whole
+texts.
 
-Paragraphs are the lines of a text. The bands are tuned for recall: the least
-number of hash functions that misses a pair at the threshold with at most the
-given probability. Colliding paragraphs are compared on their exact shingle
-sets, and the clusters are the components of the confirmed links; of each
-cluster the paragraph of the smallest document and place stays.
+Two kinds of paragraphs are banded. Lines, whose copies may differ: bands are
+tuned for recall (the fewest hash functions that miss a pair at the threshold
+with at most the given probability), colliding lines are compared on their
+exact shingle sets, and clusters are the components of the confirmed links. And
+paragraphs that begin wherever their content says, for what is repeated inside
+lines or over line ends (``passages``): equal ones share their only band,
+their surroundings are compared word by word and extended to the full run.
+Of each cluster the passage of the smallest document and place stays.
 """
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil, log
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, materialize, tidy
-from .near_dedup import near_duplicates
+from playstream.session import scratch_path, scratch_scope
 
-#: Bits of a paragraph's number that hold its place in the document.
-PLACE_BITS = 20
+from .common import kept, materialize, small_side, tidy, utf8
+from .near_dedup import _WORD_C, MinHash, _mix, _Words, clustered
+from .passages import repeated_passages
+
+#: Shingles whose minima are computed at once.
+PART = 1 << 14
 
 
 def tuned_bands(percent: int, miss: float) -> tuple[int, int]:
@@ -33,54 +45,166 @@ def tuned_bands(percent: int, miss: float) -> tuple[int, int]:
     return min(ways, key=lambda w: w[0] * w[1])
 
 
-def _paragraphs(min_words: int):
+def _lines(text: str, min_words: int) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """All words of a text, A-Z in lower case, and ``(first word, words)`` of
+    its lines of at least ``min_words`` words."""
+    by_line = [line.split() for line in utf8(text).lower().split(b"\n")]
+    at, found = 0, []
+    for line in by_line:
+        if len(line) >= min_words:
+            found.append((at, len(line)))
+        at += len(line)
+    return list(chain.from_iterable(by_line)), found
+
+
+def _number(doc_id: int, text_hash: int, start: int) -> int:
+    """A number for a line, the same wherever it is computed."""
+    return struct.unpack("<q", xxhash.xxh3_64_digest(struct.pack("<qqq", doc_id, text_hash, start))[::-1])[0]
+
+
+def _signed(min_words: int, size: int, bands: int, rows: int):
+    """Signatures of the lines of whole texts: the hashes of a text's words and
+    shingles are computed once, the minima of its lines together."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mh, cache = MinHash(bands, rows), kept("near_dedup", _Words)
         for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                if not is_text(text) or pd.isna(doc_id):
+            out = []
+            for doc_id, text_hash, text in zip(pdf["doc_id"].tolist(), pdf["text_hash"].tolist(), pdf["text"]):
+                words, lines = _lines(text, min_words)
+                if not lines:
                     continue
-                doc_id = int(doc_id)
-                if not -(1 << 62 - PLACE_BITS) <= doc_id < 1 << 62 - PLACE_BITS:
-                    raise ValueError(f"doc_id {doc_id} leaves no room for the paragraph's place")
-                for i, line in enumerate(text.split("\n")):
-                    if len(line.split()) >= min_words:
-                        if i >> PLACE_BITS:
-                            raise ValueError(f"document {doc_id} has more than {1 << PLACE_BITS} lines")
-                        rows.append(((doc_id << PLACE_BITS) + i, line))
-            yield pd.DataFrame(rows, columns=["doc_id", "text"])
+                w = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+                acc = np.full(len(w) - size + 1, np.uint64(size), dtype=np.uint64)
+                for i in range(size):
+                    acc += w[i:len(acc) + i] * _WORD_C[i]
+                s = _mix(acc)
+                for part in _parts(lines):
+                    sigs = _minima(mh, s, [(at, at + n - size + 1) for at, n in part])
+                    keys = _mix((sigs.reshape(len(part), bands, rows).astype(np.uint64) * mh.c).sum(axis=2, dtype=np.uint64) + mh.salt).view(np.int64)
+                    for (at, n), sig, key in zip(part, sigs, keys):
+                        own = np.unique(s[at:at + n - size + 1])
+                        out.append((_number(doc_id, text_hash, at), doc_id, text_hash, at, n, len(own), xxhash.xxh3_128_hexdigest(own.tobytes()), sig.tobytes(), key))
+            yield pd.DataFrame(out, columns=["id", "doc_id", "text_hash", "start_word", "n_words", "n_shingles", "set_key", "sig", "bands"])
     return tidy(run)
 
 
-def repeated_paragraphs(docs: DataFrame, min_words: int = 40, percent: int = 80, shingle_words: int = 5, miss: float = 1e-4) -> DataFrame:
-    """One row per paragraph of ``docs(doc_id, text, ...)`` with at least
-    ``min_words`` words that has a near copy in any document, its own
-    included: ``doc_id``, ``paragraph`` (its line, from 0), ``n_shingles``,
-    ``first_doc_id`` and ``first_paragraph`` (of its cluster's first one), and
-    ``kept`` (it is the first one).
+def _parts(lines: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Lines in runs of about ``PART`` words, or one that is longer."""
+    part, held = [], 0
+    for line in lines:
+        if part and held + line[1] > PART:
+            yield part
+            part, held = [], 0
+        part.append(line)
+        held += line[1]
+    if part:
+        yield part
+
 
-    Defined cases: null, empty and blank texts have no paragraph; rows without
-    an id are passed over, as their paragraphs cannot be named; repeated rows
-    of one id are one document, whose paragraphs are not copies of themselves;
-    without repeats the result is empty. Ids must be below 2 ** 42 in size and
-    documents below 2 ** 20 lines, which is checked."""
+def _minima(mh: MinHash, s: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    """The signature of each range of shingles, a row each."""
+    if len(ranges) == 1:
+        return mh.signature(s[slice(*ranges[0])])[None]
+    lo, hi = ranges[0][0], ranges[-1][1]
+    x = (s[lo:hi] >> np.uint64(32)).astype(np.uint32)
+    least = np.empty((len(ranges), len(mh.a)), dtype=np.uint32)
+    ends = np.array(ranges).ravel()[:-1] - lo  # every second piece lies between ranges
+    for j in range(len(mh.a)):
+        least[:, j] = np.minimum.reduceat(mh.a[j] * x + mh.b[j], ends)[::2]
+    return least
+
+
+def _texts(min_words: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for doc_id, text_hash, text in zip(pdf["doc_id"].tolist(), pdf["text_hash"].tolist(), pdf["text"]):
+                at = 0
+                for line in text.split("\n"):
+                    n = len(utf8(line).split())
+                    if n >= min_words:
+                        out.append((_number(doc_id, text_hash, at), line))
+                    at += n
+            yield pd.DataFrame(out, columns=["doc_id", "text"])
+    return tidy(run)
+
+
+def similar_lines(docs: DataFrame, min_words: int, percent: int, shingle_words: int, miss: float) -> DataFrame:
+    """Lines of ``docs(doc_id, text_hash, text)`` that have a near copy."""
+    if min_words < shingle_words:
+        raise ValueError("a line must hold a shingle")
     bands, rows = tuned_bands(percent, miss)
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    paragraphs = read.mapInPandas(_paragraphs(min_words), "doc_id long, text string")
-    near = near_duplicates(paragraphs, shingle_words, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
-    near = materialize(near.dropDuplicates(["doc_id"]), "repeat")
-    several = materialize(near.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id"), "repeat-cluster")
-    place = (1 << PLACE_BITS) - 1
-    return near.join(several, "component_id").select(
-        F.shiftright("doc_id", PLACE_BITS).alias("doc_id"), F.col("doc_id").bitwiseAND(place).cast("int").alias("paragraph"), "n_shingles",
-        F.shiftright("component_id", PLACE_BITS).alias("first_doc_id"), F.col("component_id").bitwiseAND(place).cast("int").alias("first_paragraph"),
-        (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    signed = materialize(docs.mapInPandas(
+        _signed(min_words, shingle_words, bands, rows),
+        "id long, doc_id long, text_hash long, start_word int, n_words int, n_shingles long, set_key string, sig binary, bands array<long>"), "line")
+    near = clustered(signed.select(F.col("id").alias("doc_id"), "n_shingles", "set_key", "sig", "bands"),
+                     docs.mapInPandas(_texts(min_words), "doc_id long, text string"), shingle_words, percent, bands, rows)
+    near = materialize(near.select(F.col("doc_id").alias("id"), "component_id").distinct(), "line-near")
+    several = materialize(near.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id"), "line-cluster")
+    at = ["doc_id", "text_hash", "start_word"]
+    placed = materialize(near.join(small_side(several), "component_id").join(signed.select("id", *at, "n_words").distinct(), "id"), "line-placed")
+    first = materialize(placed.groupBy("component_id").agg(F.min(F.struct(*at)).alias("f")), "line-first")
+    return placed.join(small_side(first), "component_id").select(
+        *at, "n_words", F.col("f.doc_id").alias("first_doc_id"), F.col("f.text_hash").alias("first_text_hash"), F.col("f.start_word").alias("first_word"),
+        (F.struct(*at) == F.col("f")).alias("kept"))
+
+
+def repeated_paragraphs(docs: DataFrame, passage_words: int = 50, line_words: int = 40, percent: int = 80, shingle_words: int = 5, miss: float = 1e-4) -> DataFrame:
+    """One row per passage of ``docs(doc_id, text, ...)`` that stands, or
+    nearly stands, at another place of any document, its own included.
+
+    ``kind`` is ``passage`` for a longest run of at least ``passage_words``
+    words that stands again verbatim but for the case of A-Z and white space,
+    wherever it begins (see ``passages.repeated_passages``), and ``line`` for a
+    line of at least ``line_words`` words whose shingle set is at least
+    ``percent`` % similar to that of another, or linked to one over others. A
+    repeated line may be in both. ``doc_id``, ``text_hash`` (xxhash64 of the
+    text, for ids with several texts), ``start_word`` (from 0, in the words of
+    the whole text), ``n_words``; ``first_doc_id``, ``first_text_hash``,
+    ``first_word``: the first place of its cluster; ``kept``: it is that one.
+
+    Words, windows and lines are told apart by 64-bit hashes. Defined cases:
+    null, empty, blank and short texts have no passage; rows without an id are
+    passed over; rows that repeat an id and its text are one document, texts
+    that share an id are documents of their own; without repeats the result is
+    empty. Ids and lengths are free."""
+    spark = docs.sparkSession
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    columns = ["kind", "doc_id", "text_hash", "start_word", "n_words", "first_doc_id", "first_text_hash", "first_word", "kept"]
+    paths = [scratch_path(spark, "repeat"), scratch_path(spark, "repeat")]
+    with scratch_scope(spark):  # what the one kind wrote goes before the other begins
+        repeated_passages(read, passage_words).select(F.lit("passage").alias("kind"), *columns[1:]).write.parquet(paths[0])
+    with scratch_scope(spark):
+        hashed = read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+        similar_lines(hashed, line_words, percent, shingle_words, miss).select(F.lit("line").alias("kind"), *columns[1:]).write.parquet(paths[1])
+    return spark.read.parquet(*paths)
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        texts = []
+        for text, starts, sizes in zip(pdf["_text"], pdf["_starts"], pdf["_sizes"]):
+            data = utf8(text)
+            words = [m.span() for m in _WORD.finditer(data)]
+            out, at = [], 0
+            for s, n in sorted(zip(starts, sizes)):
+                lo, hi = words[s][0], words[s + n - 1][1]
+                out.append(data[at:max(at, lo)])
+                at = max(at, hi)
+            texts.append((b"".join(out) + data[at:]).decode("utf-8", "surrogatepass"))
+        yield pdf[["_id", "_hash"]].assign(_new=texts)
 
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the lines that ``found`` (of ``repeated_paragraphs``)
-    does not keep. Other texts, and nulls, stay as they are."""
-    gone = materialize(found.where(~F.col("kept")).groupBy("doc_id").agg(F.collect_set("paragraph").alias("_gone")), "repeat-gone")
-    lines = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
-    cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    return docs.join(gone, "doc_id", "left").withColumn("text", cut).select(*docs.columns)
+    """``docs`` without the passages that ``found`` (of
+    ``repeated_paragraphs``) does not keep; white space around them stays.
+    Other texts, and nulls, stay as they are."""
+    gone = materialize(found.where(~F.col("kept")).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.collect_list(F.struct("start_word", "n_words")).alias("_p")).select("_id", "_hash", F.col("_p.start_word").alias("_starts"), F.col("_p.n_words").alias("_sizes")), "repeat-gone")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64(F.col("text").cast("string"))})
+    cut = keyed.select("_id", "_hash", F.col("text").alias("_text")).dropDuplicates(["_id", "_hash"]).join(gone, ["_id", "_hash"]).mapInPandas(
+        tidy(_cut), "_id long, _hash long, _new string")
+    return keyed.join(materialize(cut, "repeat-cut"), ["_id", "_hash"], "left").withColumn("text", F.coalesce("_new", "text")).select(*docs.columns)

@@ -1,15 +1,20 @@
-"""Repeated passages over the whole text: runs of words that stand again
-elsewhere, wherever they begin and whether or not they run over line ends.
-
-1. Of the word shingles of half a passage's length, each passage-long window
-   of words marks its minimum (content-defined, so equal windows mark the same
-   one). A passage that stands twice therefore shares a marked shingle.
-2. Only windows whose minimum stands twice are hashed whole. They travel with
-   their mark, a row for all windows of a marked place; equal windows are named
-   by their first place, so no pairs are listed. The windows of a mark that
-   stands very often are rows of their own in partial aggregates, so that no
-   task holds them all.
-3. Repeated windows that follow each other are joined to runs.
+"""Verbatim passages for ``paragraph_dedup``: paragraphs of half a passage's
+length anywhere in a text, inside lines and over line ends, banded by MinHash
+and extended to the whole run of words that stands again elsewhere.
+
+1. Paragraphs begin where their content says: each passage-long window of
+   words chooses the paragraph of the least hash in it, so equal windows choose
+   the same one, and a passage that stands twice shares a chosen paragraph.
+2. A paragraph's bucket is its band: the minima of a few universal hash
+   functions over its five-word shingles. Equal paragraphs always share it, so
+   one band is the tuned number for them.
+3. Of paragraphs that collide, the passage-long windows that chose them are
+   compared whole, every word of them, by 64-bit hashes. They travel with their
+   bucket, a row for all windows of a paragraph; equal windows are named by
+   their first place, so no pairs are listed. The windows of a bucket with very
+   many places are rows of their own in partial aggregates, so that no task
+   holds them all.
+4. Repeated windows that follow each other are joined to runs.
 
 Nothing is sampled or capped.
 """
@@ -27,11 +32,13 @@ from .common import is_text, kept, materialize, small_side, tidy, utf8, whole_gr
 from .near_dedup import _mix, _Words
 
 _RNG = np.random.RandomState(20240911)
-#: Words hashed into one number; longer windows are hashed in steps of this.
-_MAX = 64
-#: Places of a mark that one task groups; beyond them they are aggregated.
-GROUP = 2000
-_C = _RNG.randint(0, 2**63 - 1, size=(2, _MAX), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: Places of a bucket that one task groups, in about 100 MB; beyond them they
+#: are aggregated.
+GROUP = 50_000
+#: Words of a shingle, and minima of a band.
+SHINGLE, MINIMA = 5, 3
+#: Odd multipliers by salt, for each doubling of a hashed length and each part added.
+_C = _RNG.randint(0, 2**63 - 1, size=(2, 64), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _words(text: str, cache: dict) -> np.ndarray:
@@ -41,14 +48,18 @@ def _words(text: str, cache: dict) -> np.ndarray:
 
 
 def _hashes(w: np.ndarray, size: int, salt: int) -> np.ndarray:
-    """The hash of the ``size`` words from each place."""
-    out = None
-    for at in range(0, size, _MAX):
-        part = np.full(len(w) - size + 1, np.uint64(size), dtype=np.uint64)
-        for i in range(at, min(at + _MAX, size)):
-            part += w[i:len(part) + i] * _C[salt, i - at]
-        out = _mix(part) if out is None else _mix(out * _C[salt, 1] + part)
-    return out
+    """The hash of the ``size`` words from each place: those of 1, 2, 4, ..
+    words are joined from halves, and these to the size."""
+    n, at, out, part, length, bit = len(w) - size + 1, 0, None, w, 1, 0
+    while True:
+        if size & length:
+            piece = part[at:at + n]
+            out = piece * _C[salt, 32] if out is None else out * _C[salt, 33 + bit] + piece
+            at += length
+        if 2 * length > size:
+            return _mix(out + np.uint64(size))
+        part = part[:-length] * _C[salt, bit] + part[length:]
+        length, bit = 2 * length, bit + 1
 
 
 def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
@@ -60,8 +71,18 @@ def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
     return x
 
 
+def band(w: np.ndarray, size: int) -> np.ndarray:
+    """The bucket of the paragraph of ``size`` words from each place."""
+    k = min(SHINGLE, size)
+    s = _hashes(w, k, 0)
+    out = np.zeros(len(w) - size + 1, dtype=np.uint64)
+    for i in range(MINIMA):
+        out += _sliding(_mix(s * _C[1, 40 + i]), size - k + 1, np.minimum) * _C[1, 50 + i]
+    return _mix(out)
+
+
 def marked(w: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(places, hashes)`` of the shingles that are the minimum of a window."""
+    """``(places, buckets)`` of the paragraphs that a window chooses."""
     k = max(min_words // 2, 1)
     if len(w) < min_words:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
@@ -71,7 +92,7 @@ def marked(w: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     pad = np.zeros(n - 1, dtype=np.uint64)
     top = _sliding(np.concatenate([pad, low, pad]), n, np.maximum)
     at = np.flatnonzero(top == x)
-    return at, x[at]
+    return at, band(w, k)[at]
 
 
 _ID = "doc_id long, text_hash long, "
@@ -101,13 +122,13 @@ def _windows(min_words: int):
             rows = []
             for doc_id, key, text, places in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"], pdf["places"]):
                 w = _words(text, cache)
-                x, win = _hashes(w, k, 0), _hashes(w, min_words, 1)
+                x, win, bucket = _hashes(w, k, 0), _hashes(w, min_words, 1), band(w, k)
                 views = np.lib.stride_tricks.sliding_window_view(x, min_words - k + 1)
                 least = np.concatenate([views[i:i + 4096].argmin(axis=1) for i in range(0, len(win), 4096)]) + np.arange(len(win))
                 for p in np.sort(np.asarray(places, dtype=np.int64)).tolist():
                     lo, hi = np.searchsorted(least, [p, p + 1])  # first minima never go back
                     if lo < hi:
-                        rows.append((doc_id, key, lo, p - lo, x[p].astype(np.int64), win[lo:hi].tobytes()))
+                        rows.append((doc_id, key, lo, p - lo, bucket[p].astype(np.int64), win[lo:hi].tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "place", "before", "mark", "wins"])
     return tidy(run)
 
@@ -169,7 +190,7 @@ def _runs(min_words: int):
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, group: int = GROUP) -> DataFrame:
-    """One row per repeated passage of ``docs(doc_id, text, ...)``: a longest
+    """One row per verbatim passage of ``docs(doc_id, text, ...)``: a longest
     run of words of which each ``min_words`` in a row also stand, but for the
     case of A-Z and the kind of white space, at another place of any document,
     its own included. ``doc_id``, ``text_hash`` (xxhash64 of the text, for ids

@@ -150,12 +150,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
 
 
-@_query("op2_repeated_passages")
-def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .passages import repeated_passages
-    return repeated_passages(read_table(spark, sf_dir, "documents"))
-
-
 _OP11_SQL = """
 WITH v AS (
   SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS VARCHAR) AS label,

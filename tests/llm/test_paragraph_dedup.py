@@ -1,27 +1,44 @@
 import random
 
+import numpy as np
 import pytest
 
+from playstream.llm import paragraph_dedup as P
+from playstream.llm.near_dedup import MinHash
 from playstream.llm.paragraph_dedup import repeated_paragraphs, tuned_bands, without_repeats
 from playstream.llm.queries import QUERIES
 
 from .test_near_dedup import brute, edited
+from .test_passages import check
 
 SF001 = "/root/testdata/sf0.001"
 
 
+def lines_of(docs, min_words):
+    out = []
+    for d, t in dict(docs).items():
+        if t and d is not None:
+            at = 0
+            for line in t.split("\n"):
+                n = len(line.encode("utf-8", "surrogatepass").split())
+                if n >= min_words:
+                    out.append(((d, at), line, n))
+                at += n
+    return out
+
+
 def expected(docs, min_words, percent=80):
-    """Clusters of more than one paragraph, from all pairs."""
-    places = [((d, i), line) for d, t in dict(docs).items() if t and d is not None for i, line in enumerate(t.split("\n")) if len(line.split()) >= min_words]
-    comp = {p: c for p, (_, c) in brute(places, percent).items()}
+    """Clusters of more than one line, from all pairs."""
+    places = lines_of(docs, min_words)
+    comp = {p: c for p, (_, c) in brute([x[:2] for x in places], percent).items()}
     size = {}
     for c in comp.values():
         size[c] = size.get(c, 0) + 1
-    return sorted((p, c, p == c) for p, c in comp.items() if size[c] > 1)
+    return sorted((p, n, c := comp[p], p == c) for p, _, n in places if size[comp[p]] > 1)
 
 
-def found(df):
-    return sorted(((r.doc_id, r.paragraph), (r.first_doc_id, r.first_paragraph), r.kept) for r in df.collect())
+def found(rows):
+    return sorted(((r.doc_id, r.start_word), r.n_words, (r.first_doc_id, r.first_word), r.kept) for r in rows if r.kind == "line")
 
 
 def test_bands_are_tuned():
@@ -30,12 +47,24 @@ def test_bands_are_tuned():
         assert (1 - (percent / 100) ** rows) ** bands <= 1e-4 < (1 - (percent / 100) ** rows) ** (bands - 1)
 
 
+def test_minima_of_lines_together():
+    rng, mh = np.random.RandomState(1), MinHash(4, 3)
+    s = rng.randint(0, 2**63, 500).astype(np.uint64) * np.uint64(2)
+    ranges = [(0, 7), (7, 30), (40, 41), (60, 499)]
+    for some in (ranges, ranges[:1], [(490, 495), (496, 500)]):
+        assert np.array_equal(P._minima(mh, s, some), np.stack([mh.signature(s[a:b]) for a, b in some]))
+
+
 def test_query_matches_brute_force(spark):
+    """Every repeated window of 50 words is told, and every near-duplicate line."""
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
-    assert found(QUERIES["op2_paragraph_minhash"](spark, SF001)) == expected(docs, 40)
+    rows = QUERIES["op2_paragraph_minhash"](spark, SF001).collect()
+    assert found(rows) == expected(docs, 40)
+    check(docs, [r for r in rows if r.kind == "passage"], 50)
 
 
-def test_planted_passages_and_edge_cases(spark):
+def test_planted_passages_and_edge_cases(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART", 50)
     rng = random.Random(8)
     words = lambda n: ["w%d" % rng.randrange(9000) for _ in range(n)]
     passages = [words(60) for _ in range(3)]
@@ -44,19 +73,19 @@ def test_planted_passages_and_edge_cases(spark):
         lines = [" ".join(words(rng.randrange(1, 80))) for _ in range(rng.randrange(4))]
         if i % 3 == 0:
             lines.insert(rng.randrange(len(lines) + 1), edited(rng, passages[i % 9 // 3], rng.randrange(3)))
-        docs.append((i * 1000 - 5000, "\n".join(lines)))
-    docs += [(7, None), (8, ""), (9, " \n \n"), (None, " ".join(passages[0])), (10, " ".join(passages[1]) + "\n" + " ".join(passages[1])), (12, "a b c " * 20_000), (13, " ".join(passages[2]))]
+        docs.append((i * (1 << 50) - (1 << 60), "\n".join(lines)))
+    docs += [(7, None), (8, ""), (9, " \n \n"), (None, " ".join(passages[0])), (10, " ".join(passages[1]) + "\n" + " ".join(passages[1])), (12, "a b c " * 20_000), (13, "\n".join(" ".join(passages[2])
+             for _ in range(2)) + "\nx" * 30_000)]
     df = spark.createDataFrame([(*d, 1) for d in docs + docs[-1:]], "doc_id long, text string, component_id int").repartition(3)
-    got = repeated_paragraphs(df, min_words=20)
-    assert found(got) == expected(docs, 20)
+    got = repeated_paragraphs(df, line_words=20)
+    rows = got.collect()
+    assert found(rows) == expected(docs, 20)
+    check(docs, [r for r in rows if r.kind == "passage"], 50)
     left = {r.doc_id: r.text for r in without_repeats(df, got).collect()}
-    gone = {p for p, _, kept in expected(docs, 20) if not kept}
     for d, t in docs:
-        assert left[d] == (t if t is None or d is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone))
+        gone = {r.start_word + j for r in rows if r.doc_id == d and not r.kept for j in range(r.n_words)}
+        assert (left[d] or "").split() == [w for j, w in enumerate((t or "").split()) if j not in gone or d is None]
+        assert gone or left[d] == t
     assert repeated_paragraphs(df.limit(0)).count() == 0
-
-
-def test_ids_without_room_are_refused(spark):
-    df = spark.createDataFrame([(1 << 50, "a " * 60)], "doc_id long, text string")
-    with pytest.raises(Exception, match="no room"):
-        repeated_paragraphs(df).count()
+    with pytest.raises(ValueError):
+        repeated_paragraphs(df, line_words=3)

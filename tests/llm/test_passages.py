@@ -4,9 +4,6 @@ from collections import defaultdict
 import pytest
 
 from playstream.llm.passages import repeated_passages
-from playstream.llm.queries import QUERIES
-
-SF001 = "/root/testdata/sf0.001"
 
 
 def covered(docs, size):
@@ -35,13 +32,6 @@ def check(docs, rows, size):
         assert r.kept == (first == (r.doc_id, r.start_word))
 
 
-def test_query_finds_all_repeated_windows(spark):
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
-    rows = QUERIES["op2_repeated_passages"](spark, SF001).collect()
-    check(docs, rows, 50)
-    assert {r.kept for r in rows} == {True, False}
-
-
 @pytest.mark.parametrize("size", [8, 50, 130])
 def test_passages_inside_lines_and_over_line_ends(spark, size):
     rng = random.Random(size)
