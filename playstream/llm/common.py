@@ -35,6 +35,17 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def id_text(name: str) -> Column:
+    """An id column on its way to pandas, which would make doubles of integers
+    that stand beside nulls."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def ids_of(column: pd.Series) -> list[int | None]:
+    """The integers of a column that was sent as ``id_text``."""
+    return [int(v) if isinstance(v, str) else None for v in column]
+
+
 def is_text(value) -> bool:
     """False for the nulls of pandas columns."""
     return isinstance(value, str)
@@ -65,6 +76,20 @@ def give_back() -> None:
         trim(0)
 
 
+def together(texts: list[str], chars: int, most: int = 256) -> Iterator[list[str]]:
+    """Runs of at most ``most`` texts of about ``chars`` characters, or one
+    that is longer: what a task works on at once."""
+    part, held = [], 0
+    for text in texts:
+        if part and (held + len(text) > chars or len(part) == most):
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text)
+    if part:
+        yield part
+
+
 def tidy(run):
     """A function over a task's batches that gives memory back at its end."""
     @functools.wraps(run)

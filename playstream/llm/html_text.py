@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, tidy
+from .common import is_text, tidy, together
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,9 +64,11 @@ class Page:
 
 
 def parse(source: str) -> Page:
-    """The block tree of a page, whatever its markup leaves open or unopened."""
+    """The block tree of a page, whatever its markup leaves open or unopened,
+    in time that grows with its length, however deep it is."""
     page = Page([("html", "")], [-1], [0])
     stack, hidden, linked = [0], 0, False
+    at_tag: dict[str, list[int]] = {}  # places in the stack of the open elements of each tag, the root's aside
     text: list[str] = []
     link_chars = 0
 
@@ -91,16 +93,16 @@ def parse(source: str) -> Page:
         nonlocal hidden
         for j in stack[i:]:
             hidden -= page.keys[j][0] in NEVER
+            at_tag[page.keys[j][0]].pop()
         del stack[i:]
 
+    def last(tags) -> int:
+        return max((at_tag[t][-1] for t in tags if at_tag.get(t)), default=0)
+
     def close_open(tags, bounds) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = page.keys[stack[i]][0]
-            if tag in bounds:
-                return
-            if tag in tags:
-                close(i)
-                return
+        i = last(tags)
+        if i > last(bounds):
+            close(i)
 
     at, end = 0, len(source)
     while at < end:
@@ -130,22 +132,21 @@ def parse(source: str) -> Page:
                 close_open({"p"}, {"button", "td", "th", "caption"})
             if tag in CLOSES:
                 close_open(*CLOSES[tag])
-            if tag in ("html", "body") and any(page.keys[j][0] == tag for j in stack):
+            if tag == "html" or tag == "body" and at_tag.get(tag):
                 continue
             names = " ".join(v.strip("\"'") for v in _NAME.findall(attrs)).lower() if attrs else ""
             page.keys.append((tag, names))
             page.parent.append(stack[-1])
             page.depth.append(len(stack))
             hidden += tag in NEVER
+            at_tag.setdefault(tag, []).append(len(stack))
             stack.append(len(page.keys) - 1)
         elif tag in BLOCK:
-            if tag == "p" or any(page.keys[j][0] == tag for j in stack[1:]):
+            if tag == "p" or at_tag.get(tag):
                 flush()
                 linked = False
-            for i in range(len(stack) - 1, 0, -1):
-                if page.keys[stack[i]][0] == tag:
-                    close(i)
-                    break
+            if at_tag.get(tag):
+                close(at_tag[tag][-1])
     flush()
     return page
 
@@ -165,8 +166,26 @@ class Keys(dict):
         return row
 
 
+class KeyScores(dict):
+    """What an element's tag and names add to its scores, once per distinct pair."""
+
+    def __init__(self, model: Model):
+        self.keys, self.weights = Keys(), model.weights[:N_KEY]
+
+    def __missing__(self, key: tuple[str, str]) -> tuple[float, float]:
+        if len(self) >= 100_000:
+            self.clear()
+        self[key] = told = tuple((self.keys[key] @ self.weights).tolist())
+        return told
+
+
 def features(page: Page, keys: Keys) -> np.ndarray:
     """One row per node: tag and names, then its own and its subtree's text."""
+    return np.concatenate([np.stack([keys[k] for k in page.keys]), shape(page)], axis=1)
+
+
+def shape(page: Page) -> np.ndarray:
+    """The features of each node's own and its subtree's text."""
     n = len(page.keys)
     own, links, ends = np.zeros(n), np.zeros(n), np.zeros(n)
     legal = np.zeros(n)
@@ -181,10 +200,9 @@ def features(page: Page, keys: Keys) -> np.ndarray:
         below[page.parent[i]] += below[i]
         below_links[page.parent[i]] += below_links[i]
     total = max(below[0], 1.0)
-    shape = np.stack([
+    return np.stack([
         np.log1p(own) / 6, links / np.maximum(own, 1), (own > 0) & (own < 40), below / total, below_links / np.maximum(below, 1),
         np.log1p(below) / 8, np.minimum(ends, 5) / 5, legal > 0, (own == 0) & (below > 0), direct / np.maximum(below, 1), np.minimum(page.depth, 10) * 0.1], axis=1)
-    return np.concatenate([np.stack([keys[k] for k in page.keys]), shape], axis=1)
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -248,14 +266,14 @@ def train(pages: list[Page], labels: list[list[int]], steps: int = 150, rate: fl
     return Model(*theta)
 
 
-def main_texts(model: Model, sources: list[str], keys: Keys) -> list[str]:
+def main_texts(model: Model, sources: list[str], keys: KeyScores) -> list[str]:
     """The kept text of each page: runs of content nodes, joined by newlines."""
     pages = [parse(s) for s in sources]
     if not pages:
         return []
-    x = np.concatenate([features(p, keys) for p in pages])
+    scores = np.concatenate([np.array([keys[k] for k in p.keys]) + shape(p) @ model.weights[N_KEY:] for p in pages])
     parent, depth = _forest(pages)
-    content = messages(x @ model.weights, model.moves, parent, depth)[0][:, 1] >= 0.5
+    content = messages(scores, model.moves, parent, depth)[0][:, 1] >= 0.5
     out, base = [], 0
     for p in pages:
         out.append("\n".join(text for node, text, _ in p.runs if content[base + node]))
@@ -404,15 +422,19 @@ def learn(labelled: list[tuple[str, list[str]]] | None = None) -> Model:
     return train(pages, [labels_of(p, b) for p, (_, b) in zip(pages, labelled)])
 
 
+#: Characters of the pages that are read together, unless one is longer.
+TOGETHER = 4 << 20
+
+
 def extract(pages: DataFrame, model: Model, column: str = "html") -> DataFrame:
     """``pages`` with ``text`` after its own columns (one of this name is
     replaced): the main text of ``column``. Character references are decoded,
     white space inside a block is one space, blocks are lines. A null or empty
     page, and one without content, has the empty text."""
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        keys = Keys()
+        keys = KeyScores(model)
         for sources in series:
             sources = [s if is_text(s) else "" for s in sources]
-            yield pd.Series([t for i in range(0, len(sources), 256) for t in main_texts(model, sources[i:i + 256], keys)], dtype=object)
+            yield pd.Series([t for part in together(sources, TOGETHER) for t in main_texts(model, part, keys)], dtype=object)
 
     return pages.withColumn("text", F.pandas_udf(tidy(run), "string")(F.col(column).cast("string")))

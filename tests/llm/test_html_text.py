@@ -1,4 +1,5 @@
 import itertools
+import time
 from collections import Counter
 
 import numpy as np
@@ -16,7 +17,7 @@ def model():
 
 
 def text(model, source):
-    return H.main_texts(model, [source], H.Keys())[0]
+    return H.main_texts(model, [source], H.KeyScores(model))[0]
 
 
 def test_messages_against_all_assignments():
@@ -74,3 +75,26 @@ def test_edge_cases(spark, model):
     assert got[1] == got[2] == "" and got[8] == "" and len(got[7]) == len("Words of it. " * 100_000) - 1
     assert got[None] == "Some text."
     assert H.extract(df.limit(0), model).count() == 0
+
+
+def test_deep_pages_take_time_in_proportion(model):
+    prose = "<p>Deep text that is long enough to be read. It goes on."
+    for opened in ("<div>", "<div><p>", "<ul><li>", "<table><tr><td>", "<b><section>"):
+        times = []
+        for n in (10_000, 100_000 // opened.count("<")):
+            began = time.perf_counter()
+            page = H.parse(opened * n + prose)
+            times.append((time.perf_counter() - began) / n)
+            assert len(page.keys) > n and page.runs[-1][1].startswith("Deep text")
+        assert times[1] < 5 * times[0]
+    began = time.perf_counter()
+    assert isinstance(text(model, "<div>" * 100_000 + prose), str)
+    assert time.perf_counter() - began < 60
+
+
+def test_pages_are_read_together_up_to_a_size(model):
+    pages = [s for s, _ in H.made_pages(40)] + [""]
+    want = [text(model, s) for s in pages]
+    parts = list(H.together(pages, 5000))
+    assert len(parts) > 8 and sum(parts, []) == pages
+    assert [t for p in parts for t in H.main_texts(model, p, H.KeyScores(model))] == want
