@@ -6,12 +6,14 @@ distinct pre-tokens of a batch go into a trie and each node's score is
 computed once, however many pre-tokens share that prefix; a terminal node
 stores the count of tokens. A document's count is the sum over its pre-tokens.
 The trie is kept by a worker and starts anew beyond a number of nodes, which
-costs time and changes no count.
+costs time and changes no count; a run of more characters than words have is
+scored by itself, with no more than the scores of its last characters held.
 """
 
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 from math import log
 
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import is_text, kept, tidy
+from .common import is_text, kept, tidy, together
 
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -29,6 +31,10 @@ SPACE = "▁"
 _PIECE = re.compile(r" ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+| ?\w")
 #: Trie nodes, and pre-tokens, kept by a worker.
 MAX_NODES, MAX_WORDS = 900_000, 500_000
+#: Characters of the longest pre-token that goes into the trie.
+LONGEST = 1000
+#: Characters of the texts that are counted together, unless one is longer.
+TOGETHER = 2 << 20
 
 
 class Vocabulary:
@@ -58,9 +64,13 @@ class Trie:
         self.clear()
 
     def clear(self) -> None:
+        self.words: dict[str, int] = {}
+        self.fell()
+
+    def fell(self) -> None:
+        """Start the nodes anew; the counts of words stay."""
         self.next: dict[int, int] = {}  # by node and character
         self.score, self.tokens = [0.0], [0]
-        self.words: dict[str, int] = {}
 
     def insert(self, word: str) -> int:
         """Tokens of the best segmentation; scores only nodes that are new."""
@@ -85,12 +95,35 @@ class Trie:
             path.append(node)
         return self.tokens[node]
 
+    def alone(self, word: str) -> int:
+        """The count of a long pre-token, without nodes."""
+        v = self.vocabulary
+        held = deque([(0.0, 0)], maxlen=v.longest)  # score and tokens of the last prefixes
+        for end, ch in enumerate(word, 1):
+            n = len(ch.encode("utf-8", "surrogatepass"))
+            best, count = held[-1][0] + n * v.byte, held[-1][1] + n
+            start = end - len(held)
+            for s, t in held:
+                more = v.scores.get(word[start:end])
+                start += 1
+                if more is not None:
+                    more += s
+                    if more > best or (more == best and t + 1 < count):
+                        best, count = more, t + 1
+            held.append((best, count))
+        return held[-1][1]
+
     def counts(self, texts: list[str]) -> list[tuple[int, int]]:
         """Tokens and pre-tokens of each text."""
         split = [_PIECE.findall(" " + " ".join(t.split())) for t in texts]
-        if len(self.score) > MAX_NODES or len(self.words) > MAX_WORDS:
+        if len(self.words) > MAX_WORDS:
             self.clear()
         for word in set().union(*split).difference(self.words):
+            if len(word) > LONGEST:
+                self.words[word] = self.alone(word.replace(" ", SPACE))
+                continue
+            if len(self.score) + len(word) > MAX_NODES:
+                self.fell()
             self.words[word] = self.insert(word.replace(" ", SPACE))  # the terminal's count
         get = self.words.__getitem__
         return [(sum(map(get, w)), len(w)) for w in split]
@@ -111,7 +144,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         own = trie(vocabulary)
         for texts in series:
             texts = [t if is_text(t) else "" for t in texts]
-            rows = [r for i in range(0, len(texts), 256) for r in own.counts(texts[i:i + 256])]
+            rows = [r for part in together(texts, TOGETHER) for r in own.counts(part)]
             yield pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 2), columns=["n_tokens", "n_words"])
 
     kind = StructType([StructField("n_tokens", LongType()), StructField("n_words", LongType())])

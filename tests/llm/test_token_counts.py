@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,3 +62,34 @@ def test_edge_cases(spark):
     assert len(rows) == 7 and got[1] == got[2] == got[3] == (0, 0)
     assert all(got[d] == brute(t) for d, t, _ in docs)
     assert T.token_counts(df.limit(0)).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text(alphabet=st.sampled_from("thean ingoé漢😀Ñ▁"), max_size=60))
+def test_long_words_are_counted_alone(word):
+    assert T.trie().alone("▁" + word) == T.Trie(VOCABULARY).insert("▁" + word)
+
+
+def test_nodes_are_bounded_inside_a_text(monkeypatch):
+    monkeypatch.setattr(T, "MAX_NODES", 3000)
+    monkeypatch.setattr(T, "LONGEST", 90)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 120))) for _ in range(400))
+    trie, most = T.Trie(VOCABULARY), [0]
+    insert = trie.insert
+
+    def noted(word):
+        out = insert(word)
+        most[0] = max(most[0], len(trie.score))
+        return out
+
+    trie.insert = noted
+    assert trie.counts([text]) == [brute(text)]
+    assert 2000 < most[0] <= 3001
+
+
+def test_letters_without_a_space():
+    trie, began = T.Trie(VOCABULARY), time.perf_counter()
+    n, words = trie.counts(["thereand" * 125_000])[0]
+    assert words == 1 and 0 < n < 1_000_000 and len(trie.score) == 1
+    assert time.perf_counter() - began < 60
