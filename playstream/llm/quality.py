@@ -8,22 +8,25 @@ probabilities of being good, weighted by their lengths.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chain import fit, marginals
-from .common import is_text, tidy, utf8
-
-#: Labelled documents that are fitted on, and the longest text among them.
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 200_000
-#: Documents scored together.
-BLOCK_DOCS = 512
+from .common import is_text, tidy, together, utf8
+
+#: Labelled documents that are fitted on, the longest text among them, and all
+#: their lines.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 3000, 200_000, 300_000
+#: Documents scored together, their characters unless one is longer, and the
+#: lines whose features are held at once.
+BLOCK_DOCS, BLOCK_CHARS, BLOCK_LINES = 512, 8 << 20, 50_000
 _CLASS = np.full(256, 1, dtype=np.uint8)  # 1: letters beyond ASCII
 for _chars, _k in ((b"abcdefghijklmnopqrstuvwxyz", 2), (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", 3), (b"0123456789", 4),
                    (b" \t\r\n\x0b\x0c", 5), (b".,;:?'\"-()", 6), (b"!", 7), (b"|", 8)):
@@ -41,22 +44,25 @@ class Model:
     moves: np.ndarray
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of every line (its own, then those of the line before and the
-    line after), lines per text, and the weight of each line. A text without
-    any character is one empty line."""
-    lines, counts, rows = [], [], []
+def _lines(texts: list[str]) -> tuple[list[str], list[int], np.ndarray]:
+    """The lines of all texts, how often each stands in its text, and lines per
+    text. A text without any character is one empty line."""
+    lines, seen, counts = [], [], []
     for text in texts:
         own = text.split("\n")
         counts.append(len(own))
-        seen: dict[str, int] = {}
-        for line in own:
-            seen[line] = seen.get(line, 0) + 1
-        for line in own:
-            words = line.split()
-            n = len(words)
-            rows.append((n, len(set(words)), sum(map(eq, words, words[1:])), seen[line]))
+        times = Counter(own)
+        seen += map(times.__getitem__, own)
         lines += own
+    return lines, seen, np.array(counts, dtype=np.int64)
+
+
+def _raw(lines: list[str], times: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's own features, and its weight."""
+    rows = []
+    for line, k in zip(lines, times):
+        words = line.split()
+        rows.append((len(words), len(set(words)), sum(map(eq, words, words[1:])), k))
     data = np.frombuffer(utf8("\n".join(lines)) + b"\n", dtype=np.uint8)
     kind = _CLASS[data]
     ends = np.flatnonzero(data == 10)
@@ -71,14 +77,35 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         np.log1p(size), np.log1p(n), letters / words / 8, letters / some, per[3] / np.maximum(per[2] + per[3], 1),
         per[4] / some, per[6] / some, per[7] / words, per[8] / words, per[9] / words, 1 - uniq / words, same / words,
         (seen > 1).astype(float), np.log(seen), (n == 0).astype(float), (n < 4).astype(float), (per[9] > 0.5 * n).astype(float)], axis=1)
-    counts = np.array(counts, dtype=np.int64)
-    first = np.zeros(len(raw), dtype=bool)
+    return raw, size + 1
+
+
+def _blocks(texts: list[str], step: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """Lines per text; and for every ``step`` lines their features (its own,
+    those of the line before and the line after, whether it is the first or the
+    last one) and their weights."""
+    lines, times, counts = _lines(texts)
+    first = np.zeros(len(lines), dtype=bool)
     first[np.concatenate([[0], np.cumsum(counts)[:-1]])] = True
     last = np.roll(first, -1)
-    before, after = np.roll(raw, 1, axis=0), np.roll(raw, -1, axis=0)
-    before[first], after[last] = 0, 0
-    x = np.concatenate([raw, before, after, first[:, None], last[:, None]], axis=1)
-    return x, counts, size + 1
+
+    def each():
+        for a in range(0, len(lines), step):
+            b = min(a + step, len(lines))
+            lo, hi = max(a - 1, 0), min(b + 1, len(lines))  # with the lines next to them
+            raw, size = _raw(lines[lo:hi], times[lo:hi])
+            own = slice(a - lo, b - lo)
+            before, after = np.roll(raw, 1, axis=0)[own], np.roll(raw, -1, axis=0)[own]
+            before[first[a:b]], after[last[a:b]] = 0, 0
+            yield np.concatenate([raw[own], before, after, first[a:b, None], last[a:b, None]], axis=1), size[own]
+    return counts, each()
+
+
+def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of every line, lines per text, and the weight of each line."""
+    counts, blocks = _blocks(texts, BLOCK_LINES)
+    x, size = zip(*blocks)
+    return np.concatenate(x), counts, np.concatenate(size)
 
 
 def train(x: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> Model:
@@ -93,9 +120,10 @@ def score(model: Model | None, texts: list[str]) -> np.ndarray:
     """Probability-weighted share of good lines; 0.5 without a model."""
     if model is None or not texts:
         return np.full(len(texts), 0.5)
-    x, counts, size = line_features(texts)
-    z = np.concatenate([(x - model.mean) / model.scale, np.ones((len(x), 1))], axis=1)
-    good = marginals(z @ model.weights, model.moves, counts)[0][:, 1]
+    counts, blocks = _blocks(texts, BLOCK_LINES)
+    told = [(np.concatenate([(x - model.mean) / model.scale, np.ones((len(x), 1))], axis=1) @ model.weights, size) for x, size in blocks]
+    scores, size = (np.concatenate(part) for part in zip(*told))
+    good = marginals(scores, model.moves, counts)[0][:, 1]
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
     return np.clip(np.add.reduceat(good * size, starts) / np.add.reduceat(size, starts), 0.0, 1.0)
 
@@ -112,17 +140,23 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"quality": [int(label)], "x": [x.astype("<f4").tobytes()]})
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model | None:
+def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+          sample_lines: int = SAMPLE_LINES) -> Model | None:
     """Fit on at most ``sample_docs`` labelled documents that are not held out,
     those of the smallest hashed ids, with texts of at most ``sample_chars``
-    characters. Ids labelled twice count as bad if one label is 0; null labels
-    and ids are passed over. None if not both labels occur."""
+    characters, as long as they have ``sample_lines`` lines together. Ids
+    labelled twice count as bad if one label is 0; of texts that share an id
+    that of the smallest hash is read; null labels and ids are passed over. None
+    if not both labels occur."""
     told = (labels.where("doc_id is not null and quality in (0, 1)").where(~held_out())
             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (read.join(F.broadcast(told), "doc_id").where(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
-            .select("doc_id", "quality", "text").mapInPandas(_features, "quality int, x binary").collect())
+    one = (read.join(F.broadcast(told), "doc_id").where(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
+           .groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), F.col("text"))).alias("t")).select("doc_id", "quality", "t.text"))
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of the sample's rows
+    some = one.withColumn("lines", F.sum(F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1))).over(upto)).where(F.col("lines") <= sample_lines)
+    rows = some.select("doc_id", "quality", "text").mapInPandas(_features, "quality int, x binary").collect()
     rows.sort(key=lambda r: (r.quality, bytes(r.x)))  # the order of rows does not change the fit
     y = np.array([r.quality for r in rows], dtype=np.int64)
     if len(set(y.tolist())) < 2:
@@ -142,7 +176,7 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3
     def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in series:
             texts = [t if is_text(t) else "" for t in texts]
-            parts = [score(model, texts[i:i + BLOCK_DOCS]) for i in range(0, len(texts), BLOCK_DOCS)]
+            parts = [score(model, part) for part in together(texts, BLOCK_CHARS, BLOCK_DOCS)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     scored = docs.withColumn("score", F.pandas_udf(tidy(run), DoubleType())(F.col("text").cast("string")))

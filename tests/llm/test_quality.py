@@ -1,7 +1,13 @@
+import itertools
+import tracemalloc
 import zlib
 
+import numpy as np
+
+from playstream.llm import quality as Q
 from playstream.llm.quality import learn, score_documents
 from playstream.llm.queries import QUERIES
+from playstream.sources.tables import read_table
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -41,3 +47,53 @@ def test_edge_cases(spark):
     rows = score_documents(d, learn(text, told)).collect()
     assert all(0 <= r.score <= 1 for r in rows) and rows[0].score == rows[1].score and rows[4].score == rows[5].score
     assert score_documents(d.limit(0), none).count() == 0
+
+
+def told(model, text):
+    """The score of one text: features line by line, and all labellings."""
+    lines = text.split("\n")
+    raw = [Q._raw([line], [lines.count(line)]) for line in lines]
+    none = np.zeros(Q.N_RAW)
+    scores = []
+    for i, (own, _) in enumerate(raw):
+        x = np.concatenate([own[0], raw[i - 1][0][0] if i else none, raw[i + 1][0][0] if i + 1 < len(raw) else none, [i == 0, i + 1 == len(raw)]])
+        scores.append(np.append((x - model.mean) / model.scale, 1) @ model.weights)
+    total, good = 0.0, np.zeros(len(lines))
+    for path in itertools.product((0, 1), repeat=len(lines)):
+        w = np.exp(sum(s[k] for s, k in zip(scores, path)) + sum(model.moves[a, b] for a, b in zip(path, path[1:])))
+        total, good = total + w, good + w * np.array(path)
+    sizes = np.array([s[0] for _, s in raw])
+    return float((good / total * sizes).sum() / sizes.sum())
+
+
+def test_scores_against_all_labellings(spark, monkeypatch):
+    docs = read_table(spark, SF01, "documents")
+    model = learn(docs, read_table(spark, SF01, "labels"))
+    texts = [t for t in (r.text for r in docs.orderBy("doc_id").collect()) if t is not None and t.count("\n") < 9][:60] + ["", "\n", "é !\n\n|", "x\nx\nx"]
+    want = [told(model, t) for t in texts]
+    assert np.allclose(Q.score(model, texts), want)
+    monkeypatch.setattr(Q, "BLOCK_LINES", 3)
+    assert np.allclose(Q.score(model, texts), want)
+
+
+def test_features_of_long_texts_are_made_in_parts():
+    text = "\n".join(f"line {i % 977} of it!" for i in range(200_000))
+    tracemalloc.start()
+    counts, blocks = Q._blocks([text], Q.BLOCK_LINES)
+    n = sum(len(x) for x, _ in blocks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == counts[0] == 200_000 and peak < 200 << 20
+
+
+def test_sample_is_bounded(spark):
+    text = spark.createDataFrame([(i % 40, ("good words here.\n" if i % 2 else "!!! ###\n") * (1 + i // 40)) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    lines = []
+    real = Q.train
+    try:
+        Q.train = lambda x, y, counts: (lines.append((len(counts), int(counts.sum()))), real(x, y, counts))[1]
+        assert learn(text, labels) is not None and learn(text, labels, sample_lines=60) is not None
+    finally:
+        Q.train = real
+    assert lines[0][0] <= 40 and lines[1][1] <= 60 and lines[1][0] < lines[0][0]
