@@ -1,17 +1,23 @@
 """Cost-balanced packing of tokenised documents into fixed-length sequences.
 
 Tasks tokenise their rows and pack them in shards of about ``shard_tokens``
-tokens; nothing is shuffled and a task holds one shard. In a shard, documents
+tokens; no text is shuffled and a task holds one shard. In a shard, documents
 longer than a sequence first give whole sequences. The rest go, in descending
 length, to the sequence of lowest estimated cost (linear plus quadratic in the
 lengths of its pieces, as attention stays inside a document) that still has
-room; those that fit nowhere are cut over what room is left. The shard has
-exactly as much room as tokens: full sequences, and for the remainder
-sequences whose lengths are powers of two.
+room; those that fit nowhere are cut over what room is left.
+
+A shard fills full sequences only. What is left of all shards, less than a
+sequence each, is gathered into shards of the same size and packed the same
+way; of these the last tokens, less than a sequence again, go to sequences
+whose lengths are powers of two. So short sequences follow from the tokens,
+not from the files that they were read from.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, kept, tidy
+from .common import id_text, ids_of, is_text, kept, materialize, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -41,11 +47,14 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit words, remembering the ids
     of pre-tokens: they do not depend on what stands around."""
 
-    def __init__(self, path: str | None = None, remember: int = REMEMBER):
+    def __init__(self, path: str | None = None, remember: int = REMEMBER, special: bool = True):
         import public_tokenizers
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model.encode_special_tokens = not special
+        added = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
+        #: texts with these strings go to the tokenizer whole
+        self.added = re.compile("|".join(added) if special and added else r"(?!)", re.IGNORECASE)
         self.remember = remember
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -60,7 +69,7 @@ class Encoder:
         self.known.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) else _PIECE.findall(t.lower()) for t in texts]
+        split = [None if _OTHER.search(t) or self.added.search(t) else _PIECE.findall(t.lower()) for t in texts]
         pieces = set().union(*(p for p in split if p))
         new = pieces.difference(self.known)
         if len(self.known) + len(new) > self.remember:  # what is in use comes back from the older ones
@@ -73,9 +82,10 @@ class Encoder:
                 else b"".join(map(get, p)) for t, p in zip(texts, split)]
 
 
-def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
+def assign(lengths: list[int], size: int, linear: float, quadratic: float, short: bool = True) -> list[tuple[int, int, int, int]]:
     """Pieces ``(document, start, length, sequence)`` that hold each token of
-    documents of these lengths once and fill every sequence exactly."""
+    documents of these lengths once and fill every sequence exactly. Without
+    ``short`` sequences what would be in them has the sequence -1."""
     out, rest, seq = [], [], 0
     for i, n in enumerate(lengths):
         for s in range(0, n - size + 1, size):
@@ -84,7 +94,7 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
         if n % size:
             rest.append((n % size, i, n - n % size))
     total = sum(n for n, _, _ in rest)
-    room = [size] * (total // size) + [1 << b for b in range(size.bit_length() - 1, -1, -1) if (total % size) >> b & 1]
+    room = [size] * (total // size) + [1 << b for b in range(size.bit_length() - 1, -1, -1) if short and (total % size) >> b & 1]
     room, cost = np.array(room, dtype=np.int64), np.zeros(len(room))
     cut = []
     for n, i, s in sorted(rest, key=lambda x: (-x[0], x[1])):
@@ -98,7 +108,10 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
             cut.append((n, i, s))
     for n, i, s in cut:
         while n:
-            j = int(np.argmax(room))
+            j = int(np.argmax(room)) if len(room) else -1
+            if j < 0 or not room[j]:
+                out.append((i, s, n, -1))
+                break
             part = min(n, int(room[j]))
             room[j] -= part
             out.append((i, s, part, seq + j))
@@ -106,52 +119,90 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> li
     return out
 
 
-def _packer(size: int, shard_tokens: int, linear: float, quadratic: float, path: str | None, with_ids: bool, remember: int = REMEMBER):
+class _Shard:
+    """Documents, or pieces of them, that are packed together."""
+
+    def __init__(self, pack, base: int, with_ids: bool, short: bool):
+        self.pack, self.base, self.with_ids, self.short = pack, base, with_ids, short
+        self.ids, self.docs, self.held = [], [], 0
+
+    def add(self, doc_id: int | None, ids: bytes, start: int, tokens: int) -> None:
+        self.ids.append(ids)
+        self.docs.append((doc_id, start, tokens))
+        self.held += len(ids) // 4
+
+    def flush(self) -> pd.DataFrame:
+        rows, used = [], {}
+        for i, at, n, seq in self.pack([len(x) // 4 for x in self.ids], short=self.short):
+            part, (doc_id, start, tokens) = self.ids[i][4 * at:4 * (at + n)], self.docs[i]
+            offset = used.get(seq, 0)
+            if seq >= 0:
+                used[seq] = offset + n
+            rows.append((doc_id, start + at, n, zlib.crc32(part), tokens, self.base + seq if seq >= 0 else None, offset, part if self.with_ids or seq < 0 else None))
+        self.base, self.ids, self.docs, self.held = self.base + len(used), [], [], 0
+        out = dict(zip(COLUMNS, zip(*rows)))
+        return pd.DataFrame(out | {c: pd.array(out[c], dtype="Int64") for c in ("doc_id", "sequence_id")})
+
+
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+#: Sequences of the second step are numbered from here.
+SECOND = 1 << 62
+
+
+def _packer(pack, shard_tokens: int, path: str | None, with_ids: bool, remember: int, special: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, end = kept(("packing", path, remember), lambda: Encoder(path, remember)), np.array([END_ID], dtype="<u4").tobytes()
-        base, ids, docs, held = TaskContext.get().partitionId() << 32, [], [], 0
-
-        def flush() -> pd.DataFrame:
-            nonlocal base, ids, docs, held
-            rows, used = [], {}
-            for i, start, n, seq in assign([len(x) // 4 for x in ids], size, linear, quadratic):
-                part = ids[i][4 * start:4 * (start + n)]
-                at = used.get(seq, 0)
-                used[seq] = at + n
-                rows.append((docs[i], start, n, zlib.crc32(part), len(ids[i]) // 4, base + seq, at, *([part] if with_ids else [])))
-            base, ids, docs, held = base + len(used), [], [], 0
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])])
-            return out.astype({"doc_id": "Int64"})
+        coder, end = kept(("packing", path, remember, special), lambda: Encoder(path, remember, special)), np.array([END_ID], dtype="<u4").tobytes()
+        shard = _Shard(pack, TaskContext.get().partitionId() << 32, with_ids, short=False)
 
         for pdf in batches:
             texts = [t if is_text(t) else "" for t in pdf["text"]]
-            names = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
+            names = ids_of(pdf["doc_id"])
             for at in range(0, len(texts), 256):
                 for name, x in zip(names[at:at + 256], coder.encode(texts[at:at + 256])):
-                    ids.append(x + end)
-                    docs.append(name)
-                    held += len(x) // 4 + 1
-                    if held >= shard_tokens:
-                        yield flush()
-        if ids:
-            yield flush()
+                    shard.add(name, x + end, 0, len(x) // 4 + 1)
+                    if shard.held >= shard_tokens:
+                        yield shard.flush()
+        if shard.ids:
+            yield shard.flush()
+    return tidy(run)
+
+
+def _rest(pack, with_ids: bool):
+    """Packs the pieces of a partition, which are one shard."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard = _Shard(pack, SECOND + (TaskContext.get().partitionId() << 32), with_ids, short=True)
+        for pdf in batches:
+            for doc_id, start, tokens, ids in zip(ids_of(pdf["doc_id"]), pdf["start"].tolist(), pdf["doc_tokens"].tolist(), pdf["ids"]):
+                shard.add(doc_id, ids, start, tokens)
+        if shard.ids:
+            yield shard.flush()
     return tidy(run)
 
 
 def pack(docs: DataFrame, size: int = 4096, shard_tokens: int = 1 << 20, linear: float = 1.0,
-         quadratic: float = 1 / 4096, vocabulary: str | None = None, with_ids: bool = True, remember: int = REMEMBER) -> DataFrame:
+         quadratic: float = 1 / 4096, vocabulary: str | None = None, with_ids: bool = True, remember: int = REMEMBER,
+         special: bool = True) -> DataFrame:
     """Return one row per piece: ``doc_id``, ``start`` (ids of its document
     before it), ``length``, ``ids_crc32`` (of its ids as little-endian
     unsigned 32-bit words), ``doc_tokens``, ``sequence_id``, ``offset`` in the
     sequence and, if ``with_ids``, the ids as such words in ``ids``.
 
     ``vocabulary`` is the path of a tokenizers file, the public 49k word BPE
-    by default; each document ends with id 2. A worker remembers the ids of up
-    to twice ``remember`` pre-tokens, which changes no result. A sequence holds
-    ``size`` ids (a power of two) or, at most once for each power in a shard, a
-    smaller power of two; none is padded. Defined cases: a null or empty text is the
-    end id alone; rows with equal or null ids are documents of their own;
-    further columns are ignored; an empty table gives no piece."""
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInPandas(_packer(size, shard_tokens, linear, quadratic, vocabulary, with_ids, remember), schema + (", ids binary" if with_ids else "")))
+    by default; each document ends with id 2. With ``special`` the strings of
+    the vocabulary's added tokens become these tokens, as in a plain call of the
+    tokenizer; without, they are text like any other. A worker remembers the ids
+    of up to twice ``remember`` pre-tokens, which changes no result. A sequence
+    holds ``size`` ids (a power of two) or, at most once for each power and
+    shard of what is left over, a smaller power of two; none is padded. Defined
+    cases: a null or empty text is the end id alone; rows with equal or null ids
+    are documents of their own; further columns are ignored; an empty table
+    gives no piece."""
+    fill = functools.partial(assign, size=size, linear=linear, quadratic=quadratic)
+    read = docs.select(id_text("doc_id"), F.col("text").cast("string").alias("text"))
+    first = materialize(read.mapInPandas(_packer(fill, shard_tokens, vocabulary, with_ids, remember, special), SCHEMA), "packed")
+    left = first.where("sequence_id is null").select(id_text("doc_id"), "start", "doc_tokens", "ids", "length", "ids_crc32")
+    shards = math.ceil((left.agg(F.sum("length")).first()[0] or 0) / shard_tokens) or 1
+    second = left.repartition(shards, F.xxhash64("doc_id", "start", "ids_crc32")).sortWithinPartitions("doc_id", "start", "ids_crc32").mapInPandas(_rest(fill, with_ids), SCHEMA)
+    out = first.where("sequence_id is not null").unionByName(second)
+    return out if with_ids else out.drop("ids")

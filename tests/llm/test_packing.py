@@ -13,7 +13,9 @@ from playstream.llm.queries import QUERIES
 
 SF001 = "/root/testdata/sf0.001"
 MODEL = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-MODEL.encode_special_tokens = True
+TEXT = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+TEXT.encode_special_tokens = True
+SPECIAL = ["a <|endoftext|> b <|startoftext|>", "x<|startoftext|>y", "<|ENDOFTEXT|>", "<|endof text|>", "<|endoftext|><|endoftext|>", "Ü <|endoftext|>漢"]
 
 
 def ids_of(text):
@@ -48,8 +50,9 @@ def assert_packed(rows, docs, size=4096):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x17F), st.sampled_from("Σςİıſ́  漢ǅ'sS³½ĸŉ<|>")), max_size=60), max_size=4))
 def test_ids_are_the_tokenizers(texts):
-    got = Encoder().encode(texts)
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+    for model, special in ((MODEL, True), (TEXT, False)):
+        got = Encoder(special=special).encode(texts + SPECIAL)
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == [model.encode(t, add_special_tokens=False).ids for t in texts + SPECIAL]
 
 
 def test_each_plain_character_alone_and_in_a_word():
@@ -86,7 +89,7 @@ def test_query_packs_every_token(spark):
 
 
 def test_edge_cases(spark):
-    docs = [(1, None), (2, ""), (3, "word " * 40000), (None, "a b"), (5, " \n")]
+    docs = [(1, None), (2, ""), (3, "word " * 40000), (None, "a b"), (5, " \n"), *((10 + i, t) for i, t in enumerate(SPECIAL))]
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, length string").repartition(3)
     rows = pack(df, shard_tokens=500).collect()
     assert_packed(rows, docs)
@@ -94,3 +97,26 @@ def test_edge_cases(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     same = spark.createDataFrame([(1, "a b")] * 3, "doc_id long, text string")
     assert sorted((r.doc_id, r.doc_tokens) for r in pack(same).collect() if r.start == 0) == [(1, 3)] * 3
+
+
+def test_short_sequences_do_not_follow_the_files(spark):
+    rng = random.Random(4)
+    docs = [(i, "word " * rng.randrange(1, 400)) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    short, total = set(), sum(len(ids_of(t)) for _, t in docs)
+    for parts in (1, 64):
+        rows = pack(df.repartition(parts)).collect()
+        assert_packed(rows, docs)
+        sizes = defaultdict(int)
+        for r in rows:
+            sizes[r.sequence_id] += r.length
+        short.add(tuple(sorted(n for n in sizes.values() if n < 4096)))
+    assert short == {tuple(1 << b for b in range(12) if total % 4096 >> b & 1)}
+    rows = pack(df.repartition(64), shard_tokens=9000).collect()  # several shards of what is left
+    assert_packed(rows, docs)
+
+
+def test_large_ids_beside_null_ones(spark):
+    docs = [(2**62 + 1, "a b"), (2**62 + 3, "c"), (None, "d e f"), (-(2**62) - 7, "")]
+    rows = pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {d: len(ids_of(t)) for d, t in docs}
