@@ -3,8 +3,8 @@
 Unit vectors of cosine c are at distance sqrt(2 - 2c), so the threshold gives
 an epsilon. Vectors are projected on their leading principal directions
 (fitted on all of them, and never longer than the vectors are), sorted by the
-epsilon cells of these coordinates, label by label, and cut into blocks of
-consecutive vectors. Two blocks meet only if their boxes are within epsilon;
+epsilon cells of these coordinates, label by label, and cut into a few
+large blocks of consecutive vectors. Two blocks meet only if their boxes are within epsilon;
 in a meeting the two intervals are halved again and again, and halves that
 are provably distant are skipped, before vectors are compared. Equal vectors
 are one row from the start, and a meeting gives counts and a spanning set of
@@ -24,11 +24,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, materialize
+from .common import grouped, id_text, ids_of, materialize, small_side
 from .components import connected_components
 
-#: Vectors of a block, and of an interval that is compared as a whole.
-BLOCK, LEAF = 1024, 128
+#: Vectors of a block at least and at most, blocks of a label between these
+#: bounds, and vectors of an interval that is compared as a whole. A vector is
+#: sent to the blocks that its own one meets, so to ``BLOCKS`` and a few for the
+#: ends of partitions, as long as a label has no more than ``BLOCKS`` times
+#: ``LARGEST`` vectors.
+BLOCK, LARGEST, BLOCKS, LEAF = 4096, 32_768, 16, 128
 #: Leading principal directions.
 DIRECTIONS = 6
 
@@ -44,7 +48,7 @@ def _prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keys.append(xxhash.xxh3_128_hexdigest(raw + label.encode()) if ok else None)
             vecs.append(raw)
             dims.append(len(v) if ok else 0)
-        yield pd.DataFrame({"vec_id": pdf["vec_id"].astype("Int64"), "label": pdf["label"], "key": keys, "dim": dims, "vec": vecs})
+        yield pd.DataFrame({"vec_id": pd.array(ids_of(pdf["vec_id"]), dtype="Int64"), "label": pdf["label"], "key": keys, "dim": dims, "vec": vecs})
 
 
 def _vectors(raw, dim: int) -> np.ndarray:
@@ -74,19 +78,17 @@ def _cells(directions: np.ndarray, eps: float):
     return run
 
 
-def _blocks(size: int):
+def _blocks(batches):
     """Numbers the blocks of a sorted partition; a block has one label."""
-    def run(batches):
-        base, block, last, n = TaskContext.get().partitionId() << 32, -1, None, 0
-        for pdf in batches:
-            out = []
-            for label in pdf["label"]:
-                if label != last or n == size:
-                    block, last, n = block + 1, label, 0
-                n += 1
-                out.append(base + block)
-            yield pdf.drop(columns=["cell"]).assign(block=out)
-    return run
+    base, block, last, n = TaskContext.get().partitionId() << 32, -1, None, 0
+    for pdf in batches:
+        out = []
+        for label, size in zip(pdf["label"], pdf["size"].tolist()):
+            if label != last or n == size:
+                block, last, n = block + 1, label, 0
+            n += 1
+            out.append(base + block)
+        yield pdf.drop(columns=["cell", "size"]).assign(block=out)
 
 
 def close_pairs(x: np.ndarray, y: np.ndarray, ax: np.ndarray, ay: np.ndarray, eps: float, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -171,9 +173,11 @@ def _linked(classes: DataFrame, dim: int, cosine: float, block: int) -> DataFram
         _cells(directions, eps), "id long, label string, n long, vec binary, cell array<int>, at array<double>")
     order = ["label", "cell", "id"]
     cells = materialize(cells, "ego-cell")
+    size = F.least(F.lit(max(LARGEST, block)), F.greatest(F.lit(block), F.ceil(F.count("*") / BLOCKS))).cast("int")
+    sizes = materialize(cells.groupBy("label").agg(size.alias("size")), "ego-size")
     rows = materialize(
-        cells.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInPandas(_blocks(block), "id long, label string, n long, vec binary, at array<double>, block long"), "ego-block")
+        cells.join(small_side(sizes), "label").repartitionByRange(*order).sortWithinPartitions(*order)
+        .mapInPandas(_blocks, "id long, label string, n long, vec binary, at array<double>, block long"), "ego-block")
     box = materialize(rows.groupBy("label", "block").agg(
         *[f(F.col("at")[i]).alias(f"{name}{i}") for i in range(k) for name, f in (("lo", F.min), ("hi", F.max))]), "ego-box")
     # blocks within epsilon share a cell of the first coordinate or have adjacent ones
@@ -202,7 +206,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = 0.98, block: int = BLOCK
     are kept, a row without an id with a null component; only vectors of one
     length are compared; repeated rows are rows of their own and link with
     each other; further columns are ignored."""
-    read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
+    read = vectors.select(id_text("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
                           F.when(F.col("vec_id").isNotNull(), F.col("label").cast("string")).alias("label"))
     ready = materialize(read.mapInPandas(_prepare, "vec_id long, label string, key string, dim int, vec binary"), "ego")
     # a number of its own for each class, as one vec_id may name several vectors

@@ -1,3 +1,5 @@
+import uuid
+
 import numpy as np
 
 from playstream.llm import embedding_dedup as E
@@ -65,3 +67,27 @@ def test_skipping_is_exact():
     x, at = x[order], at[order]
     i, j = E.close_pairs(x, x, at, at, 0.2, 0.98)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(x @ x.T >= 0.98))))
+
+
+def test_a_vector_is_sent_to_few_blocks(spark, tmp_path, monkeypatch):
+    """One label holds all vectors, and no direction tells them apart."""
+    rng, meet = np.random.RandomState(6), E._meet
+    for n in (500, 2000):
+        x = rng.randn(n, 16)
+        x[n // 2:n // 2 + 20] = x[:20] + rng.randn(20, 16) * 0.01
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+        noted = tmp_path / str(n)
+        noted.mkdir()
+
+        def counted(*args, to=str(noted)):
+            def run(batches):
+                batches = list(batches)
+                with open(f"{to}/{uuid.uuid4().hex}", "w") as f:
+                    f.write(str(sum(map(len, batches))))
+                yield from meet(*args)(iter(batches))
+            return run
+
+        monkeypatch.setattr(E, "_meet", counted)
+        assert run(spark, rows, block=50) == brute(rows)
+        sent = sum(int(p.read_text()) for p in noted.iterdir())
+        assert sent <= (E.BLOCKS + 8 + 1) * n  # eight range partitions
