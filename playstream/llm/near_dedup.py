@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped, is_text, kept, materialize, small_side, tidy, utf8, whole_groups
+from .common import grouped, id_text, ids_of, is_text, kept, materialize, small_side, tidy, utf8, whole_groups
 from .components import connected_components
 
 #: Words remembered by a worker; more only cost a hash each.
@@ -96,10 +96,6 @@ class MinHash:
         return _mix((s * self.c).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
-def _ids(pdf: pd.DataFrame, col: str) -> list:
-    return [None if pd.isna(v) else int(v) for v in pdf[col]]
-
-
 def _signed(size: int, bands: int, rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mh, cache = MinHash(bands, rows), kept("near_dedup", _Words)
@@ -112,7 +108,7 @@ def _signed(size: int, bands: int, rows: int):
                 sig = mh.signature(s) if len(s) else None
                 sigs.append(None if sig is None else sig.tobytes())
                 keys.append(None if sig is None else mh.keys(sig))
-            yield pd.DataFrame({"doc_id": pd.array(_ids(pdf, "doc_id"), dtype="Int64"), "n_shingles": n, "set_key": key, "sig": sigs, "bands": keys})
+            yield pd.DataFrame({"doc_id": pd.array(ids_of(pdf["doc_id"]), dtype="Int64"), "n_shingles": n, "set_key": key, "sig": sigs, "bands": keys})
     return tidy(run)
 
 
@@ -230,7 +226,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     columns are ignored; an empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = materialize(docs.mapInPandas(
+    signed = materialize(docs.select(id_text("doc_id"), "text").mapInPandas(
         _signed(shingle_words, bands, rows),
         "doc_id long, n_shingles long, set_key string, sig binary, bands array<long>"), "minhash")
     return clustered(signed, docs, shingle_words, percent, bands, rows, slack)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import id_text, ids_of, materialize
 
 MAGIC = b"\x1f\x8b\x08"
 STEP = 1 << 16
@@ -102,12 +102,11 @@ def _writer(folder: str, level: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, out, n = TaskContext.get(), None, 0
         for pdf in batches:
-            for page, url, html, digest, refers in zip(pdf["page_id"], pdf["url"], pdf["payload"], pdf["digest"], pdf["refers_to"]):
+            for page, url, html, digest, refers in zip(ids_of(pdf["page_id"]), pdf["url"], pdf["payload"], pdf["digest"], ids_of(pdf["refers_to"])):
                 if out is None:
                     store, at = _open(f"{folder}/part-{task.partitionId():05d}-{task.taskAttemptId()}.warc.gz")
                     store.create_dir(at.rsplit("/", 1)[0], recursive=True)
                     out = store.open_output_stream(at, compression=None)
-                page, refers = (None if pd.isna(x) else int(x) for x in (page, refers))
                 z = zlib.compressobj(level, zlib.DEFLATED, 31)
                 out.write(z.compress(record(page, url if isinstance(url, str) else None, bytes(html), digest, refers)) + z.flush())
                 n += 1
@@ -138,7 +137,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, level
         .agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first"), "warc-same")
     told = read.join(same, "digest", "left").withColumn(
         "refers_to", F.when(F.col("page_id") < F.col("first"), F.col("first")))
-    manifest = told.select("page_id", "url", "payload", "digest", "refers_to").mapInPandas(
+    manifest = told.select(id_text("page_id"), "url", "payload", "digest", id_text("refers_to")).mapInPandas(
         _writer(folder, level), "path string, bytes long, records long")
     return materialize(manifest, "warc-manifest")
 
@@ -161,8 +160,8 @@ def _reader(with_payload: bool):
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"] + ["payload"] * with_payload
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")})
+        out = dict(zip(names, zip(*rows))) if rows else {c: [] for c in names}
+        return pd.DataFrame(out | {c: pd.array(out[c], dtype="Int64") for c in ("page_id", "payload_bytes", "refers_to")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -103,3 +103,11 @@ def test_query_matches_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, 85)
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_large_ids_beside_null_ones(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    docs = [(2**62 + 1, a), (2**62 + 3, a), (None, a), (2**62 + 5, b), (-(2**62) - 7, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(df).collect()}
+    assert got == {2**62 + 1: (2**62 + 1, True), 2**62 + 3: (2**62 + 1, False), None: (None, True), 2**62 + 5: (2**62 + 5, True), -(2**62) - 7: (-(2**62) - 7, True)}

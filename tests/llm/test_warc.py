@@ -73,3 +73,11 @@ def test_false_and_damaged_members():
         got = [m for s in range(0, len(blob), step) for m in members(io.BytesIO(blob), s, min(s + step, len(blob)))]
         assert [x for x, _ in got] == starts and [d for _, d in got] == [a, inside, b]
     assert parse(a)[1].endswith(b"payload 1") and parse(a[:-1]) is None
+
+
+def test_large_ids_beside_null_ones(spark, tmp_dir):
+    pages = [(2**62 + 1, "u", "x" * 2000), (2**62 + 3, None, "x" * 2000), (None, "u", "y"), (-(2**62) - 7, "u", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    rows = read_archives(write_archives(df, f"{tmp_dir}/a")).collect()
+    assert {(r.page_id, r.record_type, r.refers_to) for r in rows} == {
+        (2**62 + 1, "revisit", 2**62 + 3), (2**62 + 3, "response", None), (None, "response", None), (-(2**62) - 7, "response", None)}
