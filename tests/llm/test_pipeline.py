@@ -52,6 +52,15 @@ def test_run_applies_all_stages(spark):
     assert {"doc_id", "start", "length", "sequence_id", "offset", "ids"} <= set(out.columns) and out.count() > 0
 
 
+def test_only_copies_go_when_an_id_names_several_texts(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(40)) for c in "abc"]
+    docs = [(1, texts[0]), (2, texts[0] + " more"), (2, texts[1]), (5, texts[2]), (5, texts[2] + " end"), (5, texts[0]), (7, texts[1]), (None, texts[0]), (2, texts[1])]
+    df = spark.createDataFrame([(*d, "en", "s", 1) for d in docs], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in P.near_dedup(spark, df, SF001).collect()), key=repr)
+    assert [r for r in got if r[0] != 5] == sorted([(1, texts[0]), (2, texts[1]), (None, texts[0])], key=repr)
+    assert [r[1][:10] for r in got if r[0] == 5] == [texts[2][:10]]
+
+
 def test_edge_cases(spark, tmp_path):
     base = " ".join("w%d" % i for i in range(30))
     docs = [(1, None, "en", "a", None), (2, "", "en", "a", 0), (3, base, None, None, 9), (3, base, None, None, 9), (4, base, "en", "b", 9), (None, base, "en", "b", 9), (5, "x " * 30000, "en", "c", 9)]
