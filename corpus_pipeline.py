@@ -26,16 +26,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (word 5-shingles, similarity 0.8 or
-    more, reached over links) the document of the smallest id stays, once if
-    its row is repeated."""
+    more, reached over links) the document of the smallest id stays (of equal
+    ids that of the smaller text hash), once if its row is repeated. Texts are
+    told apart by a hash of id and text, so an id may name several; rows
+    without an id stay."""
     from playstream.llm.near_dedup import near_duplicates
-    near = materialize(near_duplicates(docs, percent=80, bands=28, rows=5), "stage-near")
-    removed = materialize(near.where(~F.col("kept")).select("doc_id").distinct(), "stage-removed")
-    repeated = materialize(near.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "stage-repeated")
-    left = docs.select(*COLUMNS).join(small_side(removed), "doc_id", "left_anti")
-    repeated = small_side(repeated)
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    hashed = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    keyed = docs.select(*COLUMNS, hashed.alias("row"))
+    near = materialize(near_duplicates(keyed.select(F.col("row").alias("doc_id"), "text"), percent=80, bands=28, rows=5).where("doc_id is not null")
+                       .groupBy(F.col("doc_id").alias("row")).agg(F.min("component_id").alias("component"), F.count("*").alias("n")), "stage-near")
+    several = materialize(near.groupBy("component").agg(F.count("*").alias("rows")).where("rows > 1").select("component"), "stage-groups")
+    grouped = near.join(small_side(several), "component").select("row", "component")
+    named = materialize(grouped.join(keyed.select("row", "doc_id"), "row").distinct(), "stage-named")
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    removed = materialize(named.join(first, "component").where(F.col("row") != F.col("first.row")).select("row"), "stage-removed")
+    repeated = small_side(materialize(near.where("n > 1").select("row"), "stage-repeated"))
+    left = keyed.join(small_side(removed), "row", "left_anti")
+    once = left.join(repeated, "row", "left_semi").dropDuplicates(["row"])
+    return left.join(repeated, "row", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
