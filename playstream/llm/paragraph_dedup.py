@@ -16,7 +16,6 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 from math import ceil, log
 
 import numpy as np
@@ -27,12 +26,13 @@ from pyspark.sql import functions as F
 
 from playstream.session import scratch_path, scratch_scope
 
-from .common import kept, materialize, small_side, tidy, utf8
+from .common import kept, materialize, small_side, tidy, together, utf8
 from .near_dedup import _WORD_C, MinHash, _mix, _Words, clustered
-from .passages import repeated_passages
+from .passages import TOGETHER, flat_words, repeated_passages
 
 #: Shingles whose minima are computed at once.
 PART = 1 << 14
+_KEY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 
 def tuned_bands(percent: int, miss: float) -> tuple[int, int]:
@@ -45,16 +45,9 @@ def tuned_bands(percent: int, miss: float) -> tuple[int, int]:
     return min(ways, key=lambda w: w[0] * w[1])
 
 
-def _lines(text: str, min_words: int) -> tuple[list[bytes], list[tuple[int, int]]]:
-    """All words of a text, A-Z in lower case, and ``(first word, words)`` of
-    its lines of at least ``min_words`` words."""
-    by_line = [line.split() for line in utf8(text).lower().split(b"\n")]
-    at, found = 0, []
-    for line in by_line:
-        if len(line) >= min_words:
-            found.append((at, len(line)))
-        at += len(line)
-    return list(chain.from_iterable(by_line)), found
+def _lines(text: str) -> list[list[bytes]]:
+    """The words of each line, A-Z in lower case."""
+    return [line.split() for line in utf8(text).lower().split(b"\n")]
 
 
 def _number(doc_id: int, text_hash: int, start: int) -> int:
@@ -63,55 +56,70 @@ def _number(doc_id: int, text_hash: int, start: int) -> int:
 
 
 def _signed(min_words: int, size: int, bands: int, rows: int):
-    """Signatures of the lines of whole texts: the hashes of a text's words and
-    shingles are computed once, the minima of its lines together."""
+    """Signatures of the lines of whole texts. The words of many texts are
+    hashed together, the shingles of many lines reduced together."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mh, cache = MinHash(bands, rows), kept("near_dedup", _Words)
         for pdf in batches:
-            out = []
-            for doc_id, text_hash, text in zip(pdf["doc_id"].tolist(), pdf["text_hash"].tolist(), pdf["text"]):
-                words, lines = _lines(text, min_words)
-                if not lines:
-                    continue
-                w = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
-                acc = np.full(len(w) - size + 1, np.uint64(size), dtype=np.uint64)
-                for i in range(size):
-                    acc += w[i:len(acc) + i] * _WORD_C[i]
-                s = _mix(acc)
-                for part in _parts(lines):
-                    sigs = _minima(mh, s, [(at, at + n - size + 1) for at, n in part])
-                    keys = _mix((sigs.reshape(len(part), bands, rows).astype(np.uint64) * mh.c).sum(axis=2, dtype=np.uint64) + mh.salt).view(np.int64)
-                    for (at, n), sig, key in zip(part, sigs, keys):
-                        own = np.unique(s[at:at + n - size + 1])
-                        out.append((_number(doc_id, text_hash, at), doc_id, text_hash, at, n, len(own), xxhash.xxh3_128_hexdigest(own.tobytes()), sig.tobytes(), key))
+            out, first = [], 0
+            ids, hashes = pdf["doc_id"].tolist(), pdf["text_hash"].tolist()
+            for part in together(pdf["text"].tolist(), TOGETHER, 10_000):
+                texts = [_lines(t) for t in part]
+                w, bounds = flat_words([line for t in texts for line in t], cache)
+                sizes = np.diff(bounds)
+                of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+                start = bounds[np.concatenate([[0], np.cumsum([len(t) for t in texts])])[of]]  # of each line's text
+                long = np.flatnonzero(sizes >= min_words)
+                if len(long):
+                    acc = np.full(len(w) - size + 1, np.uint64(size), dtype=np.uint64)
+                    for i in range(size):
+                        acc += w[i:len(acc) + i] * _WORD_C[i]
+                    s = _mix(acc)
+                    for some in _parts(long, sizes):
+                        at, n = bounds[some], sizes[some] - size + 1
+                        sigs = _minima(mh, s, at, n)
+                        keys = _mix((sigs.reshape(len(some), bands, rows).astype(np.uint64) * mh.c).sum(axis=2, dtype=np.uint64) + mh.salt).view(np.int64)
+                        places, of_some = (at - start[some]).tolist(), (first + of[some]).tolist()
+                        for d, place, words, (count, key), sig, band in zip(of_some, places, sizes[some].tolist(), _sets(s, at, n), sigs, keys):
+                            out.append((_number(ids[d], hashes[d], place), ids[d], hashes[d], place, words, count, key, sig.tobytes(), band))
+                first += len(part)
             yield pd.DataFrame(out, columns=["id", "doc_id", "text_hash", "start_word", "n_words", "n_shingles", "set_key", "sig", "bands"])
     return tidy(run)
 
 
-def _parts(lines: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+def _parts(lines: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
     """Lines in runs of about ``PART`` words, or one that is longer."""
-    part, held = [], 0
-    for line in lines:
-        if part and held + line[1] > PART:
-            yield part
-            part, held = [], 0
-        part.append(line)
-        held += line[1]
-    if part:
-        yield part
-
-
-def _minima(mh: MinHash, s: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
-    """The signature of each range of shingles, a row each."""
-    if len(ranges) == 1:
-        return mh.signature(s[slice(*ranges[0])])[None]
-    lo, hi = ranges[0][0], ranges[-1][1]
+    upto = np.cumsum(sizes[lines])
+    at = 0
+    while at < len(lines):
+        end = max(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PART, side="right")), at + 1)
+        yield lines[at:end]
+        at = end
+
+
+def _minima(mh: MinHash, s: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The signature of each run of ``n`` shingles from ``at``, a row each."""
+    if len(at) == 1:
+        return mh.signature(s[at[0]:at[0] + n[0]])[None]
+    lo, hi = at[0], at[-1] + n[-1]
     x = (s[lo:hi] >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((len(ranges), len(mh.a)), dtype=np.uint32)
-    ends = np.array(ranges).ravel()[:-1] - lo  # every second piece lies between ranges
-    for j in range(len(mh.a)):
-        least[:, j] = np.minimum.reduceat(mh.a[j] * x + mh.b[j], ends)[::2]
-    return least
+    ends = np.stack([at, at + n], axis=1).ravel()[:-1] - lo  # every second piece lies between runs
+    return np.minimum.reduceat(mh.a * x + mh.b, ends, axis=1)[:, ::2].T
+
+
+def _sets(s: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[tuple[int, str]]:
+    """Size and key of the set of each run of shingles: two sums of mixed
+    values, 128 bits, equal for equal sets."""
+    starts = np.cumsum(n) - n
+    of = np.repeat(np.arange(len(n)), n)
+    v = s[np.repeat(at - starts, n) + np.arange(len(of))]
+    order = np.lexsort((v, of))
+    v = v[order]
+    new = np.ones(len(v), dtype=bool)
+    new[1:] = v[1:] != v[:-1]
+    new[starts] = True
+    sums = [np.add.reduceat(np.where(new, _mix(v * c), np.uint64(0)), starts).tolist() for c in _KEY]
+    return [(k, f"{a:016x}{b:016x}") for k, a, b in zip(np.add.reduceat(new, starts, dtype=np.int64).tolist(), *sums)]
 
 
 def _texts(min_words: int):

@@ -1,5 +1,5 @@
-"""Verbatim passages for ``paragraph_dedup``: paragraphs of half a passage's
-length anywhere in a text, inside lines and over line ends, banded by MinHash
+"""Verbatim passages for ``paragraph_dedup``: paragraphs of a third of a
+passage's length anywhere in a text, inside lines and over line ends, banded by MinHash
 and extended to the whole run of words that stands again elsewhere.
 
 1. Paragraphs begin where their content says: each passage-long window of
@@ -22,13 +22,15 @@ Nothing is sampled or capped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_text, kept, materialize, small_side, tidy, utf8, whole_groups
+from .common import kept, materialize, small_side, tidy, together, utf8, whole_groups
 from .near_dedup import _mix, _Words
 
 _RNG = np.random.RandomState(20240911)
@@ -37,14 +39,17 @@ _RNG = np.random.RandomState(20240911)
 GROUP = 50_000
 #: Words of a shingle, and minima of a band.
 SHINGLE, MINIMA = 5, 3
+_TOP = np.uint64(2**64 - 1)
 #: Odd multipliers by salt, for each doubling of a hashed length and each part added.
 _C = _RNG.randint(0, 2**63 - 1, size=(2, 64), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _words(text: str, cache: dict) -> np.ndarray:
-    """Hashes of the words, which are those of ``near_dedup.shingle_set``."""
-    words = utf8(text).lower().split()
-    return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+def flat_words(words: list[list[bytes]], cache: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of several texts, one after the other, which are
+    those of ``near_dedup.shingle_set``, and where each text begins and the
+    last one ends."""
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
+    return np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(bounds[-1])), bounds
 
 
 def _hashes(w: np.ndarray, size: int, salt: int) -> np.ndarray:
@@ -71,65 +76,107 @@ def _sliding(x: np.ndarray, size: int, op) -> np.ndarray:
     return x
 
 
-def band(w: np.ndarray, size: int) -> np.ndarray:
-    """The bucket of the paragraph of ``size`` words from each place."""
-    k = min(SHINGLE, size)
-    s = _hashes(w, k, 0)
-    out = np.zeros(len(w) - size + 1, dtype=np.uint64)
+def paragraph(min_words: int) -> int:
+    """Words of a content-defined paragraph."""
+    return max(min_words // 3, 1)
+
+
+def _buckets(w: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """The band of the paragraphs of ``k`` words from the places ``at``."""
+    size = min(SHINGLE, k)
+    s = _hashes(w, size, 0)[at[:, None] + np.arange(k - size + 1)]
+    out = np.zeros(len(at), dtype=np.uint64)
     for i in range(MINIMA):
-        out += _sliding(_mix(s * _C[1, 40 + i]), size - k + 1, np.minimum) * _C[1, 50 + i]
+        out += _mix(s * _C[1, 40 + i]).min(axis=1) * _C[1, 50 + i]
     return _mix(out)
 
 
-def marked(w: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(places, buckets)`` of the paragraphs that a window chooses."""
-    k = max(min_words // 2, 1)
+def _within(bounds: np.ndarray, size: int) -> np.ndarray:
+    """Which runs of ``size`` words lie in one text."""
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    n = max(len(ends) - size + 1, 0)
+    return np.arange(n) + size <= ends[:n]
+
+
+def marked(w: np.ndarray, bounds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(places, buckets)`` of the paragraphs that a window of one of the
+    texts chooses."""
+    k = paragraph(min_words)
     if len(w) < min_words:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-    x, n = _hashes(w, k, 0), min_words - k + 1
-    low = _sliding(x, n, np.minimum)
+    own, n = _within(bounds, k), min_words - k + 1
+    x = np.where(own, _hashes(w, k, 0), _TOP)
+    low = np.where(_within(bounds, min_words), _sliding(x, n, np.minimum), np.uint64(0))
     # the largest minimum of the windows that hold a place; 0 stands beyond the ends
     pad = np.zeros(n - 1, dtype=np.uint64)
     top = _sliding(np.concatenate([pad, low, pad]), n, np.maximum)
-    at = np.flatnonzero(top == x)
-    return at, band(w, k)[at]
+    at = np.flatnonzero((top == x) & own)
+    return at, _buckets(w, at, k)
+
+
+def _first_least(x: np.ndarray, size: int) -> np.ndarray:
+    """The place of the first minimum of each ``size`` values in a row."""
+    at, done = np.arange(len(x)), 1
+    while done < size:
+        step = min(done, size - done)
+        lower = x[step:] < x[:-step]
+        x, at, done = np.where(lower, x[step:], x[:-step]), np.where(lower, at[step:], at[:-step]), done + step
+    return at
 
 
 _ID = "doc_id long, text_hash long, "
+#: Characters of the texts whose words are hashed together.
+TOGETHER = 1 << 17
 
 
 def _marks(min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = kept("near_dedup", _Words)
         for pdf in batches:
-            rows = []
-            for doc_id, key, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
-                if is_text(text):
-                    at, x = marked(_words(text, cache), min_words)
-                    rows.append((np.full(len(at), doc_id), np.full(len(at), key), at.astype(np.int32), x.view(np.int64)))
+            first, rows = 0, []
+            ids, keys = pdf["doc_id"].to_numpy(), pdf["text_hash"].to_numpy()
+            for part in together(pdf["text"].tolist(), TOGETHER, 10_000):
+                w, bounds = flat_words([utf8(t).lower().split() for t in part], cache)
+                at, x = marked(w, bounds, min_words)
+                of = np.searchsorted(bounds, at, side="right") - 1
+                rows.append((ids[first + of], keys[first + of], (at - bounds[of]).astype(np.int32), x.view(np.int64)))
+                first += len(part)
             cols = [np.concatenate(c) for c in zip(*rows)] if rows else [[]] * 4
             yield pd.DataFrame(dict(zip(("doc_id", "text_hash", "place", "mark"), cols)))
     return tidy(run)
 
 
 def _windows(min_words: int):
-    """Per marked place that stands again, the hashes of the windows whose
-    minimum it is: they begin at ``place`` and after, ``before`` words or less
-    before the mark."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, k = kept("near_dedup", _Words), max(min_words // 2, 1)
-        for pdf in batches:
-            rows = []
-            for doc_id, key, text, places in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"], pdf["places"]):
-                w = _words(text, cache)
-                x, win, bucket = _hashes(w, k, 0), _hashes(w, min_words, 1), band(w, k)
-                views = np.lib.stride_tricks.sliding_window_view(x, min_words - k + 1)
-                least = np.concatenate([views[i:i + 4096].argmin(axis=1) for i in range(0, len(win), 4096)]) + np.arange(len(win))
-                for p in np.sort(np.asarray(places, dtype=np.int64)).tolist():
-                    lo, hi = np.searchsorted(least, [p, p + 1])  # first minima never go back
-                    if lo < hi:
-                        rows.append((doc_id, key, lo, p - lo, bucket[p].astype(np.int64), win[lo:hi].tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "place", "before", "mark", "wins"])
+    """Per paragraph whose bucket stands again, the hashes of the windows that
+    chose it: they begin at ``place`` and after, ``before`` words or less
+    before the paragraph."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, k = kept("near_dedup", _Words), paragraph(min_words)
+        for batch in batches:
+            texts, places = batch.column("text").to_pylist(), batch.column("places")
+            ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_hash"))
+            ends, spots = places.offsets.to_numpy(), places.values.to_numpy()
+            first = 0
+            for part in together(texts, TOGETHER, 10_000):
+                w, bounds = flat_words([utf8(t).lower().split() for t in part], cache)
+                lo, hi = ends[first], ends[first + len(part)]
+                of = np.repeat(np.arange(len(part)), np.diff(ends[first:first + len(part) + 1]))
+                at = np.sort(bounds[of] + spots[lo:hi])
+                of = np.searchsorted(bounds, at, side="right") - 1
+                x = np.where(_within(bounds, k), _hashes(w, k, 0), _TOP)
+                own = np.flatnonzero(_within(bounds, min_words))
+                least, win = _first_least(x, min_words - k + 1)[own], _hashes(w, min_words, 1)
+                a, b = np.searchsorted(least, at, side="left"), np.searchsorted(least, at, side="right")  # first minima never go back
+                some = a < b
+                at, of, start, n = at[some], of[some], own[a[some]], (b - a)[some]
+                upto = np.cumsum(n)
+                each = np.repeat(start - (upto - n), n) + np.arange(len(n) and upto[-1])
+                offsets = np.concatenate([[0], 8 * upto]).astype(np.int32)
+                wins = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(win[each].tobytes())])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[first + of]), pa.array(keys[first + of]), pa.array((start - bounds[of]).astype(np.int32)), pa.array((at - start).astype(np.int32)),
+                    pa.array(_buckets(w, at, k).view(np.int64)), wins], names=["doc_id", "text_hash", "place", "before", "mark", "wins"])
+                first += len(part)
     return tidy(run)
 
 
@@ -219,7 +266,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, group: int = GROUP)
     texts = read.join(wanted, keys, "left_semi").dropDuplicates(keys)
     windows = materialize(
         texts.join(places, keys).select(*keys, "text", "places")
-        .mapInPandas(_windows(min_words), _ID + "place int, before int, mark long, wins binary"), "passage-window")
+        .mapInArrow(_windows(min_words), _ID + "place int, before int, mark long, wins binary"), "passage-window")
     hot = small_side(again.where(F.col("n") > group).select("mark"))
     first = "first_doc_id long, first_text_hash long, first_place int"
     few = windows.join(hot, "mark", "left_anti").repartition("mark").sortWithinPartitions("mark")

@@ -47,12 +47,15 @@ def test_bands_are_tuned():
         assert (1 - (percent / 100) ** rows) ** bands <= 1e-4 < (1 - (percent / 100) ** rows) ** (bands - 1)
 
 
-def test_minima_of_lines_together():
+def test_lines_together():
     rng, mh = np.random.RandomState(1), MinHash(4, 3)
-    s = rng.randint(0, 2**63, 500).astype(np.uint64) * np.uint64(2)
-    ranges = [(0, 7), (7, 30), (40, 41), (60, 499)]
-    for some in (ranges, ranges[:1], [(490, 495), (496, 500)]):
-        assert np.array_equal(P._minima(mh, s, some), np.stack([mh.signature(s[a:b]) for a, b in some]))
+    s = rng.randint(0, 400, 500).astype(np.uint64) * np.uint64(2**55 + 1)
+    for some in ([(0, 7), (7, 30), (40, 41), (60, 499)], [(0, 7)], [(490, 495), (496, 500)], [(3, 9), (3, 9)][:1] + [(9, 12)]):
+        at, n = np.array([a for a, _ in some]), np.array([b - a for a, b in some])
+        assert np.array_equal(P._minima(mh, s, at, n), np.stack([mh.signature(s[a:b]) for a, b in some]))
+        assert [k for k, _ in P._sets(s, at, n)] == [len(np.unique(s[a:b])) for a, b in some]
+    (_, a), (_, b), (_, c) = P._sets(np.array([5, 6, 5, 6, 6, 5, 5, 7], dtype=np.uint64), np.array([0, 3, 5]), np.array([3, 3, 3]))
+    assert a == b != c
 
 
 def test_query_matches_brute_force(spark):
