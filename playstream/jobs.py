@@ -7,7 +7,9 @@ ML-03 from the play games, IO-02).
 
     python -m playstream.jobs --train T --play P --out DIR [--reports rp01,rp04]
 
-Each output is overwritten, so a rerun refreshes it (IO-03). Games are
+Each output is overwritten, so a rerun refreshes it (IO-03); with
+``--versions`` it is published instead (``sources.publish``), so that readers
+never see it missing and a run that fails leaves the last one. Games are
 numbered once, by ``--order-key`` if it is given, which the training games must
 have, else as they are stored; steps and rules of the play games are derived once.
 ``--display-names`` writes the columns under the names that the plots read.
@@ -28,6 +30,7 @@ from .operators.index import with_index
 from .operators.sequences import decision_steps, to_basket
 from .plans import reports as rp
 from .session import materialize, scratch_scope
+from .sources.publish import publish
 from .sources.sinks import write_result
 from .sources.tables import read_games
 
@@ -87,7 +90,7 @@ def hand_count(df: DataFrame) -> int:
 
 def run(spark: SparkSession, train_path: str, play_path: str, out_dir: str,
         names: list[str] | None = None, order_key: str | None = None,
-        display_names: bool = False) -> dict[str, str]:
+        display_names: bool = False, versions: bool = False) -> dict[str, str]:
     raw_train, raw_play = read_games(spark, train_path), read_games(spark, play_path)
     if order_key is not None and order_key not in raw_train.columns:
         raise ValueError(f"the training games have no column {order_key}")
@@ -100,7 +103,12 @@ def run(spark: SparkSession, train_path: str, play_path: str, out_dir: str,
             report = REPORTS[name](games)
             if display_names:
                 report = report.withColumnsRenamed(DISPLAY_NAMES)
-            written[name] = write_result(report, f"{out_dir.rstrip('/')}/{name}")
+            path = f"{out_dir.rstrip('/')}/{name}"
+            if versions:
+                publish(report, path)
+            else:
+                write_result(report, path)
+            written[name] = path
     return written
 
 
@@ -112,10 +120,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reports", default="")
     ap.add_argument("--order-key")
     ap.add_argument("--display-names", action="store_true")
+    ap.add_argument("--versions", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("playstream-reports").getOrCreate()
     names = [n for n in args.reports.split(",") if n] or None
-    for name, path in run(spark, args.train, args.play, args.out, names, args.order_key, args.display_names).items():
+    for name, path in run(spark, args.train, args.play, args.out, names, args.order_key, args.display_names, args.versions).items():
         print(name, path)
 
 
