@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..streaming import late
 from ..streaming import panes as pn
 from ..streaming import queries as sq
-from ..streaming.runner import event_topic, numbered_values, run_restarted, run_to_table, stream_session, write_slices
+from ..streaming.runner import event_topic, numbered_values, run_counted, run_restarted, run_to_table, stream_session, write_slices
 from ..session import materialize, scratch_path
 from ..sources.tables import read_table
 from ..streaming.sources import NEWS_FIELDS, decode_events, events_source, news_events, news_values, with_event_time
@@ -292,7 +292,7 @@ def q_stream_s09_update(spark, sf_dir):
     operators counted dropped rows."""
     values = materialize(_late_values(spark, sf_dir), "late-values")
     feed = late.read_feed(spark, *late.write_late_feed(spark, values, F.col("arrival")))
-    out, dropped = late.counted_with_drops(sq.window_count(sq.with_watermark(feed), RECENT_SIZE, ["location"]), "stream_late_update", "update")
+    out, dropped = run_counted(sq.window_count(sq.with_watermark(feed), RECENT_SIZE, ["location"]), "stream_late_update", "update")
     last = out.groupBy("window", "location").agg(F.max("count").alias("count"))
     return comparable(sq.flat_window(last.withColumn("some_dropped", F.lit(dropped > 0))))
 
@@ -303,7 +303,7 @@ def q_stream_s09_complete(spark, sf_dir):
     """Complete mode over the same feed keeps every window and counts all rows."""
     values = materialize(_late_values(spark, sf_dir), "late-values")
     feed = late.read_feed(spark, *late.write_late_feed(spark, values, F.col("arrival")))
-    out, dropped = late.counted_with_drops(sq.window_count(sq.with_watermark(feed), RECENT_SIZE, ["location"]), "stream_late_complete", "complete")
+    out, dropped = run_counted(sq.window_count(sq.with_watermark(feed), RECENT_SIZE, ["location"]), "stream_late_complete", "complete")
     return comparable(sq.flat_window(out.withColumn("some_dropped", F.lit(dropped > 0))))
 
 

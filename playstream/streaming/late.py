@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .runner import run_counted, stream_session, write_slices
+from .runner import stream_session, write_slices
 from .sources import decode_events, events_source, with_event_time
 
 
@@ -21,10 +20,3 @@ def read_feed(spark: SparkSession, path: str, files: int) -> DataFrame:
     """The decoded stream, one arrival number per micro-batch."""
     src = events_source(stream_session(spark), "text", path, maxFilesPerTrigger=files, recursiveFileLookup="true")
     return with_event_time(decode_events(src))
-
-
-def counted_with_drops(df: DataFrame, name: str, mode: str) -> tuple[DataFrame, int]:
-    """Runs a stateful report to its end: what it put out, and how many rows
-    its state operators dropped behind the watermark. (They count rows after
-    the partial aggregation, so fewer than the events that were dropped.)"""
-    return run_counted(df, name, mode)

@@ -103,7 +103,8 @@ def run_to_table(df: DataFrame, name: str, mode: str, checkpoint: str | None = N
 
 def run_counted(df: DataFrame, name: str, mode: str, **how) -> tuple[DataFrame, int]:
     """``run_to_table``, and how many rows the state operators dropped behind
-    the watermark."""
+    the watermark. They count rows after the partial aggregation, so fewer than
+    the events that were dropped."""
     ran = Collected(df.sparkSession, name, mode, **how).run(df)
     return ran.table(df), ran.dropped
 

@@ -9,7 +9,6 @@ from playstream.functions.episodes import enrich
 from playstream.operators import aggregates as ag
 from playstream.session import materialize
 from playstream.sources import fixtures as fx
-from playstream.sources.tables import read_table
 
 # (the no-cross-join / no-Python-UDF check of every registered query runs
 # with the oracle tests, on the same executions)
