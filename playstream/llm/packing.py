@@ -39,6 +39,7 @@ REMEMBER = 800_000
 #: others are given to the tokenizer as they are.
 _PLAIN = r"\t\n\r\x20-\x7E\xA1-\xAC\xAE-įĲ-ž"
 _OTHER = re.compile(f"[^{_PLAIN}]")
+_PLAIN_ASCII = bytes([9, 10, 13, *range(0x20, 0x7F)])
 _LETTER = r"a-z\xAA\xB5\xBA\xDF-\xF6\xF8-ſ"
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9\xB2\xB3\xB9\xBC-\xBE]|[^\s{_LETTER}0-9\xB2\xB3\xB9\xBC-\xBE]+")
 
@@ -52,9 +53,10 @@ class Encoder:
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.model.encode_special_tokens = not special
-        added = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
-        #: texts with these strings go to the tokenizer whole
-        self.added = re.compile("|".join(added) if special and added else r"(?!)", re.IGNORECASE)
+        added = self.model.get_added_tokens_decoder().values() if special else ()
+        #: texts with these strings, as they are or in lower case, go to the tokenizer whole
+        self.added = [t.content for t in added]
+        self.folded = [t.content.lower() for t in added if t.normalized]
         self.remember = remember
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -68,8 +70,15 @@ class Encoder:
         ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
         self.known.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
 
+    def _split(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text; none if the tokenizer must have it whole."""
+        if any(a in text for a in self.added) or (text.encode().translate(None, _PLAIN_ASCII) if text.isascii() else _OTHER.search(text)):
+            return None
+        lower = text.lower()
+        return None if any(a in lower for a in self.folded) else _PIECE.findall(lower)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER.search(t) or self.added.search(t) else _PIECE.findall(t.lower()) for t in texts]
+        split = [self._split(t) for t in texts]
         pieces = set().union(*(p for p in split if p))
         new = pieces.difference(self.known)
         if len(self.known) + len(new) > self.remember:  # what is in use comes back from the older ones
