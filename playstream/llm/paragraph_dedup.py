@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from playstream.session import scratch_path, scratch_scope
 
-from .common import kept, materialize, small_side, tidy, together, utf8
-from .near_dedup import _WORD_C, MinHash, _mix, _Words, clustered
+from .common import materialize, small_side, tidy, together, utf8
+from .near_dedup import _WORD_C, MinHash, _mix, clustered
 from .passages import TOGETHER, flat_words, repeated_passages
 
 #: Shingles whose minima are computed at once.
@@ -45,11 +45,6 @@ def tuned_bands(percent: int, miss: float) -> tuple[int, int]:
     return min(ways, key=lambda w: w[0] * w[1])
 
 
-def _lines(text: str) -> list[list[bytes]]:
-    """The words of each line, A-Z in lower case."""
-    return [line.split() for line in utf8(text).lower().split(b"\n")]
-
-
 def _number(doc_id: int, text_hash: int, start: int) -> int:
     """A number for a line, the same wherever it is computed."""
     return struct.unpack("<q", xxhash.xxh3_64_digest(struct.pack("<qqq", doc_id, text_hash, start))[::-1])[0]
@@ -59,16 +54,16 @@ def _signed(min_words: int, size: int, bands: int, rows: int):
     """Signatures of the lines of whole texts. The words of many texts are
     hashed together, the shingles of many lines reduced together."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mh, cache = MinHash(bands, rows), kept("near_dedup", _Words)
+        mh = MinHash(bands, rows)
         for pdf in batches:
             out, first = [], 0
             ids, hashes = pdf["doc_id"].tolist(), pdf["text_hash"].tolist()
             for part in together(pdf["text"].tolist(), TOGETHER, 10_000):
-                texts = [_lines(t) for t in part]
-                w, bounds = flat_words([line for t in texts for line in t], cache)
-                sizes = np.diff(bounds)
-                of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-                start = bounds[np.concatenate([[0], np.cumsum([len(t) for t in texts])])[of]]  # of each line's text
+                w, _, line, head = flat_words(part)
+                sizes = np.bincount(line)
+                bounds = np.cumsum(sizes) - sizes  # of lines
+                of = np.searchsorted(head, np.arange(len(sizes)), side="right") - 1
+                start = bounds[np.minimum(head, len(sizes) - 1)][of] if len(sizes) else bounds  # of each line's text
                 long = np.flatnonzero(sizes >= min_words)
                 if len(long):
                     acc = np.full(len(w) - size + 1, np.uint64(size), dtype=np.uint64)

@@ -21,8 +21,8 @@ Nothing is sampled or capped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,10 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, materialize, small_side, tidy, together, utf8, whole_groups
-from .near_dedup import _mix, _Words
+from .common import materialize, small_side, tidy, together, utf8, whole_groups
+from .near_dedup import _mix
 
 _RNG = np.random.RandomState(20240911)
+#: Bytes that are hashed at once, unless a word is longer.
+PIECE = 1 << 19
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+_PLACE = _RNG.randint(0, 2**63 - 1, size=4096, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 #: Places of a bucket that one task groups, in about 100 MB; beyond them they
 #: are aggregated.
 GROUP = 50_000
@@ -44,12 +50,44 @@ _TOP = np.uint64(2**64 - 1)
 _C = _RNG.randint(0, 2**63 - 1, size=(2, 64), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def flat_words(words: list[list[bytes]], cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of several texts, one after the other, which are
-    those of ``near_dedup.shingle_set``, and where each text begins and the
-    last one ends."""
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
-    return np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(bounds[-1])), bounds
+def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of ``data`` and the
+    bytes at which they begin: sums of the bytes times multipliers by their
+    place in the word, mixed with its length."""
+    hashes, starts, lo = [], [], 0
+    while lo < len(data):
+        end = _GAP.search(data, min(lo + PIECE, len(data)))  # pieces end between words
+        hi = end.start() if end else len(data)
+        x = np.frombuffer(data, dtype=np.uint8, count=hi - lo, offset=lo)
+        word = _IN_WORD[x]
+        edge = np.diff(np.concatenate([[False], word, [False]]).view(np.int8))
+        begin = np.flatnonzero(edge == 1)
+        if len(begin):
+            size = np.flatnonzero(edge == -1) - begin
+            first = np.cumsum(size) - size
+            place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+            times = _PLACE[place & 4095]
+            if size.max() > 4096:
+                times = times * (_mix((place >> 12).astype(np.uint64)) | np.uint64(1))
+            value = (x[word].astype(np.uint64) + np.uint64(1)) * times
+            hashes.append(_mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _C[0, 60]))
+            starts.append(begin + lo)
+        lo = hi
+    none = np.empty(0, dtype=np.int64)
+    return np.concatenate(hashes or [none.astype(np.uint64)]), np.concatenate(starts or [none])
+
+
+def flat_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of several texts, A-Z in lower case, one after the other:
+    their hashes; where each text begins and the last one ends, in words; the
+    line that each word stands in, numbered over all texts; and the first line
+    of each text."""
+    parts = [utf8(t).lower() for t in texts]
+    data = b"\n".join(parts)
+    w, starts = hash_words(data)
+    at = np.cumsum([0, *(len(p) + 1 for p in parts)])
+    ends = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 10)
+    return w, np.searchsorted(starts, at), np.searchsorted(ends, starts), np.searchsorted(ends, at[:-1])
 
 
 def _hashes(w: np.ndarray, size: int, salt: int) -> np.ndarray:
@@ -131,12 +169,11 @@ TOGETHER = 1 << 17
 
 def _marks(min_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = kept("near_dedup", _Words)
         for pdf in batches:
             first, rows = 0, []
             ids, keys = pdf["doc_id"].to_numpy(), pdf["text_hash"].to_numpy()
             for part in together(pdf["text"].tolist(), TOGETHER, 10_000):
-                w, bounds = flat_words([utf8(t).lower().split() for t in part], cache)
+                w, bounds, _, _ = flat_words(part)
                 at, x = marked(w, bounds, min_words)
                 of = np.searchsorted(bounds, at, side="right") - 1
                 rows.append((ids[first + of], keys[first + of], (at - bounds[of]).astype(np.int32), x.view(np.int64)))
@@ -151,14 +188,14 @@ def _windows(min_words: int):
     chose it: they begin at ``place`` and after, ``before`` words or less
     before the paragraph."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, k = kept("near_dedup", _Words), paragraph(min_words)
+        k = paragraph(min_words)
         for batch in batches:
             texts, places = batch.column("text").to_pylist(), batch.column("places")
             ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_hash"))
             ends, spots = places.offsets.to_numpy(), places.values.to_numpy()
             first = 0
             for part in together(texts, TOGETHER, 10_000):
-                w, bounds = flat_words([utf8(t).lower().split() for t in part], cache)
+                w, bounds, _, _ = flat_words(part)
                 lo, hi = ends[first], ends[first + len(part)]
                 of = np.repeat(np.arange(len(part)), np.diff(ends[first:first + len(part) + 1]))
                 at = np.sort(bounds[of] + spots[lo:hi])

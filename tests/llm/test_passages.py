@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from playstream.llm import passages as P
 from playstream.llm.passages import repeated_passages
 
 
@@ -32,6 +33,25 @@ def check(docs, rows, size):
         assert r.kept == (first == (r.doc_id, r.start_word))
 
 
+def test_word_hashes(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abü漢\x1f\x85\xa0", k=rng.choice([1, 2, 3, 9, 40]))) for _ in range(300)] + ["x" * n for n in (4096, 4097, 9000)]
+    texts = ["".join(w + rng.choice([" ", "\n", "\t ", "\r\n", "\x0b"]) for w in rng.choices(words, k=n)) for n in (0, 1, 30, 400, 0, 200)] + ["\n\n", "A b", "\na B"]
+    want = [w for t in texts for w in t.encode().lower().split()]
+    for piece in (1 << 19, 64, 1):
+        monkeypatch.setattr(P, "PIECE", piece)
+        w, bounds, line, head = P.flat_words(texts)
+        assert len(w) == len(want) == bounds[-1]
+        assert len(set(zip(want, w.tolist()))) == len(set(want)) == len(set(w.tolist()))
+        assert [bounds[i + 1] - bounds[i] for i in range(len(texts))] == [len(t.encode().split()) for t in texts]
+        per = {}
+        for k in line.tolist():
+            per[k] = per.get(k, 0) + 1
+        for t, h in zip(texts, head.tolist()):
+            for i, text_line in enumerate(t.encode().split(b"\n")):
+                assert per.get(h + i, 0) == len(text_line.split())
+
+
 @pytest.mark.parametrize("size", [8, 50, 130])
 def test_passages_inside_lines_and_over_line_ends(spark, size):
     rng = random.Random(size)
