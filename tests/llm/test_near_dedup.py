@@ -71,6 +71,31 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert result(near_duplicates(df, percent=85)) == brute(docs, 85)
 
 
+def test_rest_of_a_bucket_is_what_its_largest_component_leaves(spark, monkeypatch):
+    from playstream.llm import near_dedup
+    seen, real = spark.sparkContext.accumulator(0), near_dedup._possible
+
+    def counted(bound):
+        run = real(bound)
+
+        def each(batches):
+            for b in batches:
+                seen.add(len(b))
+                yield b
+        return lambda batches: run(each(batches))
+
+    monkeypatch.setattr(near_dedup, "_possible", counted)
+    n = 600  # row 0, the centre, is not linked yet; it has the set of row 5
+    members = spark.createDataFrame([(1, i, 2, 0, n) for i in range(n)], "bucket long, id long, n_shingles long, centre long, n long")
+    found = spark.createDataFrame([(i, 1) for i in range(1, n)], "id long, component long")
+    hashes = {i: (2 * i + 10).to_bytes(8, "little") + (2 * i + 11).to_bytes(8, "little") for i in range(n)}
+    hashes[0] = hashes[5]
+    sets = spark.createDataFrame([(i, h) for i, h in hashes.items()], "id long, hashes binary")
+    sig = spark.createDataFrame([(i, h * 2) for i, h in hashes.items()], "id long, sig binary")
+    assert [tuple(r) for r in near_dedup._rest_links(members, found, sig, sets, 0.9, 80).collect()] == [(0, 5)]
+    assert seen.value == n + 1  # 3,597 before
+
+
 def test_edge_cases(spark):
     docs = [(1, None, 9), (2, "", 9), (3, " \t\n", 9), (4, "One two", 9), (5, "one TWO\n", 9), (6, "É two", 9),
             (7, "é two", 9), (8, "a " * 30000, 9), (9, "a " * 20000, 9), (None, "one two", 9), (10, "x", 9), (10, "x", 9)]
