@@ -63,6 +63,31 @@ def test_itemset_supports_are_exact(spark):
         assert r["confidence"] >= 0.6
 
 
+def test_itemsets_read_the_baskets_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    rows = [(["a", "b", f"c{i % 3}"],) for i in range(60)]
+    baskets = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).map(count), "features array<string>")
+    model = mn.fit_fpgrowth(baskets)
+    assert {tuple(r["items"]): r["freq"] for r in mn.frequent_itemsets(model, 3).collect()} == {("a", "b", f"c{i}"): 20 for i in range(3)}
+    assert mn.association_rules(model).count() > 0
+    assert seen.value == len(rows)
+
+
+def test_policy_model_writes_what_it_fits_on(spark, monkeypatch):
+    made, real = [], mn.materialize
+    monkeypatch.setattr(mn, "materialize", lambda df, name: (made.append(name), real(df, name))[1])
+    rows = [(i % 9, i % 5, "hit" if i % 9 < 4 else "stand", i % 5 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "player_total int, dealer_card int, label_str string, test boolean")
+    _, scored = mn.fit_policy_model(df, num_trees=3, depths=(3,), folds=2, test="test", written=True)
+    assert scored.count() == 80 and scored.where("label <> prediction").count() == 0
+    assert made == ["policy-fit"]
+
+
 def test_exact_auc_against_pairs(spark):
     rows = [(1, 0.9), (0, 0.8), (1, 0.8), (0, 0.1), (1, 0.4), (0, 0.4), (0, 0.3)]
     df = spark.createDataFrame(rows, "label int, score double")
