@@ -9,7 +9,7 @@ from ..functions import permutation as pm
 from ..functions import prep
 from ..operators import selection as sel
 from ..operators.aggregates import quartile_values
-from ..session import materialize
+from ..session import materialize, small_side
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from .catalog import episodes_sql
@@ -73,8 +73,9 @@ def q_ag08_sketches(spark, sf_dir):
     probs = (0.05, 0.25, 0.5, 0.75, 0.95)
     chunks = materialize(sel.quantile_sketches(li, ["l_returnflag", "month"], "x"), "sketches")
     merged = sel.merge_sketches(chunks, ["l_returnflag"]).select("l_returnflag", sel.sketch_quantiles(probs=probs).alias("told"))
-    counted = merged.join(chunks.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("merged")), "l_returnflag")
-    rows = li.join(counted, "l_returnflag").groupBy("l_returnflag", "merged").agg(
+    counted = materialize(merged.join(chunks.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("merged")), "l_returnflag"), "merged")
+    # a row of numbers per flag is sent to the prices, so that no task gets all prices of a flag
+    rows = li.join(small_side(counted), "l_returnflag").groupBy("l_returnflag", "merged").agg(
         F.count(F.lit(1)).alias("rows"), *[_rank_fits(None, F.col("x"), F.get("told", F.lit(i)), p, 2 * sel.KLL_RANK_ERROR).alias(f"f{i}") for i, p in enumerate(probs)])
     each = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"f{i}").alias("rank_fits")) for i, p in enumerate(probs)])
     return comparable(rows.select("l_returnflag", "rows", "merged", F.inline(each)))

@@ -57,3 +57,17 @@ def test_sketches_merge_to_their_bound(spark, keys):
     rows = merged.select("n", S.sketch_quantiles(probs=(0.1, 0.5, 0.9)).alias("q")).collect()
     assert sum(r.n for r in rows) == 200_000 and len(rows) == (3 if keys else 1)
     assert all(abs(a - b) < 2 * S.KLL_RANK_ERROR for r in rows for a, b in zip(r.q, (0.1, 0.5, 0.9)))
+
+
+def test_prices_stay_where_they_are_read(spark):
+    """Each flag's quantiles come to the prices, not a flag's prices to one task."""
+    from playstream.plans.catalog_quantiles import q_ag08_sketches
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = q_ag08_sketches(spark, "/root/testdata/sf0.001")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert all(r.rank_fits for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
