@@ -44,6 +44,18 @@ def test_tree_of_one_leaf_and_null_values(spark):
     assert [r[0] for r in spark.createDataFrame([(None,), (0.0,)], "a double").select(T.leaf_of(nodes)).collect()] == [3, 2]
 
 
+def test_expression_of_a_large_tree_is_small(spark):
+    rng = np.random.RandomState(3)
+    df = spark.createDataFrame([(*map(float, r), float(rng.randint(3))) for r in rng.rand(700, 2)], "a double, b double, label double")
+    data = mn.assemble(df, ["a", "b"])
+    model = DecisionTreeClassifier(maxDepth=14, labelCol="label").fit(data)
+    nodes = T.tree_nodes(spark, model, ["a", "b"])
+    assert nodes.count() == model.numNodes > 200
+    told, leaf = T.score_of(nodes)[0], T.leaf_of(nodes)
+    assert max(str(c).count("WHEN") for c in (told, leaf)) <= 2  # once for each inner node before
+    assert model.transform(data).where(told != F.col("prediction")).count() == 0
+
+
 def test_weighted_precision(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (2.0, 0.0)], "label double, prediction double")
     assert T.weighted_precision(df).first()[0] == pytest.approx((2 * 0.5 + 2 * 2 / 3) / 5)
