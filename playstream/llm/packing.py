@@ -32,7 +32,7 @@ from .common import id_text, ids_of, is_text, kept, materialize, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: A worker remembers up to twice as many pre-tokens; fewer only cost time.
+#: A worker remembers up to twice as many words and pre-tokens; fewer only cost time.
 REMEMBER = 800_000
 #: Texts of these characters only are split here (the tokenizer's rule for
 #: them, and neither its NFC form nor case mapping depends on neighbours);
@@ -46,7 +46,7 @@ _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9\xB2\xB3\xB9\xBC
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit words, remembering the ids
-    of pre-tokens: they do not depend on what stands around."""
+    of words and of their pre-tokens: they do not depend on what stands around."""
 
     def __init__(self, path: str | None = None, remember: int = REMEMBER, special: bool = True):
         import public_tokenizers
@@ -57,6 +57,12 @@ class Encoder:
         #: texts with these strings, as they are or in lower case, go to the tokenizer whole
         self.added = [t.content for t in added]
         self.folded = [t.content.lower() for t in added if t.normalized]
+        #: of each id, whether it ends a pre-token; none if the vocabulary doesn't tell
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        names = self.model.get_vocab(with_added_tokens=False) if suffix else {}
+        self.last = np.zeros(max([self.model.get_vocab_size(), *(i + 1 for i in names.values())]), dtype=bool) if suffix else None
+        if suffix:
+            self.last[[i for t, i in names.items() if t.endswith(suffix)]] = True
         self.remember = remember
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -65,30 +71,57 @@ class Encoder:
         """Ids of pre-tokens, all in one text: one pre-token for each of them."""
         if not pieces:
             return
-        e = self.model.encode(" ".join(pieces), add_special_tokens=False)
-        ids, of = np.asarray(e.ids, dtype="<u4").tobytes(), np.asarray(e.word_ids)
-        ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-        self.known.update((p, ids[4 * s:4 * t]) for p, s, t in zip(pieces, ends, ends[1:]))
+        text = " ".join(pieces)
+        if self.last is not None:
+            ids = np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+        if self.last is None or len(ends) != len(pieces) + 1:  # a last symbol that is not in the vocabulary
+            e = self.model.encode(text, add_special_tokens=False)
+            ids, of = np.asarray(e.ids, dtype="<u4"), np.asarray(e.word_ids)
+            ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        data, ends = ids.tobytes(), [4 * n for n in ends]
+        self.known.update(zip(pieces, [data[s:t] for s, t in zip(ends, ends[1:])]))
 
     def _split(self, text: str) -> list[str] | None:
-        """The pre-tokens of a text; none if the tokenizer must have it whole."""
+        """The words of a text between white space, which no pre-token crosses;
+        none if the tokenizer must have it whole."""
         if any(a in text for a in self.added) or (text.encode().translate(None, _PLAIN_ASCII) if text.isascii() else _OTHER.search(text)):
             return None
         lower = text.lower()
-        return None if any(a in lower for a in self.folded) else _PIECE.findall(lower)
+        return None if any(a in lower for a in self.folded) else lower.split()
+
+    def _meet(self, words: set[str], used: list[tuple[list[str], list[bytes | None]]]) -> None:
+        """Have the ids of new words among the known ones; ``used`` has the
+        words of this batch and the ids that were known already."""
+        fresh = words.difference(self.older)
+        mixed = [w for w in fresh if not w.isalpha()]  # letters alone are one pre-token
+        pieces = fresh.difference(mixed).union(_PIECE.findall(" ".join(mixed)))
+        before = self.older
+        if len(self.known) + len(words) + len(pieces) > self.remember:  # what is in use comes back from the older ones
+            self.known, self.older = {}, self.known
+            for p, f in used:
+                self.known.update((w, x) for w, x in zip(p, f) if x is not None)
+        for source, found in ((before, words.difference(fresh)), (self.older, pieces.difference(self.known).intersection(self.older))):
+            self.known.update(zip(found, map(source.__getitem__, found)))
+        self._learn(list(pieces.difference(self.known)))
+        get, cut = self.known.__getitem__, _PIECE.findall
+        self.known.update(zip(mixed, [b"".join(map(get, cut(w))) for w in mixed]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self._split(t) for t in texts]
-        pieces = set().union(*(p for p in split if p))
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > self.remember:  # what is in use comes back from the older ones
-            self.known, self.older, new = {}, self.known, pieces
-        back = new.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in back)
-        self._learn(list(new - back))
-        get = self.known.__getitem__
-        return [np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if p is None
-                else b"".join(map(get, p)) for t, p in zip(texts, split)]
+        look = self.known.get
+        used = [(p, list(map(look, p))) for p in split if p is not None]
+        new = {w for p, f in used if None in f for w, x in zip(p, f) if x is None}
+        if new:
+            self._meet(new, used)
+        get, plain = self.known.__getitem__, iter(used)
+        out = []
+        for t, p in zip(texts, split):
+            if p is None:
+                out.append(np.asarray(self.model.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+            else:
+                out.append(b"".join([get(w) if x is None else x for w, x in zip(*next(plain))]))
+        return out
 
 
 def assign(lengths: list[int], size: int, linear: float, quadratic: float, short: bool = True) -> list[tuple[int, int, int, int]]:
@@ -201,7 +234,7 @@ def pack(docs: DataFrame, size: int = 4096, shard_tokens: int = 1 << 20, linear:
     by default; each document ends with id 2. With ``special`` the strings of
     the vocabulary's added tokens become these tokens, as in a plain call of the
     tokenizer; without, they are text like any other. A worker remembers the ids
-    of up to twice ``remember`` pre-tokens, which changes no result. A sequence
+    of up to twice ``remember`` words and pre-tokens, which changes no result. A sequence
     holds ``size`` ids (a power of two) or, at most once for each power and
     shard of what is left over, a smaller power of two; none is padded. Defined
     cases: a null or empty text is the end id alone; rows with equal or null ids

@@ -120,3 +120,43 @@ def test_large_ids_beside_null_ones(spark):
     docs = [(2**62 + 1, "a b"), (2**62 + 3, "c"), (None, "d e f"), (-(2**62) - 7, "")]
     rows = pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
     assert {r.doc_id: r.doc_tokens for r in rows} == {d: len(ids_of(t)) for d, t in docs}
+
+
+def test_words_that_come_again_are_not_split_again(monkeypatch):
+    """Words are looked up whole, so only new ones are cut into pre-tokens and
+    given to the tokenizer; whatever is remembered, ids stay the same."""
+    import playstream.llm.packing as packing
+    cut, given_ = [], []
+
+    class Counting:
+        def findall(self, text):
+            cut.append(len(text))
+            return packing_piece.findall(text)
+
+    packing_piece = packing._PIECE
+    monkeypatch.setattr(packing, "_PIECE", Counting())
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcxyzé") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ",", "'s", "9!", "...", "-it's-4"]) for _ in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(80)) + rng.choice(["", "\n", "\t x"]) for _ in range(120)]
+    want = [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+    coder = Encoder()
+    learn = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda pieces: given_.extend(pieces) or learn(pieces))
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode(texts)] == want
+    assert len(given_) == len(set(given_))
+    cut.clear()
+    given_.clear()
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode(texts)] == want
+    assert not cut and not given_
+    for remember in (1, 50, 300, 700):
+        coder = Encoder(remember=remember)
+        got = [x for at in range(0, len(texts), 7) for x in coder.encode(texts[at:at + 7])]
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == want
+
+
+def test_learning_without_word_ends_in_the_vocabulary():
+    """A vocabulary that doesn't mark the ends of words gives the same ids."""
+    coder = Encoder()
+    coder.last = None
+    texts = ["it's a word, again a word... 42 naïve ąę", "", "word"]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode(texts)] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
