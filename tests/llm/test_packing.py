@@ -160,3 +160,25 @@ def test_learning_without_word_ends_in_the_vocabulary():
     coder.last = None
     texts = ["it's a word, again a word... 42 naïve ąę", "", "word"]
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode(texts)] == [MODEL.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_batch_does_not_walk_through_what_is_remembered():
+    """A batch's few words are looked up among all that is remembered; the
+    other way about each batch would cost as much as everything before it."""
+    class Walked(dict):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+    coder = Encoder(remember=8)
+    coder.encode(["one, two three four five six seven"])
+    coder.older = Walked(coder.older | coder.known)
+    coder.known = {}
+    text = "two, new one words' seven"
+    assert np.frombuffer(coder.encode([text])[0], dtype="<u4").tolist() == MODEL.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_keep_their_ids_where_lookups_end(spark):
+    """More texts in a task than are looked up together, plain ones and others."""
+    docs = [(i, f"{chr(97 + i)}{i} it's " * (60_000 * (i % 3)) + ("漢 <|endoftext|>" if i % 2 else "")) for i in range(7)]
+    rows = pack(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert_packed(rows, docs)
