@@ -1,6 +1,10 @@
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
+
+from playstream.llm import near_dedup
 from playstream.llm.components import connected_components
 from playstream.llm.near_dedup import near_duplicates
 from playstream.llm.queries import QUERIES
@@ -136,3 +140,30 @@ def test_large_ids_beside_null_ones(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(df).collect()}
     assert got == {2**62 + 1: (2**62 + 1, True), 2**62 + 3: (2**62 + 1, False), None: (None, True), 2**62 + 5: (2**62 + 5, True), -(2**62) - 7: (-(2**62) - 7, True)}
+
+
+def test_full_sets_are_made_together(monkeypatch):
+    """The sets of many texts are made at once, no word is hashed by itself."""
+    rng = np.random.RandomState(3)
+    texts = ["", " \n", None, "A b", "a b c d e", "é ü\x0bé", *(" ".join(rng.choice(list("abcdABÜ"), n)) for n in rng.randint(1, 60, 40)), "x " * 70_000]
+    want = [near_dedup.shingle_set(t, 5, near_dedup._Words()) for t in texts]
+    monkeypatch.setattr(near_dedup, "xxhash", None)
+    got = pd.concat(near_dedup._full_sets(5)(iter([pd.DataFrame({"id": range(len(texts)), "text": texts})])))
+    sets = [np.frombuffer(h, dtype=np.uint64) for h in got["hashes"]]
+    assert got["id"].tolist() == list(range(len(texts)))
+    for a, x in zip(want, sets):
+        assert [len(np.intersect1d(a, b)) for b in want] == [len(np.intersect1d(x, y)) for y in sets]
+
+
+def test_blocks_of_a_frame_are_joined_apart():
+    """Blocks that arrive together link only what lies in one of them, and no
+    more than joins their parts."""
+    sets = {i: np.arange(100 * (i // 10), 100 * (i // 10) + 90, dtype=np.uint64) for i in range(30)}
+    rows = []
+    for bucket, ids in ((1, [0, 1, 2, 10]), (2, [1, 3, 20, 21]), (3, [5])):
+        for rest in (False, True):
+            rows += [(bucket, 0, 0, i, i, rest, np.full(8, i // 10, dtype=np.uint32).tobytes(), sets[i].tobytes()) for i in ids]
+    g = pd.DataFrame(rows, columns=["bucket", "i", "j", "id", "comp", "rest", "sig", "hashes"])
+    for at in (1, 5, 9, len(g)):
+        got = pd.concat(near_dedup._joined(85, 0.5)(iter([g[:at], g[at:]])))
+        assert sorted(map(tuple, got[["v", "u"]].values.tolist())) == [(1, 0), (2, 0), (3, 1), (21, 20)]
