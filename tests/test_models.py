@@ -56,6 +56,14 @@ def test_expression_of_a_large_tree_is_small(spark):
     assert model.transform(data).where(told != F.col("prediction")).count() == 0
 
 
+def test_surrogate_tree_is_fitted_on_all_rows(spark):
+    n = 1_200_000
+    df = spark.range(n).select((F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("expert_0"))
+    model = mn.fit_surrogate_tree(df, ["expert_0"], depths=(1,), min_leaf=(1,), impurities=("gini",), folds=2)
+    root = T.tree_nodes(spark, model.bestModel.stages[-1], ["expert_0"]).where("node = 1").first()
+    assert root["rows"] == n and root["counts"] == [n / 2, n / 2]
+
+
 def test_weighted_precision(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (2.0, 0.0)], "label double, prediction double")
     assert T.weighted_precision(df).first()[0] == pytest.approx((2 * 0.5 + 2 * 2 / 3) / 5)
